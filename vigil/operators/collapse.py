@@ -45,11 +45,11 @@ def _field_text(arr: Column, name: str, missing_token: str | None) -> Column:
 
 
 def side_aggregates(side: Side, alias: str) -> Column:
+    """Distinct sub-rows as structs whose fields are the side's columns, order
+    columns first (``array_sort`` then sorts by them)."""
     order = list(side.order) or list(side.columns)
     rest = [c for c in side.columns if c not in order]
-    fields = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)] + [F.col(c) for c in rest]
-    fields += [F.col(c).alias(c) for c in order]  # values readable by name
-    return F.array_sort(F.collect_set(F.struct(*fields))).alias(alias)
+    return F.array_sort(F.collect_set(F.struct(*[F.col(c) for c in order + rest]))).alias(alias)
 
 
 def side_outputs(side: Side, alias: str, missing_token: str | None = None, sep: str = SEP) -> dict[str, Column]:
