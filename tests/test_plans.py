@@ -66,7 +66,7 @@ def test_build_incidents(spark):
 def test_reports_run_and_conserve_counts(spark):
     g, _ = gaz(spark)
     inc = I.build_incidents(spark.createDataFrame(INCIDENTS, INCIDENT_SCHEMA), g)
-    reps = RP.report_set(inc)
+    reps = RP.report_set(inc, checkpoint=True)
     n = reps["total_deployments"].first().n
     assert n == len(INCIDENTS)
     assert sum(r.n for r in reps["deployments_by_district"].collect()) == n
@@ -75,7 +75,7 @@ def test_reports_run_and_conserve_counts(spark):
     for name, df in reps.items():
         df.collect()
     per, summary = RP.fiscal_year_performance(inc)
-    fy = {r.helmsley_fy: r for r in per.collect()}
+    fy = {r.fiscal_year: r for r in per.collect()}
     assert set(fy) == {"FY2022", "FY2024"} and fy["FY2022"].n == 2
     s = summary.first()
     assert s.mean_n == 3.0

@@ -21,6 +21,7 @@ from vigil.operators import tables as TB
 from vigil.operators.columns import drop_missing
 from vigil.operators.dedup import keep_first
 from vigil.operators.joins import broadcast_if_small, left_lookup, right_lookup
+from vigil.session import checkpoint_dir
 
 ID = "unique_incident_id"
 
@@ -48,9 +49,17 @@ def location_counts(u: DataFrame) -> DataFrame:
 
 
 def report_set(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_toc", "agency"),
-               lump_below: int = R.LUMP_BELOW) -> dict[str, DataFrame]:
-    """All report tables keyed by name (lazy DataFrames)."""
+               lump_below: int = R.LUMP_BELOW, checkpoint: bool = False) -> dict[str, DataFrame]:
+    """All report tables keyed by name (lazy DataFrames).
+
+    ``checkpoint=True`` writes the deduplicated incidents once to the shared
+    ``spark.checkpoint.dir`` (reliable checkpoint: survives executor loss and
+    cuts lineage), so the ~25 reports do not each recompute the keep-first
+    shuffle."""
     u = unique_incidents(incidents, order_by)
+    if checkpoint:
+        checkpoint_dir(incidents.sparkSession)
+        u = u.checkpoint(eager=True)
     by_year = A.count_by(u, ["year"], "count")
     ct_year = A.count_by(u, ["year", "call_type"], "count")
     wb = drop_missing(u, ["witnessed", "bystander_cpr"])
@@ -103,10 +112,10 @@ def fiscal_year_performance(incidents: DataFrame, order_by: Sequence = ("date_of
                             start_month: int = 5, first_fy: int = 2022, last_fy: int = 2027):
     """(per fiscal year: survival, n, percent) and (mean_n, mean_pct)."""
     u = unique_incidents(incidents, order_by).withColumn(
-        "helmsley_fy", TM.fiscal_year("date_of_use", start_month, first_fy, last_fy))
-    per, summary = A.mean_of_group_rates(u, "helmsley_fy", F.col("survival") == "Survived",
+        "fiscal_year", TM.fiscal_year("date_of_use", start_month, first_fy, last_fy))
+    per, summary = A.mean_of_group_rates(u, "fiscal_year", F.col("survival") == "Survived",
                                          n="n", hits="survival", rate="percent")
-    return per.orderBy("helmsley_fy"), summary
+    return per.orderBy("fiscal_year"), summary
 
 
 # X7 ----------------------------------------------------------------------------
