@@ -34,6 +34,40 @@ def apply_rules(c: ColumnOrName, rules: Sequence[Rule], default: Column | str |
     return d if out is None else out.otherwise(d)
 
 
+def rewrite_whole(c: ColumnOrName, pattern: str, value: str, ignore_case: bool = False) -> Column:
+    """``value`` when ``pattern`` occurs anywhere in the text, else the text --
+    as ONE ``regexp_replace`` (the input expression is referenced once, so a
+    long chain of such steps does not duplicate its sub-expressions)."""
+    flags = "(?is)" if ignore_case else "(?s)"
+    rep = value.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(col(c), f"{flags}^.*(?:{pattern}).*$", rep)
+
+
+def chain_is_first_match(rules: Sequence[Rule]) -> bool:
+    """True when no rule's value is matched by a LATER rule's pattern: then
+    applying the rules one after another as whole-text rewrites gives the
+    first-match-wins result."""
+    import re
+    for i, rule in enumerate(rules):
+        for later in rules[i + 1:]:
+            flags = re.I if (len(later) > 2 and later[2]) else 0
+            if re.search(later[0], str(rule[1]), flags):
+                return False
+    return True
+
+
+def apply_rules_chained(c: ColumnOrName, rules: Sequence[Rule]) -> Column:
+    """First-match-wins rule table with the text itself as the default, built
+    as successive whole-text rewrites (no sub-expression duplication).  Falls
+    back to ``apply_rules`` when the chaining condition does not hold."""
+    if not chain_is_first_match(rules):
+        return apply_rules(c, rules, default=col(c))
+    x = col(c)
+    for rule in rules:
+        x = rewrite_whole(x, rule[0], rule[1], len(rule) > 2 and rule[2])
+    return x
+
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for equal results.
 # ---------------------------------------------------------------------------

@@ -36,3 +36,17 @@ def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def count_missing(df: DataFrame, c: str) -> DataFrame:
     return df.agg(F.count_if(F.col(c).isNull()).alias("n_missing"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` (default: the cluster's
+    default parallelism) partitions -- ONLY when the input is read from fewer
+    files than that (small or single-row-group inputs give one task per file).
+    Used before CPU-heavy per-row work; on large inputs spread over thousands
+    of files it is a no-op and adds no shuffle.  Decided from the file list
+    alone (``inputFiles``), without running any part of the plan."""
+    if df.isStreaming:          # micro-batches: the source decides the splits
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    return df.repartition(n) if 0 < len(files) < n else df

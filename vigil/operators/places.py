@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
-from vigil.functions.rules import apply_rules
+from vigil.functions.rules import apply_rules, rewrite_whole
 from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extract_first, non_alnum_to_space,
                                      replace_all, replace_first, safe_match, squish)
 from vigil.operators.joins import broadcast_if_small
@@ -45,8 +45,7 @@ def strip_county_suffix(c: ColumnOrName, counties: Sequence[str], as_coded: bool
 
 # T17 --------------------------------------------------------------------------
 def fair_grounds_city(c: ColumnOrName) -> Column:
-    x = col(c)
-    return F.when(safe_match(x, R.FAIR_GROUNDS_PATTERN, True), F.lit(R.FAIR_GROUNDS_CITY)).otherwise(x)
+    return rewrite_whole(col(c), R.FAIR_GROUNDS_PATTERN, R.FAIR_GROUNDS_CITY, ignore_case=True)
 
 
 def clean_place(c: ColumnOrName, counties: Sequence[str] | None = None, as_coded: bool = False) -> Column:
@@ -61,12 +60,12 @@ def clean_place(c: ColumnOrName, counties: Sequence[str] | None = None, as_coded
         x = strip_county_suffix(x, counties, as_coded)
     x = replace_first(x, R.SERGEANT_PATTERN, R.SERGEANT_VALUE)
     x = replace_first(x, R.JUNK_TAIL_PATTERN, "", ignore_case=True)
-    x = F.when(safe_match(x, R.DELAWARE_PATTERN, True), F.lit(R.DELAWARE_VALUE)).otherwise(x)
+    x = rewrite_whole(x, R.DELAWARE_PATTERN, R.DELAWARE_VALUE, ignore_case=True)
     x = replace_first(x, R.TOWNSHIP_PATTERN, R.TOWNSHIP_VALUE, ignore_case=True)
-    x = apply_rules(x, R.PLACE_REPAIR_RULES, default=x)
+    x = apply_rules(x, R.PLACE_REPAIR_RULES, default=x)   # CASE chain; codegen evaluates x once (CSE)
     x = squish(x)
     x = non_alnum_to_space(x)
-    return F.when(safe_match(x, R.MELCHER_PATTERN, True), F.lit(R.MELCHER_VALUE)).otherwise(x)
+    return rewrite_whole(x, R.MELCHER_PATTERN, R.MELCHER_VALUE, ignore_case=True)
 
 
 # J5 ---------------------------------------------------------------------------
@@ -95,14 +94,14 @@ def _chunks(text: Column) -> Column:
 def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_col: str,
                        out_col: str = "location", method: str = "regex", id_col: str | None = None,
                        max_words: int | None = None, prefer: str = "first",
-                       broadcast_rows: int = 1_000_000) -> DataFrame:
+                       broadcast_rows: int = 1_000_000, pattern: str | None = None) -> DataFrame:
     """Add ``out_col`` = first dictionary name found in ``text_col`` (NULL when
     none).  ``prefer="longest"`` takes, at the leftmost start, the longest
     name instead of the first in sort order (``ngram`` only)."""
     if method == "regex":
         if prefer != "first":
             raise ValueError("regex method implements prefer='first'")
-        pat = dictionary_regex(dict_df, name_col)
+        pat = pattern or dictionary_regex(dict_df, name_col)
         return df.withColumn(out_col, extract_first(text_col, pat))
     if method != "ngram":
         raise ValueError(method)

@@ -632,3 +632,142 @@ def type_spec_ingest(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
+
+
+# X1 / X2 on driver-table analogues --------------------------------------------
+def _initcap_words(c: Column) -> Column:
+    return F.initcap(F.lower(c))
+
+
+def analog_places(t: Tables) -> DataFrame:
+    """Geonames-layout places from nation x region: '(historical)' suffixes,
+    padding whitespace, one non-populated feature, one other-state row."""
+    k = F.col("n_nationkey")
+    nm = F.regexp_replace("n_name", "_", " ")
+    x = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return x.select(
+        k.cast("bigint").alias("geonameid"),
+        F.when(k % 4 == 0, F.concat(nm, F.lit(" (historical)"))).otherwise(F.concat(F.lit("  "), nm, F.lit(" ")))
+        .alias("name"),
+        F.col("n_name").alias("asciiname"), F.lit(None).cast("string").alias("alternatenames"),
+        (F.lit(40.0) + k / 10).alias("latitude"), (F.lit(-90.0) - F.col("n_regionkey")).alias("longitude"),
+        F.when(k == 7, "H").otherwise("P").alias("feature_class"), F.lit("PPL").alias("feature_code"),
+        F.lit("US").alias("country_code"), F.lit(None).cast("string").alias("cc2"),
+        F.when(k == 11, "MN").otherwise("IA").alias("admin1_code"),
+        (F.col("n_regionkey") * 2 + 1).cast("string").alias("admin2_code"),
+        F.lit(None).cast("string").alias("admin3_code"), F.lit(None).cast("string").alias("admin4_code"),
+        (k * 1000).cast("bigint").alias("population"), F.lit(None).cast("double").alias("elevation"),
+        F.lit(None).cast("double").alias("dem"), F.lit(None).cast("string").alias("timezone"),
+        F.lit(None).cast("date").alias("modification_date"))
+
+
+def analog_county_codes(t: Tables) -> DataFrame:
+    r = t.region
+    code = F.lpad((F.col("r_regionkey") * 2 + 1).cast("string"), 3, "0")
+    ia = r.select(F.concat(F.lit("US.IA."), code).alias("code"),
+                  F.concat(_initcap_words("r_name"), F.lit(" County")).alias("name"),
+                  F.col("r_name").alias("asciiname"), F.col("r_regionkey").cast("bigint").alias("geonameID"))
+    other = r.select(F.concat(F.lit("CA.08."), code).alias("code"), F.lit("Elsewhere").alias("name"),
+                     F.col("r_name").alias("asciiname"), F.col("r_regionkey").cast("bigint").alias("geonameID"))
+    return ia.unionByName(other)
+
+
+def analog_county_attrs(t: Tables) -> DataFrame:
+    r = t.region.where(F.col("r_name") != "MIDDLE EAST")
+    k = F.col("r_regionkey")
+    return r.select(_initcap_words("r_name").alias("county"),
+                    F.concat(F.lit("19"), F.lpad((k * 2 + 1).cast("string"), 3, "0")).alias("county_fips"),
+                    (k + 1).cast("string").alias("region_preparedness"),
+                    F.when(k % 2 == 0, "Metro").otherwise("Rural").alias("designation"),
+                    F.when(k % 2 == 0, "Urban").otherwise("Rural").alias("urbanicity"))
+
+
+ANALOG_EXCLUSIONS = list(R.GAZETTEER_EXCLUSIONS) + [("NATION 5", "Africa"), ("NATION 8", "Europe")]
+
+
+def analog_gazetteer(spark, t: Tables) -> DataFrame:
+    from vigil.plans.gazetteer import build_gazetteer
+    return build_gazetteer(spark, analog_places(t), analog_county_codes(t), analog_county_attrs(t),
+                           exclusions=ANALOG_EXCLUSIONS)
+
+
+GAZETTEER_OUT = ["geonameid", "name", "name_county", "district", "county_fips", "designation", "urbanicity",
+                 "admin2_code", "latitude", "longitude"]
+
+
+@query
+def gazetteer_build(spark, sf_dir):
+    return analog_gazetteer(spark, Tables(spark, sf_dir)).select(*GAZETTEER_OUT)
+
+
+def analog_incidents_raw(t: Tables) -> DataFrame:
+    """Incident rows (FIXTURES B1 layout) derived from every order."""
+    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    day = F.lit(TM.US_PER_DAY)
+    toc = (ok * 7919 % 86400) * TM.US_PER_SECOND
+    pat = F.pmod(toc + ((F.col("o_custkey") % 40) - 5) * TM.US_PER_MINUTE, day)
+    on = F.when(ok % 23 == 0, F.lit(None)).otherwise(F.pmod(pat + (ok % 11) * TM.US_PER_MINUTE, day))
+    dur = (F.when(ok % 19 == 0, F.lit(None)).when(ok % 17 == 0, F.lit(0))
+           .otherwise((ok % 1800) * TM.US_PER_SECOND + 250_000))
+    nm = F.regexp_replace("n_name", "_", " ")
+    m8 = ok % 8
+    place = (F.when(m8 == 0, F.lit(None)).when(m8 == 1, F.concat(F.lit("Rural "), nm))
+             .when(m8 == 2, F.concat(nm, F.lit(" "), _initcap_words("r_name"), F.lit(" Co")))
+             .when(m8 == 3, F.lit("Iowa State Fair Grounds")).when(m8 == 4, F.lit("Medic Ambulance"))
+             .when(m8 == 5, F.concat(F.lower(nm), F.lit(", IA 50310")))
+             .when(m8 == 6, F.concat(F.lit("Nowhere "), F.col("o_orderpriority")))
+             .otherwise(F.concat(F.lit("West "), nm)))
+    c6 = ck % 6
+    agency = (F.when(c6 == 0, F.lit(None)).when(c6 == 1, F.concat(F.col("c_name"), F.lit(" PD")))
+              .when(c6 == 2, F.lit("County S0")).when(c6 == 3, F.lit("Iowa DNR"))
+              .when(c6 == 4, F.concat(F.lit("ISP Post "), F.col("n_nationkey").cast("string")))
+              .otherwise(F.col("c_mktsegment")))
+    raw_age = F.abs(F.col("c_acctbal")) / 100
+    c5 = ck % 5
+    age = (F.when(F.col("o_custkey") % 13 == 0, F.lit(None)).when(c5 == 0, raw_age * 365)
+           .when(c5 == 1, raw_age * 12).when(c5 == 2, raw_age * 52).otherwise(raw_age))
+    unit = (F.when(c5 == 0, "Days").when(c5 == 1, "Months").when(c5 == 2, "weeks").when(c5 == 3, "Years")
+            .otherwise(F.lit(None)))
+    c4 = ck % 4
+    prio = F.col("o_orderpriority")
+    x = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    return x.select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("date_of_use"), toc.alias("amb_toc"),
+        pat.alias("amb_pat"), on.alias("time_aed_on"), dur.alias("total_time_aed_actually_used_min_sec"),
+        place.alias("location_city_event"), agency.alias("agency"), age.alias("age"), unit.alias("age_unit"),
+        F.when(c4 == 0, F.lit(None)).when(c4 == 1, "F").when(c4 == 2, "M").otherwise("U").alias("sex"),
+        F.when(ok % 9 == 0, F.lit(None)).otherwise(ok % 2 == 0).alias("witnessed"),
+        F.lit(None).cast("boolean").alias("unknown_if_witnessed"),
+        F.when(ok % 10 == 0, F.lit(None)).otherwise(F.col("o_custkey") % 3 == 0).alias("bystander_cpr"),
+        (ok % 4).cast("int").alias("shock_no_shock"),
+        F.when(prio == "1-URGENT", F.lit(True)).when(prio == "5-LOW", F.lit(None)).otherwise(F.lit(False))
+        .alias("cardiac_episode"),
+        (prio == "2-HIGH").alias("od_case"),
+        F.when(prio.isin("3-MEDIUM", "1-URGENT"), F.lit("Fall")).alias("other_case"),
+        (F.col("o_orderstatus") == "F").alias("expired_scene"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.lit(False)).alias("expired_in_er"),
+        F.lit(None).cast("boolean").alias("expired_in_hospital"))
+
+
+INCIDENT_OUT = ["o_orderkey", "unique_incident_id", "amb_pat_timestamp_fix", "time_aed_off",
+                "time_aed_off_timestamp_fix", "time_from_call_to_patient", "time_from_call_to_aed_on",
+                "time_from_patient_to_aed", "total_time_aed_used", "time_at_patient_to_end_aed",
+                "time_from_call_to_end_aed", "bystander_cpr", "utstein_survival", "age_unit", "age_years",
+                "age_range", "agency", "agency_type", "location_city_event_clean", "location", "call_type", "year",
+                "survival", "name_county", "county_fips", "district"]
+
+
+@query
+def incident_build(spark, sf_dir):
+    """X2 over every order: timestamps, rollover, AED-off clock, intervals,
+    age, agency rules, place cleaning + dictionary extraction against the X1
+    gazetteer, outcome, gazetteer attributes."""
+    from vigil.plans.incidents import build_incidents
+    t = Tables(spark, sf_dir)
+    inc = build_incidents(analog_incidents_raw(t), analog_gazetteer(spark, t), id_cols=["o_orderkey"])
+    return inc.select(*[fmt_ts(c).alias(c) if c.endswith("_fix") else
+                        (F.round(c, 6).alias(c) if c.startswith("time_from") or c.startswith("time_at")
+                         or c in ("total_time_aed_used", "age_years") else F.col(c))
+                        for c in INCIDENT_OUT])

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from vigil.functions import rules as R
 from vigil.functions.ids import surrogate_id
 from vigil.functions.strings import extract_first, pad_left, remove_first, squish
-from vigil.operators.joins import broadcast_if_small, exclude_pairs, left_lookup
+from vigil.operators.joins import exclude_pairs, left_lookup
 from vigil.sources.io import literal_table
 
 PLACE_COLUMNS = ["geonameid", "name", "asciiname", "alternatenames", "latitude", "longitude", "feature_class",
@@ -73,8 +73,9 @@ def build_gazetteer(spark: SparkSession, places: DataFrame, county_codes: DataFr
          .withColumns({"name": squish(remove_first("name", r"\s\(historical\)", ignore_case=True)),
                        "admin2_code": F.col("admin2_code").cast("string")})
          .withColumn("admin2_code", pad_left("admin2_code", 3)))
-    counties = broadcast_if_small(county_table(county_codes, state).select("county_code", "name_county"), 100_000)
-    attrs = broadcast_if_small(county_attrs, 100_000)
+    # county tables are dimensions: Catalyst/AQE broadcast them from measured size
+    counties = county_table(county_codes, state).select("county_code", "name_county")
+    attrs = county_attrs
     g = left_lookup(p, counties, "admin2_code", "county_code", ["name_county"]).withColumn("name", F.upper("name"))
     g = left_lookup(g, attrs, "name_county", "county", [c for c in attrs.columns if c != "county"])
     g = g.withColumns({"name": F.coalesce("name", F.lit("")), "name_county": F.coalesce("name_county", F.lit(""))})

@@ -21,10 +21,25 @@ from vigil.functions import times as TM
 from vigil.functions.ids import surrogate_id
 from vigil.functions.rules import apply_rules
 from vigil.functions.strings import squish, to_title
-from vigil.operators.columns import pull
-from vigil.operators.joins import broadcast_if_small, left_lookup
+from vigil.functions.strings import alternation_regex
+from vigil.operators.columns import spread
+from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
 
+MAX_GAZETTEER_ROWS = 200_000
+
+
+def gazetteer_vocabulary(gazetteer: DataFrame, max_rows: int = MAX_GAZETTEER_ROWS) -> tuple[list[str], list[str]]:
+    """(place names, county names) of a gazetteer in ONE bounded collect; a
+    gazetteer over ``max_rows`` rows is refused (use the n-gram extraction
+    path and keep it a DataFrame)."""
+    rows = gazetteer.select("name", "name_county").limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"gazetteer has more than {max_rows} rows; use place_method='ngram'")
+    names = sorted({r[0] for r in rows if r[0] is not None})
+    counties = sorted({r[1] for r in rows if r[1] is not None})
+    return names, counties
+
 GAZETTEER_ATTRS = ["name_county", "county_fips", "district", "designation", "urbanicity", "asciiname",
                    "latitude", "longitude", "population", "elevation"]
 INTERVALS = {
@@ -48,7 +63,7 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     ``""`` reproduces the as-coded empty string, ``"text"`` falls back to the
     cleaned text."""
     cols = list(id_cols or raw.columns)
-    x = raw.withColumn("unique_incident_id", surrogate_id(cols, seed))
+    x = spread(raw).withColumn("unique_incident_id", surrogate_id(cols, seed))
     x = x.withColumns({
         "amb_toc_timestamp": TM.combine_date_time("date_of_use", "amb_toc"),
         "amb_pat_timestamp": TM.combine_date_time("date_of_use", "amb_pat"),
@@ -73,14 +88,18 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     x = x.withColumn("age_years", C.age_in_years("age", "age_unit"))
     x = x.withColumns({"age_range": C.age_band("age_years"),
                        "agency": squish(F.coalesce("agency", F.lit(R.NOT_RECORDED)))})
-    counties = pull(gazetteer.select("name_county").distinct(), "name_county", max_rows=100_000)
+    names, counties = gazetteer_vocabulary(gazetteer) if place_method == "regex" else (None, None)
+    if counties is None:
+        counties = sorted({r[0] for r in gazetteer.select("name_county").distinct().limit(MAX_GAZETTEER_ROWS).collect()
+                           if r[0] is not None})
     x = x.withColumns({"agency_type": apply_rules("agency", R.AGENCY_TYPE_RULES, R.AGENCY_TYPE_DEFAULT),
                        "location_city_event_clean": clean_place("location_city_event", counties,
                                                                 county_suffix_as_coded)})
     ct = C.call_type("cardiac_episode", "od_case", "other_case")
     x = x.withColumns({**ct, "year": F.year("date_of_use")})
     x = extract_dictionary(x, "location_city_event_clean", gazetteer, "name", "location", method=place_method,
-                           id_col=place_id or "unique_incident_id")
+                           id_col=place_id or "unique_incident_id",
+                           pattern=alternation_regex(names) if names is not None else None)
     if location_fallback == "":
         x = x.withColumn("location", F.when(F.col("location").isNull() & (F.col("location_city_event_clean")
                                                                            != "MEDIC AMBULANCE"), F.lit(""))
@@ -89,6 +108,6 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
         x = x.withColumn("location", F.coalesce("location", "location_city_event_clean"))
     x = x.withColumns({f: F.coalesce(f, F.lit(False)) for f in ("expired_scene", "expired_in_er", "expired_in_hospital")})
     x = x.withColumn("survival", C.survival_from_flags("expired_scene", "expired_in_er", "expired_in_hospital"))
+    # the gazetteer was bounded above; Catalyst/AQE broadcast it from its size
     attrs = [c for c in GAZETTEER_ATTRS if c in gazetteer.columns]
-    gz = broadcast_if_small(gazetteer.select("name", *attrs), 1_000_000)
-    return left_lookup(x, gz, "location", "name", attrs)
+    return left_lookup(x, gazetteer.select("name", *attrs), "location", "name", attrs)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from vigil.functions import rules as R
 from vigil.functions.ids import LETTERS
-from vigil.plans.catalog import PART_RULES
+from vigil.plans.catalog import ANALOG_EXCLUSIONS, PART_RULES
+from vigil.plans.gazetteer import MANUAL_PLACES
 
 SURVIVAL = ("CASE o_orderstatus WHEN 'F' THEN 'Deceased' WHEN 'O' THEN 'Survived' "
             "ELSE 'Unknown' END")
@@ -20,8 +21,9 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def surrogate_id_sql(key_sql: str, seed: int) -> str:
-    h = f"sha256('{seed}' || '|' || CAST({key_sql} AS VARCHAR))"
+def surrogate_id_sql(key_sql: str | list[str], seed: int) -> str:
+    keys = [key_sql] if isinstance(key_sql, str) else list(key_sql)
+    h = f"sha256('{seed}'" + "".join(f" || '|' || CAST({k} AS VARCHAR)" for k in keys) + ")"
     letters = " || ".join(
         f"substr('{LETTERS}', (('0x' || substr({h}, {2 * i + 1}, 2))::INTEGER % 52) + 1, 1)" for i in range(10))
     digits = f"CAST(((('0x' || substr({h}, 21, 15))::BIGINT % 9000000000) + 1000000000) AS VARCHAR)"
@@ -155,7 +157,155 @@ def _centroid_sql() -> str:
            round(a2 / 2, 6) AS area FROM t"""
 
 
+def _title(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
+
+
+def _gazetteer_sql() -> str:
+    """CTE chain ending in ``gz`` (the X1 analogue on nation x region)."""
+    excl = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in ANALOG_EXCLUSIONS)
+    manual = ", ".join(f"({_q(n)}, {_q(c)}, {lat!r}::DOUBLE, {lon!r}::DOUBLE, {_q(d)}, {_q(a2)})"
+                       for n, c, lat, lon, d, a2 in MANUAL_PLACES)
+    code = "lpad(CAST(r_regionkey * 2 + 1 AS VARCHAR), 3, '0')"
+    return rf"""
+    p AS (SELECT n_nationkey AS geonameid,
+                 CASE WHEN n_nationkey % 4 = 0 THEN replace(n_name, '_', ' ') || ' (historical)'
+                      ELSE '  ' || replace(n_name, '_', ' ') || ' ' END AS raw_name,
+                 40.0::DOUBLE + n_nationkey / 10 AS latitude, -90.0::DOUBLE - n_regionkey AS longitude,
+                 CASE WHEN n_nationkey = 7 THEN 'H' ELSE 'P' END AS feature_class,
+                 CASE WHEN n_nationkey = 11 THEN 'MN' ELSE 'IA' END AS admin1_code,
+                 CAST(n_regionkey * 2 + 1 AS VARCHAR) AS admin2_code FROM nation),
+    pi AS (SELECT geonameid, trim(regexp_replace(regexp_replace(raw_name, '(?i)\s\(historical\)', ''), '\s+', ' ', 'g'))
+                    AS name, latitude, longitude,
+                  CASE WHEN length(admin2_code) < 3 THEN lpad(admin2_code, 3, '0') ELSE admin2_code END AS admin2_code
+           FROM p WHERE admin1_code = 'IA' AND feature_class = 'P'),
+    cc AS (SELECT 'US.IA.' || {code} AS code, {_title("r_name")} || ' County' AS name FROM region
+           UNION ALL SELECT 'CA.08.' || {code}, 'Elsewhere' FROM region),
+    cty AS (SELECT regexp_extract(code, '\.(\d+)$', 1) AS county_code,
+                   trim(regexp_replace(regexp_replace(name, '(?i)\scounty', ''), '\s+', ' ', 'g')) AS name_county
+            FROM cc WHERE regexp_extract(code, '^[^\.]+', 0) = 'US'
+                      AND regexp_extract(code, '^[A-Z]{{2}}\.(\d{{2}}|[A-Z]{{2}})', 1) = 'IA'),
+    attrs AS (SELECT {_title("r_name")} AS county, '19' || {code} AS county_fips,
+                     CAST(r_regionkey + 1 AS VARCHAR) AS district,
+                     CASE WHEN r_regionkey % 2 = 0 THEN 'Metro' ELSE 'Rural' END AS designation,
+                     CASE WHEN r_regionkey % 2 = 0 THEN 'Urban' ELSE 'Rural' END AS urbanicity
+              FROM region WHERE r_name <> 'MIDDLE EAST'),
+    g0 AS (SELECT CAST(pi.geonameid AS VARCHAR) AS geonameid, coalesce(upper(pi.name), '') AS name,
+                  coalesce(cty.name_county, '') AS name_county, a.district, a.county_fips, a.designation,
+                  a.urbanicity, pi.admin2_code, pi.latitude, pi.longitude
+           FROM pi LEFT JOIN cty ON pi.admin2_code = cty.county_code LEFT JOIN attrs a ON cty.name_county = a.county),
+    m AS (SELECT * FROM (VALUES {manual}) v(name, name_county, latitude, longitude, district, admin2_code)),
+    gz AS (SELECT * FROM g0 WHERE (name, name_county) NOT IN (SELECT * FROM (VALUES {excl}))
+           UNION ALL
+           SELECT {surrogate_id_sql(["m.name", "m.name_county"], R.INCIDENT_ID_SEED)}, m.name, m.name_county,
+                  m.district, a.county_fips, a.designation, a.urbanicity, m.admin2_code, m.latitude, m.longitude
+           FROM m LEFT JOIN attrs a ON m.name_county = a.county)"""
+
+
+def _incident_sql() -> str:
+    day = "86400000000"
+    agency_rules = _rules_case("agency", R.AGENCY_TYPE_RULES, _q(R.AGENCY_TYPE_DEFAULT))
+    place_rules = _rules_case("p8", R.PLACE_REPAIR_RULES, "p8")
+    county_pat = ("(SELECT '(?i)\\b(?:' || string_agg(name_county, '|' ORDER BY name_county) || ')\\b(?:\\sCO|\\sCOUNTY)$' "
+                  "FROM (SELECT DISTINCT trim(name_county) AS name_county FROM gz WHERE trim(name_county) <> ''))")
+    name_pat = ("(SELECT '(?i)\\b(?:' || string_agg(name, '|' ORDER BY name) || ')\\b' "
+                "FROM (SELECT DISTINCT trim(name) AS name FROM gz WHERE name IS NOT NULL AND trim(name) <> ''))")
+    rollover = ("CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND hour({a}) > hour({b}) "
+                "THEN {b} + INTERVAL 1 DAY ELSE {b} END")
+    mins = "round((epoch_us({e}) - epoch_us({s})) / 60000000, 6)"
+    ts = "strftime({x}, " + TS + ")"
+    return f"""
+    WITH {_gazetteer_sql()},
+    r AS (
+      SELECT o.o_orderkey, CAST(o.o_orderdate AS DATE) AS date_of_use, o.o_custkey, c.c_custkey,
+             (o.o_orderkey * 7919 % 86400) * 1000000 AS amb_toc,
+             o.o_orderpriority AS prio, o.o_orderstatus AS status,
+             CASE o.o_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN 'Rural ' || replace(n.n_name, '_', ' ')
+                  WHEN 2 THEN replace(n.n_name, '_', ' ') || ' ' || {_title("r.r_name")} || ' Co'
+                  WHEN 3 THEN 'Iowa State Fair Grounds' WHEN 4 THEN 'Medic Ambulance'
+                  WHEN 5 THEN lower(replace(n.n_name, '_', ' ')) || ', IA 50310'
+                  WHEN 6 THEN 'Nowhere ' || o.o_orderpriority ELSE 'West ' || replace(n.n_name, '_', ' ') END
+               AS location_city_event,
+             CASE c.c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN c.c_name || ' PD' WHEN 2 THEN 'County S0'
+                  WHEN 3 THEN 'Iowa DNR' WHEN 4 THEN 'ISP Post ' || CAST(n.n_nationkey AS VARCHAR)
+                  ELSE c.c_mktsegment END AS agency,
+             CASE WHEN o.o_custkey % 13 = 0 THEN NULL WHEN c.c_custkey % 5 = 0 THEN abs(c.c_acctbal) / 100 * 365
+                  WHEN c.c_custkey % 5 = 1 THEN abs(c.c_acctbal) / 100 * 12
+                  WHEN c.c_custkey % 5 = 2 THEN abs(c.c_acctbal) / 100 * 52 ELSE abs(c.c_acctbal) / 100 END AS age,
+             CASE c.c_custkey % 5 WHEN 0 THEN 'Days' WHEN 1 THEN 'Months' WHEN 2 THEN 'weeks' WHEN 3 THEN 'Years'
+                  END AS age_unit,
+             CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE o.o_orderkey % 2 = 0 END AS witnessed,
+             CASE WHEN o.o_orderkey % 10 = 0 THEN NULL ELSE o.o_custkey % 3 = 0 END AS bystander_raw,
+             o.o_orderkey % 4 AS shocks,
+             CASE o.o_orderpriority WHEN '1-URGENT' THEN true WHEN '5-LOW' THEN NULL ELSE false END AS cardiac_raw,
+             o.o_orderpriority = '2-HIGH' AS od_raw,
+             CASE WHEN o.o_orderpriority IN ('3-MEDIUM', '1-URGENT') THEN 'Fall' END AS other_case,
+             o.o_orderstatus = 'F' AS expired_scene,
+             CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE false END AS expired_in_er
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+      JOIN region r ON n.n_regionkey = r.r_regionkey),
+    r2 AS (SELECT *, ((amb_toc + ((o_custkey % 40) - 5) * 60000000) % {day} + {day}) % {day} AS amb_pat,
+                  CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN 0
+                       ELSE (o_orderkey % 1800) * 1000000 + 250000 END AS dur FROM r),
+    r3 AS (SELECT *, CASE WHEN o_orderkey % 23 = 0 THEN NULL
+                          ELSE ((amb_pat + (o_orderkey % 11) * 60000000) % {day} + {day}) % {day} END AS aed_on FROM r2),
+    b1 AS (SELECT *, CAST(date_of_use AS TIMESTAMP) + to_microseconds(amb_toc) AS toc_ts,
+                  CAST(date_of_use AS TIMESTAMP) + to_microseconds(amb_pat) AS pat_ts,
+                  CAST(date_of_use AS TIMESTAMP) + to_microseconds(aed_on) AS on_ts,
+                  CASE WHEN regexp_matches(coalesce(location_city_event, ''), '(?i)iowa state fair grounds')
+                       THEN 'Des Moines' ELSE location_city_event END AS loc,
+                  ((aed_on + dur - dur % 1000000) % {day} + {day}) % {day} AS off0 FROM r3),
+    b2 AS (SELECT *, {rollover.format(a="toc_ts", b="pat_ts")} AS pat_fix,
+                  CAST(date_of_use AS TIMESTAMP) + to_microseconds(off0) AS off_ts0 FROM b1),
+    b3 AS (SELECT *, CASE WHEN coalesce(aed_on = off0, false) THEN NULL ELSE off0 END AS time_aed_off,
+                  CASE WHEN coalesce(on_ts = off_ts0, false) THEN NULL ELSE off_ts0 END AS off_ts FROM b2),
+    b4 AS (SELECT *, {rollover.format(a="on_ts", b="off_ts")} AS off_fix FROM b3),
+    b5 AS (SELECT *, coalesce(agency, 'Not Recorded') AS agency0,
+                  {_title("coalesce(age_unit, 'Not Recorded')")} AS unit_t FROM b4),
+    b6 AS (SELECT *, CASE unit_t WHEN 'Days' THEN age / 365.25 WHEN 'Months' THEN age / 12
+                                 WHEN 'Weeks' THEN age / 52.1786 ELSE age END AS age_years,
+                  {_squish("agency0")} AS agency1 FROM b5),
+    s1 AS (SELECT *, {_squish("coalesce(loc, 'Not Recorded')")} AS p1 FROM b6),
+    s2 AS (SELECT *, regexp_replace(p1, {_q('(?i)' + R.PLACE_QUALIFIER_PATTERN)}, '', 'g') AS p2 FROM s1),
+    s3 AS (SELECT *, upper(regexp_replace(p2, {_q(R.FORT_PATTERN)}, {_q(R.FORT_VALUE)}, 'g')) AS p3 FROM s2),
+    s4 AS (SELECT *, regexp_replace(p3, {county_pat}, '') AS p4 FROM s3),
+    s5 AS (SELECT *, regexp_replace(p4, {_q(R.SERGEANT_PATTERN)}, {_q(R.SERGEANT_VALUE)}) AS p5 FROM s4),
+    s6 AS (SELECT *, regexp_replace(p5, {_q('(?i)' + R.JUNK_TAIL_PATTERN)}, '') AS p6 FROM s5),
+    s7 AS (SELECT *, CASE WHEN regexp_matches(p6, '(?i)delaware') THEN 'DELAWARE' ELSE p6 END AS p7 FROM s6),
+    s8 AS (SELECT *, regexp_replace(p7, {_q('(?i)' + R.TOWNSHIP_PATTERN)}, 'TOWNSHIP') AS p8 FROM s7),
+    s9 AS (SELECT *, {place_rules} AS p9 FROM s8),
+    s10 AS (SELECT *, regexp_replace({_squish("p9")}, '[^A-Za-z0-9\\s]+', ' ', 'g') AS p10 FROM s9),
+    s11 AS (SELECT *, CASE WHEN regexp_matches(p10, '(?i)melcher') THEN 'MELCHER-DALLAS' ELSE p10 END AS clean
+            FROM s10),
+    f AS (SELECT *, nullif(regexp_extract(clean, {name_pat}, 0), '') AS location,
+                 coalesce(cardiac_raw, false) AS cardiac, coalesce(od_raw, false) AS od FROM s11)
+    SELECT f.o_orderkey, {surrogate_id_sql("f.o_orderkey", R.INCIDENT_ID_SEED)} AS unique_incident_id,
+           {ts.format(x="pat_fix")} AS amb_pat_timestamp_fix, time_aed_off,
+           {ts.format(x="off_fix")} AS time_aed_off_timestamp_fix,
+           {mins.format(e="pat_fix", s="toc_ts")} AS time_from_call_to_patient,
+           {mins.format(e="on_ts", s="toc_ts")} AS time_from_call_to_aed_on,
+           {mins.format(e="on_ts", s="pat_fix")} AS time_from_patient_to_aed,
+           {mins.format(e="off_fix", s="on_ts")} AS total_time_aed_used,
+           {mins.format(e="off_fix", s="pat_fix")} AS time_at_patient_to_end_aed,
+           {mins.format(e="off_fix", s="toc_ts")} AS time_from_call_to_end_aed,
+           coalesce(bystander_raw, false) AS bystander_cpr,
+           (bystander_raw = true) AND (witnessed = true) AND (shocks > 0) AS utstein_survival,
+           unit_t AS age_unit, round(age_years, 6) AS age_years, {_age_band("age_years")} AS age_range,
+           agency1 AS agency, {agency_rules.replace("coalesce(agency, '')", "coalesce(agency1, '')")} AS agency_type,
+           clean AS location_city_event_clean, location,
+           CASE WHEN cardiac THEN 'Cardiac Arrest' WHEN od THEN 'Overdose'
+                WHEN other_case IS NOT NULL AND NOT cardiac THEN 'Other Cause' ELSE 'Unknown' END AS call_type,
+           CAST(year(date_of_use) AS INTEGER) AS year,
+           CASE WHEN coalesce(expired_scene, false) OR coalesce(expired_in_er, false) THEN 'Deceased'
+                ELSE 'Survived' END AS survival,
+           gz.name_county, gz.county_fips, gz.district
+    FROM f LEFT JOIN (SELECT name, name_county, county_fips, district FROM gz) gz ON f.location = gz.name"""
+
+
 SQL: dict[str, str] = {
+    "gazetteer_build": "WITH " + _gazetteer_sql() + " SELECT * FROM gz",
+    "incident_build": _incident_sql(),
     "count_by_year_keep_first": """
         SELECT CAST(year(l_shipdate) AS BIGINT) AS year, count(*) AS n
         FROM (SELECT l_shipdate, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber,
