@@ -65,7 +65,7 @@ def test_join_strings_orders_and_distinct(spark):
     side = Side(columns=["o", "v"], outputs={"all": ("v", "all"), "uniq": ("v", "distinct"), "ord": ("o", "all")})
     out = {r.k: r for r in join_strings(df, ["k"], side).collect()}
     assert (out[1].all, out[1].uniq, out[1].ord) == ("y, x, x", "y, x", "1, 2, 3")
-    assert out[2].all == ""
+    assert out[2].all is None          # nothing recorded -> NULL
     tok = {r.k: r for r in join_strings(df, ["k"], side, missing_token="missing").collect()}
     assert tok[2].all == "missing"
 

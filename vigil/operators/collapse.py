@@ -61,7 +61,9 @@ def side_outputs(side: Side, alias: str, missing_token: str | None = None, sep:
             vals = F.array_distinct(vals)
         elif mode != "all":
             raise ValueError(mode)
-        out[name] = F.array_join(vals, sep)
+        # no non-missing value at all -> NULL (nothing recorded), not ""
+        present = F.size(F.filter(vals, lambda v: v.isNotNull())) > 0
+        out[name] = F.when(present, F.array_join(vals, sep))
     return out
 
 

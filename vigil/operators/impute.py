@@ -12,7 +12,9 @@ the same exact, linearly interpolated quantile fully distributed:
 5. the two rows bracketing the target rank -> interpolate.
 
 No step holds more than one range partition in a task, and nothing but a
-handful of rows reaches the driver (through a scalar subquery).
+handful of rows reaches the driver (through a scalar subquery).  The ranged
+distinct values are checkpointed (reliably) so both of their consumers use
+the same partition ids.
 """
 from __future__ import annotations
 
@@ -21,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import checkpoint_dir
+
 
 def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int | None = None) -> DataFrame:
     """One-row DataFrame ``(q)``: exact quantile of non-NULL ``c`` at ``p``
@@ -30,6 +34,11 @@ def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int | None = No
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = vc.repartitionByRange(partitions, "v").withColumn("pid", F.spark_partition_id())
+    # Both consumers below must see the SAME range bounds: a reliable
+    # checkpoint (shared spark.checkpoint.dir) pins the partition ids, so a
+    # re-planned or recomputed branch cannot re-sample different bounds.
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     per_part = ranged.groupBy("pid").agg(F.sum("cnt").alias("pcnt"))
     offsets = per_part.withColumn(
         "off", F.sum("pcnt").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))

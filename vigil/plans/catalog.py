@@ -771,3 +771,68 @@ def incident_build(spark, sf_dir):
                         (F.round(c, 6).alias(c) if c.startswith("time_from") or c.startswith("time_at")
                          or c in ("total_time_aed_used", "age_years") else F.col(c))
                         for c in INCIDENT_OUT])
+
+
+# X3 on a driver-table analogue -------------------------------------------------
+def analog_runs_raw(t: Tables) -> DataFrame:
+    """Registry-extract rows (FIXTURES B2 layout, text dates) from every
+    lineitem joined to its order: run = order, procedure/medication = line."""
+    from vigil.plans import runs as RU
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
+    disp = F.timestamp_add("SECOND", ok % 86400, F.col("o_orderdate"))
+    scene = F.timestamp_add("MINUTE", ok % 13, disp)
+    patient = F.when(ok % 10 == 0, F.lit(None)).otherwise(F.timestamp_add("MINUTE", ck % 7, scene))
+    proc = F.timestamp_add("MINUTE", F.col("l_linenumber") * 2, disp)
+    hms = "M/d/yyyy H:mm:ss"
+    rf, prio, st = F.col("l_returnflag"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    x = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return x.select(
+        ok.cast("string").alias(RU.KEY),
+        F.date_format("o_orderdate", "M/d/yyyy").alias(RU.DATE),
+        F.date_format(disp, hms).alias("incident_date_time"),
+        F.date_format(disp, hms).alias(RU.DISPATCH),
+        F.date_format(scene, hms).alias(RU.SCENE),
+        F.date_format(patient, hms).alias(RU.PATIENT),
+        F.date_format(proc, hms).alias(RU.PROC_TIME),
+        F.when(rf == "R", "Defibrillation, AED").when(rf == "A", "CV - Cardioversion")
+        .otherwise("Airway - Suction").alias(RU.PROC_DESC),
+        F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("l_linenumber")).alias(RU.PROC_ATTEMPTS),
+        F.concat(F.lit("Med "), (F.col("l_partkey") % 5).cast("string")).alias(RU.MED),
+        F.when(F.col("l_linestatus") == "O", "Improved").otherwise("Unchanged").alias(RU.MED_RESPONSE),
+        F.when(prio == "1-URGENT", "Cardiac arrest").when(prio == "2-HIGH", "Overdose")
+        .otherwise("Unconscious").alias(RU.COMPLAINT),
+        F.when(ck % 11 == 0, F.lit(None)).when(ck % 7 == 0, F.lit("123456"))
+        .otherwise(F.lpad((ck % 10000000).cast("string"), 7, "1")).alias(RU.AGENCY_NUMBER),
+        F.lit("Agency").alias("agency_name_d_agency_03"),
+        F.when(ok % 3 == 0, "Not Witnessed").when(ok % 3 == 1, "Bystander").otherwise(F.lit(None))
+        .alias(RU.WITNESSED_BY),
+        F.when(ok % 4 == 0, F.lit(None)).otherwise(F.lit("No")).alias(RU.CPR_PRIOR),
+        F.when(ok % 5 == 0, F.lit('"Family Member"')).alias(RU.CPR_WHO),
+        F.lit(None).cast("string").alias("cardiac_arrest_who_initiated_cpr_3_4_it_arrest_008_3_5_e_arrest_20"),
+        F.when(ok % 6 == 0, F.lit(None)).otherwise(prio == "2-HIGH").alias(RU.OVERDOSE),
+        F.when(st == "F", "Expired in the Field").when(st == "O", "ROSC in the ED")
+        .when(ok % 2 == 0, F.lit(None)).otherwise(F.lit("Not Applicable")).alias(RU.OUTCOME),
+        F.when(F.col("o_totalprice") > 200000, "Dead at scene").otherwise("Transported").alias(RU.DISPOSITION),
+        F.lit("19").alias(RU.STATE),
+        F.when(ck % 9 == 0, F.lit("")).when(ck % 9 == 1, (ck % 200).cast("string"))
+        .otherwise(((ck % 4) * 2 + 1).cast("string")).alias(RU.COUNTY))
+
+
+RUNS_OUT_EXTRA = ["incident_day", "season", "weekday_weekend", "shocks", "witnessed", "rosc_ed", "rosc_field",
+                  "expire_field", "expire_ed", "survival", "county_id", "county_fips", "region_preparedness"]
+
+
+@query
+def runs_build(spark, sf_dir):
+    """X3 over every lineitem x order: distinct, text dates parsed, dispatch
+    intervals, 7-character agency filter, defibrillation shocks, one row per
+    run with ordered procedure/medication texts, CPR/outcome repairs, exact
+    median imputation, FIPS and county attributes."""
+    from vigil.plans import runs as RU
+    t = Tables(spark, sf_dir)
+    runs = RU.build_runs(analog_runs_raw(t), analog_county_attrs(t), base_order=[RU.DISPATCH, RU.PROC_TIME])
+    cols = [RU.KEY, F.date_format(RU.DATE, "yyyy-MM-dd").alias(RU.DATE), RU.COMPLAINT, RU.PROC_DESC, RU.PROC_TIME,
+            RU.PROC_ATTEMPTS, RU.MED, RU.MED_RESPONSE, F.round(RU.TO_SCENE, 6).alias(RU.TO_SCENE),
+            F.round(RU.TO_PATIENT, 6).alias(RU.TO_PATIENT), RU.CPR_PRIOR, RU.CPR_WHO, RU.OVERDOSE, RU.OUTCOME,
+            *RUNS_OUT_EXTRA]
+    return runs.select(*cols)

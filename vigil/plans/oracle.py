@@ -303,7 +303,99 @@ def _incident_sql() -> str:
     FROM f LEFT JOIN (SELECT name, name_county, county_fips, district FROM gz) gz ON f.location = gz.name"""
 
 
+def _runs_sql() -> str:
+    from vigil.plans import runs as RU
+    hms = "'%-m/%-d/%Y %-H:%M:%S'"
+    parse = "try_strptime({x}, '%m/%d/%Y %H:%M:%S')"
+    code = "lpad(CAST(r_regionkey * 2 + 1 AS VARCHAR), 3, '0')"
+    order = "proc_time, proc_desc, attempts, complaint"
+    return f"""
+    WITH raw AS (
+      SELECT DISTINCT CAST(o.o_orderkey AS VARCHAR) AS pk, strftime(o.o_orderdate, '%-m/%-d/%Y') AS d_text,
+             strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400), {hms}) AS disp_t,
+             strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400) + to_minutes(o.o_orderkey % 13), {hms}) AS scene_t,
+             CASE WHEN o.o_orderkey % 10 = 0 THEN NULL ELSE strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400)
+                  + to_minutes(o.o_orderkey % 13) + to_minutes(o.o_custkey % 7), {hms}) END AS patient_t,
+             strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400) + to_minutes(l.l_linenumber * 2), {hms}) AS proc_t,
+             CASE l.l_returnflag WHEN 'R' THEN 'Defibrillation, AED' WHEN 'A' THEN 'CV - Cardioversion'
+                  ELSE 'Airway - Suction' END AS proc_desc,
+             CASE WHEN l.l_linenumber = 1 THEN NULL ELSE l.l_linenumber END AS attempts,
+             'Med ' || CAST(l.l_partkey % 5 AS VARCHAR) AS med,
+             CASE WHEN l.l_linestatus = 'O' THEN 'Improved' ELSE 'Unchanged' END AS resp,
+             CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Cardiac arrest' WHEN '2-HIGH' THEN 'Overdose'
+                  ELSE 'Unconscious' END AS complaint,
+             CASE WHEN o.o_custkey % 11 = 0 THEN NULL WHEN o.o_custkey % 7 = 0 THEN '123456'
+                  ELSE lpad(CAST(o.o_custkey % 10000000 AS VARCHAR), 7, '1') END AS agency_no,
+             CASE o.o_orderkey % 3 WHEN 0 THEN 'Not Witnessed' WHEN 1 THEN 'Bystander' END AS witnessed_by,
+             CASE WHEN o.o_orderkey % 4 = 0 THEN NULL ELSE 'No' END AS cpr_raw,
+             CASE WHEN o.o_orderkey % 5 = 0 THEN '"Family Member"' END AS who_raw,
+             CASE WHEN o.o_orderkey % 6 = 0 THEN NULL ELSE o.o_orderpriority = '2-HIGH' END AS overdose_raw,
+             CASE WHEN o.o_orderstatus = 'F' THEN 'Expired in the Field' WHEN o.o_orderstatus = 'O' THEN 'ROSC in the ED'
+                  WHEN o.o_orderkey % 2 = 0 THEN NULL ELSE 'Not Applicable' END AS outcome_raw,
+             CASE WHEN o.o_totalprice > 200000 THEN 'Dead at scene' ELSE 'Transported' END AS disposition,
+             '19' AS state,
+             CASE WHEN o.o_custkey % 9 = 0 THEN '' WHEN o.o_custkey % 9 = 1 THEN CAST(o.o_custkey % 200 AS VARCHAR)
+                  ELSE CAST((o.o_custkey % 4) * 2 + 1 AS VARCHAR) END AS county
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+    x AS (SELECT *, try_strptime(d_text, '%m/%d/%Y')::DATE AS d, {parse.format(x="disp_t")} AS disp,
+                 {parse.format(x="scene_t")} AS scene, {parse.format(x="patient_t")} AS patient,
+                 {parse.format(x="proc_t")} AS proc_ts, replace(who_raw, '"', '') AS who
+          FROM raw WHERE length(agency_no) = 7),
+    y AS (SELECT *, CAST(proc_ts AS VARCHAR) AS proc_time,
+                 (epoch_us(scene) - epoch_us(disp)) / 60000000 AS to_scene,
+                 (epoch_us(patient) - epoch_us(disp)) / 60000000 AS to_patient FROM x),
+    defib AS (SELECT pk, CAST(sum(coalesce(attempts, 1)) AS BIGINT) AS shocks
+              FROM (SELECT DISTINCT pk, proc_desc, proc_time, attempts FROM y
+                    WHERE regexp_matches(coalesce(proc_desc, ''), {_q('(?i)' + R.DEFIB_PATTERN)})) GROUP BY pk),
+    base AS (SELECT pk, any_value(d) AS d, any_value(to_scene) AS to_scene, any_value(to_patient) AS to_patient,
+                    any_value(witnessed_by) AS witnessed_by, any_value(cpr_raw) AS cpr_raw, any_value(who) AS who,
+                    any_value(overdose_raw) AS overdose_raw, any_value(outcome_raw) AS outcome_raw,
+                    any_value(disposition) AS disposition, any_value(state) AS state, any_value(county) AS county
+             FROM y GROUP BY pk),
+    ps AS (SELECT DISTINCT pk, proc_time, proc_desc, attempts, complaint FROM y),
+    pr AS (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY {order}) AS pos FROM ps),
+    s1 AS (SELECT pk, string_agg(proc_time, ', ' ORDER BY pos) AS proc_time_j,
+                  string_agg(CAST(attempts AS VARCHAR), ', ' ORDER BY pos) AS attempts_j FROM pr GROUP BY pk),
+    c1 AS (SELECT pk, string_agg(complaint, ', ' ORDER BY fp) AS complaint_j
+           FROM (SELECT pk, complaint, min(pos) AS fp FROM pr GROUP BY 1, 2) GROUP BY pk),
+    d1 AS (SELECT pk, string_agg(proc_desc, ', ' ORDER BY fp) AS desc_j
+           FROM (SELECT pk, proc_desc, min(pos) AS fp FROM pr GROUP BY 1, 2) GROUP BY pk),
+    m AS (SELECT pk, string_agg(med, ', ' ORDER BY med, resp) AS med_j, string_agg(resp, ', ' ORDER BY med, resp) AS resp_j
+          FROM (SELECT DISTINCT pk, med, resp FROM y) GROUP BY pk),
+    runs AS (SELECT b.*, s1.proc_time_j, s1.attempts_j, c1.complaint_j, d1.desc_j, m.med_j, m.resp_j, defib.shocks,
+                    CASE WHEN outcome_raw IS NULL OR (regexp_matches(coalesce(outcome_raw, ''), '(?i)not applicable|not recorded')
+                          AND regexp_matches(coalesce(disposition, ''), '(?i)dead')) THEN 'Expired in the Field'
+                         ELSE outcome_raw END AS outcome
+             FROM base b LEFT JOIN s1 USING (pk) LEFT JOIN c1 USING (pk) LEFT JOIN d1 USING (pk) LEFT JOIN m USING (pk)
+             LEFT JOIN defib USING (pk)),
+    imp AS (SELECT *, coalesce(to_scene, (SELECT median(to_scene) FROM runs)) AS to_scene_i,
+                   coalesce(to_patient, (SELECT median(to_patient) FROM runs)) AS to_patient_i,
+                   CASE WHEN length(coalesce(county, '')) = 0 THEN NULL
+                        WHEN length(county) < 3 THEN lpad(county, 3, '0') ELSE county END AS county_id FROM runs),
+    attrs AS (SELECT '19' || {code} AS county_fips, CAST(r_regionkey + 1 AS VARCHAR) AS region_preparedness
+              FROM region WHERE r_name <> 'MIDDLE EAST')
+    SELECT pk AS {RU.KEY}, strftime(d, '%Y-%m-%d') AS {RU.DATE}, complaint_j AS {RU.COMPLAINT},
+           desc_j AS {RU.PROC_DESC}, proc_time_j AS {RU.PROC_TIME}, attempts_j AS {RU.PROC_ATTEMPTS},
+           med_j AS {RU.MED}, resp_j AS {RU.MED_RESPONSE}, round(to_scene_i, 6) AS {RU.TO_SCENE},
+           round(to_patient_i, 6) AS {RU.TO_PATIENT},
+           CASE WHEN who IS NOT NULL THEN 'yes' ELSE coalesce(cpr_raw, 'Not Recorded') END AS {RU.CPR_PRIOR},
+           who AS {RU.CPR_WHO}, coalesce(overdose_raw, false) AS {RU.OVERDOSE}, outcome AS {RU.OUTCOME},
+           dayname(d) AS incident_day,
+           CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
+                WHEN month(d) IN (6, 7, 8) THEN 'Summer' WHEN d IS NULL THEN NULL ELSE 'Fall' END AS season,
+           dayofweek(d) IN (0, 6) AS weekday_weekend, shocks,
+           NOT regexp_matches(coalesce(witnessed_by, ''), '(?i)not') AS witnessed,
+           regexp_matches(outcome, '(?i)rosc in the ed') AS rosc_ed,
+           regexp_matches(outcome, '(?i)rosc in the field') AS rosc_field,
+           regexp_matches(outcome, '(?i)expired in the field') AS expire_field,
+           regexp_matches(outcome, '(?i)expired in the ed') AS expire_ed,
+           NOT regexp_matches(outcome, '(?i)expire') AS survival,
+           county_id, state || county_id AS county_fips, attrs.region_preparedness
+    FROM imp LEFT JOIN attrs ON imp.state || imp.county_id = attrs.county_fips"""
+
+
 SQL: dict[str, str] = {
+    "runs_build": _runs_sql(),
     "gazetteer_build": "WITH " + _gazetteer_sql() + " SELECT * FROM gz",
     "incident_build": _incident_sql(),
     "count_by_year_keep_first": """

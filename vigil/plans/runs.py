@@ -21,7 +21,8 @@ from vigil.functions import times as TM
 from vigil.functions.strings import code_length_is, strip_chars
 from vigil.operators.collapse import Side, collapse_one_to_many, defibrillation_summary
 from vigil.operators.impute import impute_median
-from vigil.operators.joins import broadcast_if_small, left_lookup
+from vigil.operators.joins import left_lookup
+from vigil.session import checkpoint_dir
 
 KEY = "fact_incident_pk"
 DATE = "incident_date"
@@ -64,10 +65,12 @@ def prepare_runs(raw: DataFrame, missing_token: str | None = None) -> DataFrame:
 def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str],
                side_order: Sequence[str] = (PROC_TIME, PROC_DESC, PROC_ATTEMPTS, COMPLAINT),
                defib_pattern: str = R.DEFIB_PATTERN, missing_token: str | None = None,
-               median_method: str = "ranked") -> DataFrame:
+               median_method: str = "ranked", checkpoint: bool = True) -> DataFrame:
     """One row per run.  ``base_order`` orders a run's rows for keep-first
     (the reference keeps the first row in file order: name a total order);
-    ``side_order`` orders the joined procedure texts."""
+    ``side_order`` orders the joined procedure texts.  ``checkpoint`` writes
+    the collapsed runs once to the shared checkpoint folder before the
+    medians are taken, so the collapse is not recomputed per median."""
     x = prepare_runs(raw, missing_token)
     shocks = defibrillation_summary(x, KEY, PROC_DESC, PROC_TIME, PROC_ATTEMPTS, defib_pattern).select(KEY, "shocks")
     x = x.withColumns({"incident_day": TM.day_name(DATE), "incident_month": TM.month_name(DATE)})
@@ -83,10 +86,14 @@ def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str
                              CPR_PRIOR: C.cpr_prior_to_arrival(CPR_PRIOR, CPR_WHO),
                              OVERDOSE: F.coalesce(OVERDOSE, F.lit(False)),
                              OUTCOME: C.repair_outcome(OUTCOME, DISPOSITION)})
+    if checkpoint:
+        checkpoint_dir(runs.sparkSession)
+        runs = runs.checkpoint(eager=True)
     runs = impute_median(runs, [TO_PATIENT, TO_SCENE], method=median_method)
     runs = runs.withColumns({**C.outcome_flags(OUTCOME),
                              f"length_{COUNTY}": F.length(F.coalesce(F.col(COUNTY).cast("string"), F.lit("")))})
     runs = runs.withColumns({"county_id": C.county_id(COUNTY),
                              "county_fips": C.county_fips(STATE, COUNTY, missing_token)})
-    attrs = broadcast_if_small(county_attrs, 100_000)
+    # county attributes are a dimension: Catalyst/AQE broadcast it from its size
+    attrs = county_attrs
     return left_lookup(runs, attrs, "county_fips", "county_fips", [c for c in attrs.columns if c != "county_fips"])
