@@ -27,7 +27,7 @@ from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators import collapse as CL
 from vigil.operators.collapse import Side, defibrillation_summary
-from vigil.operators.columns import drop_missing, pull
+from vigil.operators.columns import drop_missing, pull, spread
 from vigil.operators.dedup import duplicate_keys, keep_first
 from vigil.operators.geo import collection_centroid
 from vigil.operators.impute import impute_median
@@ -785,7 +785,8 @@ def analog_runs_raw(t: Tables) -> DataFrame:
     proc = F.timestamp_add("MINUTE", F.col("l_linenumber") * 2, disp)
     hms = "M/d/yyyy H:mm:ss"
     rf, prio, st = F.col("l_returnflag"), F.col("o_orderpriority"), F.col("o_orderstatus")
-    x = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # CPU-heavy text formatting of every line: spread single-file input over the cores
+    x = spread(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return x.select(
         ok.cast("string").alias(RU.KEY),
         F.date_format("o_orderdate", "M/d/yyyy").alias(RU.DATE),
@@ -836,3 +837,79 @@ def runs_build(spark, sf_dir):
             F.round(RU.TO_PATIENT, 6).alias(RU.TO_PATIENT), RU.CPR_PRIOR, RU.CPR_WHO, RU.OVERDOSE, RU.OUTCOME,
             *RUNS_OUT_EXTRA]
     return runs.select(*cols)
+
+
+# X7 on a driver-table analogue -------------------------------------------------
+def analog_measure(t: Tables) -> DataFrame:
+    """Measure rows (FIXTURES B6 layout): mean account balance at nation /
+    region ("State") / nation ("County") level, plus a non-overall stratum."""
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    v = F.round(F.avg("c_acctbal"), 6).alias("data_value")
+
+    def rows(df, s1, level, lid, abbr, desc):
+        return df.select(F.lit(s1).alias("stratification1"), F.lit("Overall").alias("stratification2"),
+                         F.lit(level).alias("geographiclevel"), lid.alias("locationid"), abbr.alias("locationabbr"),
+                         desc.alias("locationdesc"), "data_value")
+    nat = rows(c.agg(v), "Overall", "Nation", F.lit("59"), F.lit("US"), F.lit("United States"))
+    st = c.groupBy("n_regionkey").agg(v)
+    state = rows(st, "Overall", "State", F.col("n_regionkey").cast("string"),
+                 F.concat(F.lit("R"), F.col("n_regionkey").cast("string")),
+                 F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")))
+    male = rows(st, "Male", "State", F.col("n_regionkey").cast("string"), F.lit("R"), F.lit("Region"))
+    ct = c.groupBy("n_nationkey", "n_name").agg(v)
+    county = rows(ct, "Overall", "County",
+                  F.concat(F.lit("19"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")),
+                  F.when(F.col("n_nationkey") % 3 == 0, "XX").otherwise("IA"),
+                  F.concat(_initcap_words("n_name"), F.lit(" County")))
+    return nat.unionByName(state).unionByName(male).unionByName(county)
+
+
+def _mortality(spark, sf_dir):
+    from vigil.plans.reports import mortality_tables
+    t = Tables(spark, sf_dir)
+    states = t.region.select(F.lpad(F.col("r_regionkey").cast("string"), 2, "0").alias("STATEFP"),
+                             F.col("r_name").alias("NAME"))
+    counties = t.nation.select(F.lit("19").alias("STATEFP"),
+                               F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("COUNTYFP"),
+                               F.col("n_name").alias("NAME"))
+    attrs = t.nation.where(F.col("n_regionkey") != 4).select(
+        _initcap_words("n_name").alias("county"), (F.col("n_regionkey") + 1).cast("string").alias("region_preparedness"))
+    return mortality_tables(analog_measure(t), states, counties, attrs)
+
+
+@query
+def mortality_state(spark, sf_dir):
+    return _mortality(spark, sf_dir)["state"]
+
+
+@query
+def mortality_county(spark, sf_dir):
+    return _mortality(spark, sf_dir)["county"]
+
+
+@query
+def mortality_national(spark, sf_dir):
+    return _mortality(spark, sf_dir)["national"]
+
+
+# X5 reports on the X2 analogue ---------------------------------------------------
+def _analog_incidents(spark, sf_dir):
+    from vigil.plans.incidents import build_incidents
+    t = Tables(spark, sf_dir)
+    return build_incidents(analog_incidents_raw(t), analog_gazetteer(spark, t), id_cols=["o_orderkey"])
+
+
+@query
+def incident_location_counts(spark, sf_dir):
+    """Deployments per (place, lat, lon) with quantile size bins, on the
+    deduplicated incidents."""
+    from vigil.plans.reports import location_counts, unique_incidents
+    return location_counts(unique_incidents(_analog_incidents(spark, sf_dir), ["date_of_use", "amb_toc", "o_orderkey"]))
+
+
+@query
+def incident_city_share(spark, sf_dir):
+    """Deployments by city (missing -> "Not Recorded") with shares of all
+    deployments, then the city-size threshold (n > 46)."""
+    from vigil.plans.reports import deployments_by_city, unique_incidents
+    return deployments_by_city(unique_incidents(_analog_incidents(spark, sf_dir), ["date_of_use", "amb_toc", "o_orderkey"]))

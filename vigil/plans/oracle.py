@@ -203,7 +203,7 @@ def _gazetteer_sql() -> str:
            FROM m LEFT JOIN attrs a ON m.name_county = a.county)"""
 
 
-def _incident_sql() -> str:
+def _incident_sql(extra: str = "") -> str:
     day = "86400000000"
     agency_rules = _rules_case("agency", R.AGENCY_TYPE_RULES, _q(R.AGENCY_TYPE_DEFAULT))
     place_rules = _rules_case("p8", R.PLACE_REPAIR_RULES, "p8")
@@ -299,8 +299,9 @@ def _incident_sql() -> str:
            CAST(year(date_of_use) AS INTEGER) AS year,
            CASE WHEN coalesce(expired_scene, false) OR coalesce(expired_in_er, false) THEN 'Deceased'
                 ELSE 'Survived' END AS survival,
-           gz.name_county, gz.county_fips, gz.district
-    FROM f LEFT JOIN (SELECT name, name_county, county_fips, district FROM gz) gz ON f.location = gz.name"""
+           gz.name_county, gz.county_fips, gz.district{extra}
+    FROM f LEFT JOIN (SELECT name, name_county, county_fips, district, latitude, longitude FROM gz) gz
+      ON f.location = gz.name"""
 
 
 def _runs_sql() -> str:
@@ -394,7 +395,80 @@ def _runs_sql() -> str:
     FROM imp LEFT JOIN attrs ON imp.state || imp.county_id = attrs.county_fips"""
 
 
+def _measure_sql() -> str:
+    excl = ", ".join(_q(c) for c in R.NON_CONTINENTAL_STATE_FIPS)
+    return f"""
+    c AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    measure AS (
+      SELECT 'Overall' AS stratification1, 'Overall' AS stratification2, 'Nation' AS geographiclevel,
+             '59' AS locationid, 'US' AS locationabbr, 'United States' AS locationdesc,
+             round(avg(c_acctbal), 6) AS data_value FROM c
+      UNION ALL
+      SELECT 'Overall', 'Overall', 'State', CAST(n_regionkey AS VARCHAR), 'R' || CAST(n_regionkey AS VARCHAR),
+             'Region ' || CAST(n_regionkey AS VARCHAR), round(avg(c_acctbal), 6) FROM c GROUP BY n_regionkey
+      UNION ALL
+      SELECT 'Male', 'Overall', 'State', CAST(n_regionkey AS VARCHAR), 'R', 'Region', round(avg(c_acctbal), 6)
+      FROM c GROUP BY n_regionkey
+      UNION ALL
+      SELECT 'Overall', 'Overall', 'County', '19' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0'),
+             CASE WHEN n_nationkey % 3 = 0 THEN 'XX' ELSE 'IA' END, {_title("lower(n_name)")} || ' County',
+             round(avg(c_acctbal), 6) FROM c GROUP BY n_nationkey, n_name),
+    m AS (SELECT * FROM measure WHERE stratification1 = 'Overall' AND stratification2 = 'Overall'),
+    st AS (SELECT * EXCLUDE (locationid),
+                  CASE WHEN length(locationid) < 2 THEN lpad(locationid, 2, '0') ELSE locationid END AS lid
+           FROM m WHERE geographiclevel = 'State'),
+    st2 AS (SELECT * FROM st WHERE lid NOT IN ({excl})),
+    ct AS (SELECT * EXCLUDE (locationid),
+                  CASE WHEN length(locationid) < 3 THEN lpad(locationid, 3, '0') ELSE locationid END AS lid
+           FROM m WHERE geographiclevel = 'County' AND locationabbr = 'IA')"""
+
+
+def _mortality_sql(which: str) -> str:
+    cols = "stratification1, stratification2, geographiclevel, locationabbr, locationdesc, data_value"
+    if which == "state":
+        return f"""WITH {_measure_sql()}
+        SELECT b."STATEFP", b."NAME", {", ".join("s." + c for c in cols.split(", "))}
+        FROM st2 s RIGHT JOIN (SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS "STATEFP", r_name AS "NAME"
+                               FROM region) b ON s.lid = b."STATEFP" """
+    if which == "county":
+        return f"""WITH {_measure_sql()},
+        b AS (SELECT '19' AS "STATEFP", lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS "COUNTYFP", n_name AS "NAME",
+                     '19' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS "COUNTYFIPS" FROM nation),
+        j AS (SELECT b.*, {", ".join("s." + c for c in cols.split(", "))},
+                     trim(regexp_replace(regexp_replace(s.locationdesc, '(?i)\\s+county$', ''), '\\s+', ' ', 'g'))
+                       AS "COUNTY_NAME"
+              FROM ct s RIGHT JOIN b ON s.lid = b."COUNTYFIPS"),
+        attrs AS (SELECT {_title("lower(n_name)")} AS county, CAST(n_regionkey + 1 AS VARCHAR) AS region_preparedness
+                  FROM nation WHERE n_regionkey <> 4)
+        SELECT j.*, attrs.region_preparedness FROM j LEFT JOIN attrs ON j."COUNTY_NAME" = attrs.county"""
+    return f"WITH {_measure_sql()} SELECT data_value FROM m WHERE geographiclevel = 'Nation'"
+
+
+def _incident_reports_sql(which: str) -> str:
+    inc = _incident_sql(", gz.latitude, gz.longitude")
+    if which == "location_counts":
+        return f"""
+        WITH inc AS ({inc}),
+        c AS (SELECT location, latitude, longitude, count(*) AS n FROM inc
+              WHERE location IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3),
+        q AS (SELECT quantile_cont(n, 0.8) AS q80, quantile_cont(n, 0.9) AS q90, quantile_cont(n, 0.99) AS q99 FROM c)
+        SELECT location, latitude, longitude, n,
+               CASE WHEN n <= q80 THEN 10 WHEN n < q90 THEN 15 WHEN n < q99 THEN 20 ELSE 25 END AS quantiles,
+               CASE WHEN n <= q80 THEN '01-06' WHEN n < q90 THEN '06-11' WHEN n < q99 THEN '11-47' ELSE '47+' END
+                 AS quantile_labels
+        FROM c, q"""
+    return f"""
+        WITH inc AS ({inc}),
+        c AS (SELECT coalesce({_squish("location")}, 'Not Recorded') AS location, count(*) AS n FROM inc GROUP BY 1)
+        SELECT location, n, n / sum(n) OVER () AS percent FROM c QUALIFY n > 46"""
+
+
 SQL: dict[str, str] = {
+    "incident_location_counts": _incident_reports_sql("location_counts"),
+    "incident_city_share": _incident_reports_sql("city"),
+    "mortality_state": _mortality_sql("state"),
+    "mortality_county": _mortality_sql("county"),
+    "mortality_national": _mortality_sql("national"),
     "runs_build": _runs_sql(),
     "gazetteer_build": "WITH " + _gazetteer_sql() + " SELECT * FROM gz",
     "incident_build": _incident_sql(),
