@@ -180,3 +180,18 @@ def test_layout_helpers(spark):
     assert pull(df, "b") == [2]
     with pytest.raises(ValueError):
         pull(spark.range(10), "id", max_rows=5)
+
+
+def test_sorts_and_aliases(spark):
+    from vigil.operators.columns import arrange, sort_all
+    from vigil.functions.times import intervals
+    import datetime as dt
+    df = spark.createDataFrame([(2, "b"), (None, "a"), (1, "c")], "k int, v string")
+    assert [r.k for r in arrange(df, "k").collect()] == [1, 2, None]
+    assert [r.k for r in arrange(df, "k", desc=True).collect()] == [None, 2, 1]
+    assert [r.v for r in sort_all(df).collect()] == ["c", "b", "a"]
+    y = spark.createDataFrame([(2021, 10), (2022, 20)], "year int, n long")
+    assert [r.p for r in TB.pct_change(y, "year", "n", base="previous", name="p").orderBy("year").collect()] == [None, 100.0]
+    assert [r.percent for r in TB.share_within(y.withColumn("g", F.lit(1)), "g", "n").orderBy("year").collect()] == [1 / 3, 2 / 3]
+    t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 30))], "a timestamp_ntz, b timestamp_ntz")
+    assert intervals(t, {"m": ("a", "b")}).first().m == 30.0

@@ -100,6 +100,9 @@ def code_length_is(c: ColumnOrName, n: int, missing_token: str | None = None) ->
     return F.coalesce(text_length(c, missing_token) == n, F.lit(False))
 
 
+code_length = code_length_is
+
+
 # F7 ---------------------------------------------------------------------------
 def safe_match(c: ColumnOrName, pattern: str, ignore_case: bool = False) -> Column:
     """Regex search that is FALSE (never NULL) on a missing value."""

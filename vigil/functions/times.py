@@ -89,6 +89,12 @@ def interval_columns(spec: dict[str, tuple[str, str]]) -> dict[str, Column]:
     return {name: minutes_between(end, start) for name, (start, end) in spec.items()}
 
 
+def intervals(df, spec: dict[str, tuple[str, str]]):
+    """D6 as a DataFrame operator: add every ``{name: (start, end)}`` interval
+    in minutes in one ``withColumns`` block."""
+    return df.withColumns(interval_columns(spec))
+
+
 # D7 ---------------------------------------------------------------------------
 MDY_FORMATS = ("M/d/yyyy", "M/d/yy")
 MDY_HMS_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "M/d/yyyy h:mm a")
@@ -101,9 +107,14 @@ def parse_mdy(c: ColumnOrName, formats: Sequence[str] = MDY_FORMATS) -> Column:
 
 
 def parse_mdy_hms(c: ColumnOrName, formats: Sequence[str] = MDY_HMS_FORMATS) -> Column:
-    """``m/d/y h:m:s`` text -> TIMESTAMP_NTZ; unparseable text -> NULL."""
+    """``m/d/y h:m:s`` text -> TIMESTAMP_NTZ; unparseable text -> NULL.
+
+    ``try_to_timestamp`` only validates (it never raises); the value comes
+    from ``to_timestamp_ntz``, so the wall-clock time does not pass through
+    the session time zone (no shift for times in a daylight-saving gap)."""
     s = F.trim(col(c))
-    return F.coalesce(*[F.call_function("try_to_timestamp", s, F.lit(f)).cast("timestamp_ntz")
+    return F.coalesce(*[F.when(F.call_function("try_to_timestamp", s, F.lit(f)).isNotNull(),
+                               F.to_timestamp_ntz(s, F.lit(f)))
                         for f in formats])
 
 

@@ -50,3 +50,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
     return df.repartition(n) if 0 < len(files) < n else df
+
+
+# O1-O3 --------------------------------------------------------------------------
+def arrange(df: DataFrame, *cols: str, desc: bool = False) -> DataFrame:
+    """Sort with the reference's NULL placement: ascending puts NULL last,
+    descending (``rev=true``) puts NULL first."""
+    order = [F.desc_nulls_first(c) if desc else F.asc_nulls_last(c) for c in cols]
+    return df.orderBy(*order)
+
+
+def sort_all(df: DataFrame) -> DataFrame:
+    """Bare ``sort(df)``: by every column, left to right."""
+    return arrange(df, *df.columns)

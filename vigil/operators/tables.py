@@ -40,6 +40,11 @@ def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str]
     return df.withColumn(name, F.col(n) / total)
 
 
+def share_within(df: DataFrame, part: str | Sequence[str], n: str = "n", name: str = "percent") -> DataFrame:
+    """Share of ``n`` within each ``part`` (e.g. per year)."""
+    return share(df, n, name, by=[part] if isinstance(part, str) else list(part))
+
+
 # W2 / W3 ----------------------------------------------------------------------
 def lag_change(df: DataFrame, order_col: str, value: str, change: str = "change",
                pct: str = "pct_change", base: str = "current",
@@ -53,6 +58,11 @@ def lag_change(df: DataFrame, order_col: str, value: str, change: str = "change"
     return df.withColumns({change: ch, pct: ch / denom * 100})
 
 
+def pct_change(df: DataFrame, order_col: str, value: str, base: str = "current", name: str = "pct_change") -> DataFrame:
+    """W3 alone: percent change against the current (as coded) or previous value."""
+    return lag_change(df, order_col, value, change="__change", pct=name, base=base).drop("__change")
+
+
 # W6 / A14 ---------------------------------------------------------------------
 def pareto(df: DataFrame, cat: str, n: str = "count", lump_below: int | None = None,
            other: str = "Other", pct: str = "percent", cum: str = "cumpercent") -> DataFrame:

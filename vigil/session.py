@@ -22,6 +22,7 @@ def build_session(master: str = "local[8]", app: str = "vigil",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
