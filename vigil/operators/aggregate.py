@@ -44,7 +44,7 @@ def count_share(df: DataFrame, keys: Sequence[ColumnOrName], n: str = "n",
 
 # A3 / A4 ----------------------------------------------------------------------
 def n_distinct(df: DataFrame, c: str, count_missing: bool = True, name: str = "n") -> DataFrame:
-    """Number of distinct values; like Julia's ``unique`` a missing value
+    """Number of distinct values; as in the reference's distinct count, a missing value
     counts as one more value when ``count_missing``."""
     e = F.count_distinct(F.col(c))
     if count_missing:
