@@ -4,7 +4,7 @@ The reference joins each run's procedure and medication rows into ``", "``
 separated text in ROW ORDER.  Spark rows have no order, so every side takes an
 explicit order; each side's distinct sub-rows are gathered with
 ``collect_set(struct(order..., value...))`` (partial aggregation dedups
-map-side), sorted with ``array_sort`` and joined with ``array_join``.
+map-side), sorted with ``sort_array`` and joined with ``array_join``.
 
 All sides group on the same key, so they are computed in ONE ``groupBy`` (one
 shuffle) and joined to the base on that key; the aggregate's output is already
@@ -46,10 +46,12 @@ def _field_text(arr: Column, name: str, missing_token: str | None) -> Column:
 
 def side_aggregates(side: Side, alias: str) -> Column:
     """Distinct sub-rows as structs whose fields are the side's columns, order
-    columns first (``array_sort`` then sorts by them)."""
+    columns first (``sort_array`` then sorts by them)."""
     order = list(side.order) or list(side.columns)
     rest = [c for c in side.columns if c not in order]
-    return F.array_sort(F.collect_set(F.struct(*[F.col(c) for c in order + rest]))).alias(alias)
+    # sort_array (codegen'd comparator) orders the structs field by field; the
+    # structs themselves are never NULL, so NULL placement of elements is moot
+    return F.sort_array(F.collect_set(F.struct(*[F.col(c) for c in order + rest]))).alias(alias)
 
 
 def side_outputs(side: Side, alias: str, missing_token: str | None = None, sep: str = SEP) -> dict[str, Column]:
@@ -107,7 +109,7 @@ def defibrillation_summary(rows: DataFrame, key: str, description: str, performe
                        performed_at: F.coalesce(F.col(performed_at).cast("string"), F.lit("")),
                        attempts: F.coalesce(F.col(attempts), F.lit(1))}))
     order = list(order or [performed_at, description, attempts])
-    s = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
+    s = F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                                              F.col(description).alias("d"), F.col(performed_at).alias("t"),
                                              F.col(attempts).alias("a"))))
     g = d.groupBy(key).agg(F.sum(attempts).alias(shocks), s.alias("__s"))
