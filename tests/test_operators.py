@@ -9,7 +9,7 @@ from vigil.operators import tables as TB
 from vigil.operators.collapse import Side, collapse_one_to_many, defibrillation_summary, join_strings
 from vigil.operators.columns import pull, relocate
 from vigil.operators.dedup import assert_unique_key, fanout_report, keep_first
-from vigil.operators.impute import impute_median, ranked_quantile
+from vigil.operators.impute import impute_median, ranked_quantile, ranked_quantiles
 from vigil.operators.joins import broadcast_if_small, exclude_pairs, left_lookup, right_lookup
 from vigil.functions import rules as R
 
@@ -195,3 +195,14 @@ def test_sorts_and_aliases(spark):
     assert [r.percent for r in TB.share_within(y.withColumn("g", F.lit(1)), "g", "n").orderBy("year").collect()] == [1 / 3, 2 / 3]
     t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 30))], "a timestamp_ntz, b timestamp_ntz")
     assert intervals(t, {"m": ("a", "b")}).first().m == 30.0
+
+
+def test_ranked_quantiles_several_columns_one_pass(spark):
+    rnd = random.Random(21)
+    a = [round(rnd.uniform(-5, 5), 3) if i % 7 else None for i in range(2000)]
+    b = [float(rnd.randint(0, 9)) if i % 5 else None for i in range(2000)]
+    df = spark.createDataFrame(list(zip(a, b)), "a double, b double").repartition(4)
+    for p in (0.0, 0.37, 0.5, 1.0):
+        got = ranked_quantiles(df, ["a", "b"], p).first()
+        assert abs(got.a - float(np.percentile([x for x in a if x is not None], p * 100))) < 1e-9
+        assert abs(got.b - float(np.percentile([x for x in b if x is not None], p * 100))) < 1e-9

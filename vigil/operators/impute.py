@@ -26,37 +26,49 @@ from pyspark.sql import functions as F
 from vigil.session import checkpoint_dir
 
 
-def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int | None = None) -> DataFrame:
-    """One-row DataFrame ``(q)``: exact quantile of non-NULL ``c`` at ``p``
-    (``percentile_cont``: h = (N-1)p, v[floor h] + (h - floor h)(v[ceil h] - v[floor h]))."""
-    vals = df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull())
-    vc = vals.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
+def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, partitions: int | None = None) -> DataFrame:
+    """One-row DataFrame with the exact quantile at ``p`` of every column in
+    ``cols`` (NULLs skipped; ``percentile_cont``: h = (N-1)p,
+    v[floor h] + (h - floor h)(v[ceil h] - v[floor h])), computed in ONE
+    distributed pass: the columns are stacked as (column id, value) rows and
+    range-partitioned on (column id, value)."""
+    cols = list(cols)
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("s"))
+    vals = stacked.select("s.cid", "s.v").where(F.col("v").isNotNull())
+    vc = vals.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("cnt"))
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = vc.repartitionByRange(partitions, "v").withColumn("pid", F.spark_partition_id())
+    ranged = vc.repartitionByRange(partitions, "cid", "v").withColumn("pid", F.spark_partition_id())
     # Both consumers below must see the SAME range bounds: a reliable
     # checkpoint (shared spark.checkpoint.dir) pins the partition ids, so a
     # re-planned or recomputed branch cannot re-sample different bounds.
     checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True)
-    per_part = ranged.groupBy("pid").agg(F.sum("cnt").alias("pcnt"))
-    offsets = per_part.withColumn(
-        "off", F.sum("pcnt").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("pid", F.coalesce("off", F.lit(0)).alias("off"))
-    w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # per_part/offsets hold one row per range partition: bounded by `partitions`.
-    cum = (ranged.join(F.broadcast(offsets), "pid")
-           .withColumn("hi", F.col("off") + F.sum("cnt").over(w))   # 1-based rank of last copy
-           .withColumn("lo", F.col("hi") - F.col("cnt") + 1))        # 1-based rank of first copy
-    n = vc.agg(F.sum("cnt")).scalar()
-    h = (n - 1) * F.lit(p)
-    k_lo = F.floor(h) + 1
-    k_hi = F.ceil(h) + 1
-    pick = cum.where(((F.col("lo") <= k_lo) & (F.col("hi") >= k_lo)) | ((F.col("lo") <= k_hi) & (F.col("hi") >= k_hi)))
-    v_lo = F.min(F.when((F.col("lo") <= k_lo) & (F.col("hi") >= k_lo), F.col("v")))
-    v_hi = F.max(F.when((F.col("lo") <= k_hi) & (F.col("hi") >= k_hi), F.col("v")))
-    frac = h - F.floor(h)
-    return pick.agg((v_lo + (v_hi - v_lo) * F.first(frac)).alias("q"))
+    # one row per (column, range partition): bounded by partitions x len(cols)
+    per_part = ranged.groupBy("cid", "pid").agg(F.sum("cnt").alias("pcnt"))
+    offsets = per_part.withColumn("off", F.sum("pcnt").over(
+        Window.partitionBy("cid").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))
+    offsets = offsets.select("cid", "pid", F.coalesce("off", F.lit(0)).alias("off"))
+    totals = per_part.groupBy("cid").agg(F.sum("pcnt").alias("n"))
+    w = Window.partitionBy("pid", "cid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = (ranged.join(F.broadcast(offsets), ["cid", "pid"]).join(F.broadcast(totals), "cid")
+           .withColumn("hi", F.col("off") + F.sum("cnt").over(w))   # 1-based rank of the last copy
+           .withColumn("lo", F.col("hi") - F.col("cnt") + 1)        # 1-based rank of the first copy
+           .withColumn("h", (F.col("n") - 1) * F.lit(p)))
+    k_lo, k_hi = F.floor("h") + 1, F.ceil("h") + 1
+    at_lo = (F.col("lo") <= k_lo) & (F.col("hi") >= k_lo)
+    at_hi = (F.col("lo") <= k_hi) & (F.col("hi") >= k_hi)
+    q = (cum.where(at_lo | at_hi).groupBy("cid")
+         .agg(F.min(F.when(at_lo, F.col("v"))).alias("v_lo"), F.max(F.when(at_hi, F.col("v"))).alias("v_hi"),
+              F.first(F.col("h") - F.floor("h")).alias("frac"))
+         .select("cid", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("q")))
+    return q.groupBy().pivot("cid", list(range(len(cols)))).agg(F.first("q")).toDF(*cols)
+
+
+def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int | None = None) -> DataFrame:
+    """One-row DataFrame ``(q)``: exact quantile of non-NULL ``c`` at ``p``."""
+    return ranked_quantiles(df, [c], p, partitions).toDF("q")
 
 
 def median_of(df: DataFrame, c: str, method: str = "ranked") -> Column:
@@ -70,5 +82,11 @@ def median_of(df: DataFrame, c: str, method: str = "ranked") -> Column:
 
 def impute_median(df: DataFrame, cols: Sequence[str], method: str = "ranked") -> DataFrame:
     """Replace NULLs in each column by the column's exact median (of the
-    non-NULL values); one ``withColumns`` block."""
+    non-NULL values); one ``withColumns`` block.  With ``method="ranked"`` all
+    columns' medians come from one distributed pass and one scalar subquery."""
+    cols = list(cols)
+    if method == "ranked":
+        med = ranked_quantiles(df, cols, 0.5)
+        m = med.select(F.struct(*cols).alias("m")).scalar()
+        return df.withColumns({c: F.coalesce(F.col(c), m[c]) for c in cols})
     return df.withColumns({c: F.coalesce(F.col(c), median_of(df, c, method)) for c in cols})
