@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from vigil.functions import rules as R
 from vigil.functions.rules import apply_rules, rewrite_whole
 from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extract_first, non_alnum_to_space,
-                                     replace_all, replace_first, safe_match, squish)
+                                     replace_all, replace_first, squish)
 from vigil.operators.joins import broadcast_if_small
 
 WORD = "A-Za-z0-9_"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
 from vigil.functions.strings import ColumnOrName, col, n_pct_label, pct_fixed
-from vigil.operators.aggregate import count_by, grand_total
+from vigil.operators.aggregate import grand_total
 
 
 
