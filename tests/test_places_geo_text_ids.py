@@ -92,3 +92,12 @@ def test_surrogate_id_shape_determinism_and_duckdb_parity(spark):
     got = con.sql(f"SELECT k, {surrogate_id_sql('k', 10232015)} FROM range(2000) t(k) ORDER BY k").fetchall()
     assert [tuple(r) for r in got] == ra
     assert rows(df.select("k", surrogate_id(["k"], 1).alias("s")))[0][1] != ra[0][1]
+
+
+def test_auto_method_picks_by_size(spark, monkeypatch):
+    import vigil.operators.places as P
+    df = spark.createDataFrame([(1, "WEST DES MOINES")], "id long, text string")
+    assert extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", id_col="id").first().location == "WEST"
+    monkeypatch.setattr(P, "AUTO_REGEX_NAMES", 2)     # force the n-gram path
+    out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", id_col="id", prefer="longest")
+    assert out.first().location == "WEST DES MOINES"

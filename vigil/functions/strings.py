@@ -117,15 +117,35 @@ def escape_literal(value: str) -> str:
     return "".join(ch if (ch.isalnum() or ch in " _") else "\\" + ch for ch in value)
 
 
+def _trie_pattern(values: list[str]) -> str:
+    """Alternation of literals factored as a prefix trie.  Children are
+    emitted in character order with the word-end branch first, so the order
+    in which a backtracking engine tries the words at one start position is
+    exactly the ascending order of the flat alternation (same first match),
+    while each position costs O(trie depth) instead of O(#words)."""
+    trie: dict = {}
+    for v in values:
+        node = trie
+        for ch in v:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        alts = ["" if k == "" else escape_literal(k) + emit(node[k]) for k in sorted(node)]
+        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+    return emit(trie) if trie else ""
+
+
 def alternation_regex(values: Iterable[str | None], word_boundary: bool = True,
-                      ignore_case: bool = True, sort: bool = True) -> str:
+                      ignore_case: bool = True, sort: bool = True, trie: bool = True) -> str:
     """``\\b(?:a|b|c)\\b`` from literal values: trims, drops missing and empty
     values (an empty alternative would match everywhere), escapes properly and
     keeps ascending order so that, at one start position, the first listed
-    alternative that matches wins."""
+    alternative that matches wins.  ``trie=True`` factors common prefixes
+    (same matches, far fewer attempts for large dictionaries)."""
     vals = [v.strip() for v in values if v is not None and v.strip() != ""]
     vals = sorted(set(vals)) if sort else list(dict.fromkeys(vals))
-    body = "|".join(escape_literal(v) for v in vals)
+    body = _trie_pattern(vals) if (trie and sort) else "|".join(escape_literal(v) for v in vals)
     pat = f"\\b(?:{body})\\b" if word_boundary else f"(?:{body})"
     return flagged(pat, ignore_case)
 

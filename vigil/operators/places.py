@@ -27,6 +27,7 @@ from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extra
 from vigil.operators.joins import broadcast_if_small
 
 WORD = "A-Za-z0-9_"
+AUTO_REGEX_NAMES = 5_000
 
 
 # T12 --------------------------------------------------------------------------
@@ -97,7 +98,13 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
                        broadcast_rows: int = 1_000_000, pattern: str | None = None) -> DataFrame:
     """Add ``out_col`` = first dictionary name found in ``text_col`` (NULL when
     none).  ``prefer="longest"`` takes, at the leftmost start, the longest
-    name instead of the first in sort order (``ngram`` only)."""
+    name instead of the first in sort order (``ngram`` only).
+    ``method="auto"``: the regex path for dictionaries up to
+    ``AUTO_REGEX_NAMES`` names (one bounded count), the n-gram join beyond."""
+    if method == "auto":
+        small = pattern is not None or dictionary_names(dict_df, name_col).limit(AUTO_REGEX_NAMES + 1).count() \
+            <= AUTO_REGEX_NAMES
+        method = "regex" if (small and prefer == "first") or id_col is None else "ngram"
     if method == "regex":
         if prefer != "first":
             raise ValueError("regex method implements prefer='first'")
