@@ -101,3 +101,13 @@ def test_auto_method_picks_by_size(spark, monkeypatch):
     monkeypatch.setattr(P, "AUTO_REGEX_NAMES", 2)     # force the n-gram path
     out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", id_col="id", prefer="longest")
     assert out.first().location == "WEST DES MOINES"
+
+
+def test_degenerate_polygon_and_zero_base_give_null_not_error(spark):
+    from vigil.operators import tables as TB
+    line = [[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 1.0}, {"x": 2.0, "y": 2.0}]]
+    df = spark.createDataFrame([("z", line)], "g string, geometry array<array<struct<x double, y double>>>")
+    r = collection_centroid(df, "geometry", ["g"]).first()
+    assert r.cx is None and r.area == 0.0
+    y = spark.createDataFrame([(2021, 0), (2022, 5)], "year int, n long")
+    assert [x.pct_change for x in TB.lag_change(y, "year", "n", base="previous").orderBy("year").collect()] == [None, None]

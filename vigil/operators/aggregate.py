@@ -32,8 +32,8 @@ def with_share(df: DataFrame, n: str = "n", name: str = "percent",
     """``n / sum(n)`` over the whole table, or within ``by`` groups."""
     if by:
         from pyspark.sql import Window
-        return df.withColumn(name, F.col(n) / F.sum(n).over(Window.partitionBy(*by)))
-    return df.withColumn(name, F.col(n) / grand_total(df, n))
+        return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(Window.partitionBy(*by))))
+    return df.withColumn(name, F.try_divide(F.col(n), grand_total(df, n)))
 
 
 def count_share(df: DataFrame, keys: Sequence[ColumnOrName], n: str = "n",
@@ -73,7 +73,7 @@ def mean_of_group_rates(df: DataFrame, group: ColumnOrName, success: Column,
     """Per-group (hits, n, rate) and the unweighted means of n and rate.
     Returns ``(per_group, summary)``."""
     per = (df.groupBy(group).agg(F.count_if(success).alias(hits), F.count(F.lit(1)).alias(n))
-           .withColumn(rate, F.col(hits) / F.col(n)))
+           .withColumn(rate, F.try_divide(F.col(hits), F.col(n))))
     summary = per.agg(F.avg(n).alias(f"mean_{n}"), F.avg(rate).alias("mean_pct"))
     return per, summary
 

@@ -43,8 +43,9 @@ def collection_centroid(df: DataFrame, geometry: str = "geometry", by: Sequence[
     t = df.select(*by, polygon_terms(F.col(geometry)).alias("t"))
     g = t.groupBy(*by) if by else t.groupBy()
     s = g.agg(F.sum("t.a2").alias("a2"), F.sum("t.cx6").alias("cx6"), F.sum("t.cy6").alias("cy6"))
-    return s.select(*by, (F.col("cx6") / (3.0 * F.col("a2"))).alias("cx"),
-                    (F.col("cy6") / (3.0 * F.col("a2"))).alias("cy"),
+    # a degenerate (zero-area) collection has no centroid: NULL, not an ANSI error
+    return s.select(*by, F.try_divide(F.col("cx6"), 3.0 * F.col("a2")).alias("cx"),
+                    F.try_divide(F.col("cy6"), 3.0 * F.col("a2")).alias("cy"),
                     (F.col("a2") / 2.0).alias("area"))
 
 

@@ -35,9 +35,9 @@ def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str]
     over the small table; otherwise the total is a scalar subquery so no
     single task ever holds a data-sized table."""
     if by:
-        return df.withColumn(name, F.col(n) / F.sum(n).over(Window.partitionBy(*by)))
+        return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(Window.partitionBy(*by))))
     total = F.sum(n).over(_whole()) if bounded else grand_total(df, n)
-    return df.withColumn(name, F.col(n) / total)
+    return df.withColumn(name, F.try_divide(F.col(n), total))
 
 
 def share_within(df: DataFrame, part: str | Sequence[str], n: str = "n", name: str = "percent") -> DataFrame:
@@ -55,7 +55,7 @@ def lag_change(df: DataFrame, order_col: str, value: str, change: str = "change"
     prev = F.lag(value).over(w)
     ch = F.col(value) - prev
     denom = F.col(value) if base == "current" else prev
-    return df.withColumns({change: ch, pct: ch / denom * 100})
+    return df.withColumns({change: ch, pct: F.try_divide(ch, denom) * 100})
 
 
 def pct_change(df: DataFrame, order_col: str, value: str, base: str = "current", name: str = "pct_change") -> DataFrame:
@@ -77,7 +77,7 @@ def pareto(df: DataFrame, cat: str, n: str = "count", lump_below: int | None = N
     order = _whole().orderBy("__first", cat)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum(n).over(_whole())
-    return (g.withColumns({pct: F.col(n) / total, cum: F.sum(n).over(running) / total})
+    return (g.withColumns({pct: F.try_divide(F.col(n), total), cum: F.try_divide(F.sum(n).over(running), total)})
             .drop("__first"))
 
 
@@ -140,7 +140,7 @@ def outcome_table(df: DataFrame, by: Sequence[ColumnOrName], outcome: str,
         tot = F.col(c) if tot is None else tot + F.col(c)
     p = p.withColumn(total, tot)
     pct = pct if pct is not None else {f"Pct_{lv}": lv for lv in ("Survived", "Deceased")}
-    p = p.withColumns({name: F.col(lv) / F.col(total) for name, lv in pct.items()})
+    p = p.withColumns({name: F.try_divide(F.col(lv), F.col(total)) for name, lv in pct.items()})
     if gap:
         a, b = list(pct)[:2]
         p = p.withColumn(gap, F.abs(F.col(a) - F.col(b)))
@@ -158,11 +158,11 @@ def two_way_table(df: DataFrame, row: str, column: str, levels: Sequence = (True
     p = p.withColumn("__tot", F.col(a) + F.col(b))
     body = p.select(F.col(row).cast("string").alias(row), F.col(a).cast("string").alias(a),
                     F.col(b).cast("string").alias(b),
-                    n_pct_label("__tot", F.col("__tot") / F.sum("__tot").over(_whole())).alias(total))
+                    n_pct_label("__tot", F.try_divide(F.col("__tot"), F.sum("__tot").over(_whole()))).alias(total))
     sums = p.agg(F.sum(a).alias("sa"), F.sum(b).alias("sb"), F.sum("__tot").alias("sn"))
     tot = sums.select(F.lit(total_label).alias(row),
-                      n_pct_label("sa", F.col("sa") / F.col("sn")).alias(a),
-                      n_pct_label("sb", F.col("sb") / F.col("sn")).alias(b),
+                      n_pct_label("sa", F.try_divide(F.col("sa"), F.col("sn"))).alias(a),
+                      n_pct_label("sb", F.try_divide(F.col("sb"), F.col("sn"))).alias(b),
                       F.col("sn").cast("string").alias(total))
     return body.unionByName(tot)
 
@@ -185,8 +185,8 @@ def conditional_table(df: DataFrame, row: str, column: str, given: str = "row",
     else:
         raise ValueError(given)
     return p.select(F.col(row),
-                    n_pct_label(a, F.col(a) / da).alias(out_names[0]),
-                    n_pct_label(b, F.col(b) / db).alias(out_names[1]))
+                    n_pct_label(a, F.try_divide(F.col(a), da)).alias(out_names[0]),
+                    n_pct_label(b, F.try_divide(F.col(b), db)).alias(out_names[1]))
 
 
 # V7 ---------------------------------------------------------------------------
@@ -210,5 +210,5 @@ def outcome_by_recode(df: DataFrame, group: str, outcome: str, mapping: Mapping[
     s, d = F.col("Survived"), F.col("Deceased")
     overall = F.sum("Survived").over(_whole()) + F.sum("Deceased").over(_whole())
     return p.select(F.col(label), s, d, (d + s).alias("Total"),
-                    pct_fixed(s / (s + d)).alias(f"Percent_Survived_By_{label}"),
-                    pct_fixed(s / overall).alias("Percent_Survived_Overall"))
+                    pct_fixed(F.try_divide(s, s + d)).alias(f"Percent_Survived_By_{label}"),
+                    pct_fixed(F.try_divide(s, overall)).alias("Percent_Survived_Overall"))
