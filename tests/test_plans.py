@@ -124,3 +124,21 @@ def test_mortality_tables(spark):
     assert ct["19153"].data_value == 320.0 and ct["19153"].COUNTY_NAME == "Polk" and ct["19153"].region_preparedness == "1A"
     assert ct["19001"].data_value is None
     assert [r.data_value for r in t["national"].collect()] == [300.0]
+
+
+def test_layout_and_report_writer(spark):
+    import os
+    import tempfile
+    g, _ = gaz(spark)
+    inc = I.build_incidents(spark.createDataFrame(INCIDENTS, INCIDENT_SCHEMA), g)
+    cols = inc.columns
+    assert cols[0] == "unique_incident_id" and cols[cols.index("date_of_use") + 1] == "year"
+    assert cols[cols.index("amb_pat_timestamp") + 1] == "amb_pat_timestamp_fix"
+    assert cols[cols.index("location") + 1] == "name_county"
+    d = tempfile.mkdtemp(prefix="vigil-rep-", dir="/tmp")
+    reps = RP.report_set(inc)
+    RP.write_reports({k: reps[k] for k in ("deployments_by_year", "gender_distribution")}, d)
+    assert spark.read.option("header", "true").csv(os.path.join(d, "deployments_by_year")).count() == 2
+    import pytest
+    with pytest.raises(Exception):
+        RP.write_reports({"deployments_by_year": reps["deployments_by_year"]}, d)

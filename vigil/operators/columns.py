@@ -21,6 +21,20 @@ def relocate(df: DataFrame, cols: str | Sequence[str], before: str | None = None
     return df.select(*order)
 
 
+def apply_layout(df: DataFrame, moves: Sequence[tuple]) -> DataFrame:
+    """A sequence of ``(cols, "before"|"after", anchor)`` relocations in ONE
+    final select; moves whose columns or anchor are absent are skipped."""
+    order = list(df.columns)
+    for cols, where, anchor in moves:
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        if anchor not in order or not all(c in order for c in cols) or anchor in cols:
+            continue
+        rest = [c for c in order if c not in cols]
+        i = rest.index(anchor) + (0 if where == "before" else 1)
+        order = rest[:i] + cols + rest[i:]
+    return df.select(*order)
+
+
 def pull(df: DataFrame, c: str, max_rows: int = 100_000) -> list:
     """A column as a driver list -- ONLY for small dictionaries; refuses more
     than ``max_rows`` values instead of pulling data to the driver."""

@@ -22,7 +22,7 @@ from vigil.functions.ids import surrogate_id
 from vigil.functions.rules import apply_rules
 from vigil.functions.strings import squish, to_title
 from vigil.functions.strings import alternation_regex
-from vigil.operators.columns import spread
+from vigil.operators.columns import apply_layout, spread
 from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
 
@@ -42,6 +42,18 @@ def gazetteer_vocabulary(gazetteer: DataFrame, max_rows: int = MAX_GAZETTEER_ROW
 
 GAZETTEER_ATTRS = ["name_county", "county_fips", "district", "designation", "urbanicity", "asciiname",
                    "latitude", "longitude", "population", "elevation"]
+# the reference's column layout, applied once at the end (metadata only)
+LAYOUT = [
+    ("unique_incident_id", "before", "date_of_use"), ("year", "after", "date_of_use"),
+    ("amb_toc_timestamp", "after", "amb_toc"), ("amb_pat_timestamp", "after", "amb_pat"),
+    ("amb_pat_timestamp_fix", "after", "amb_pat_timestamp"), ("time_aed_on_timestamp", "after", "time_aed_on"),
+    ("time_aed_off", "after", "total_time_aed_actually_used_min_sec"),
+    ("time_aed_off_timestamp", "after", "time_aed_off"),
+    ("time_aed_off_timestamp_fix", "after", "time_aed_off_timestamp"),
+    ("age_years", "after", "age_unit"), ("age_range", "after", "age_years"), ("agency_type", "after", "agency"),
+    ("call_type", "after", "other_case"), ("location_city_event_clean", "after", "location_city_event"),
+    ("location", "after", "location_city_event_clean"),
+]
 INTERVALS = {
     "time_from_call_to_patient": ("amb_toc_timestamp", "amb_pat_timestamp_fix"),
     "time_from_call_to_aed_on": ("amb_toc_timestamp", "time_aed_on_timestamp"),
@@ -110,4 +122,5 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     x = x.withColumn("survival", C.survival_from_flags("expired_scene", "expired_in_er", "expired_in_hospital"))
     # the gazetteer was bounded above; Catalyst/AQE broadcast it from its size
     attrs = [c for c in GAZETTEER_ATTRS if c in gazetteer.columns]
-    return left_lookup(x, gazetteer.select("name", *attrs), "location", "name", attrs)
+    out = left_lookup(x, gazetteer.select("name", *attrs), "location", "name", attrs)
+    return apply_layout(out, LAYOUT + [(attrs, "after", "location")])

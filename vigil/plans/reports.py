@@ -107,6 +107,15 @@ def report_set(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_t
     return out
 
 
+def write_reports(reports: dict[str, DataFrame], out_dir: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
+    """Each (small) report table as one file per table under ``out_dir``;
+    create-only by default (an existing table fails), ``mode="overwrite"`` to
+    replace."""
+    from vigil.sources.io import write_table
+    for name, df in reports.items():
+        write_table(df, f"{out_dir.rstrip('/')}/{name}", mode=mode, fmt=fmt, single_file=True)
+
+
 # X6 ----------------------------------------------------------------------------
 def fiscal_year_performance(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_toc", "agency"),
                             start_month: int = 5, first_fy: int = 2022, last_fy: int = 2027):

@@ -21,6 +21,7 @@ from vigil.functions import times as TM
 from vigil.functions.strings import code_length_is, strip_chars
 from vigil.operators.collapse import Side, collapse_one_to_many, defibrillation_summary
 from vigil.operators.impute import impute_median
+from vigil.operators.columns import apply_layout
 from vigil.operators.joins import left_lookup
 from vigil.session import checkpoint_dir
 
@@ -51,6 +52,15 @@ COUNTY = "scene_incident_county_gnis_e_scene_21"
 OVERDOSE = "situation_possible_overdose"
 
 
+LAYOUT = [
+    (["incident_day", "incident_month", "weekday_weekend", "season"], "after", DATE),
+    (COMPLAINT, "after", "agency_name_d_agency_03"),
+    ([PROC_DESC, PROC_TIME, PROC_ATTEMPTS], "after", CPR_WHO),
+    ("shocks", "after", PROC_ATTEMPTS),
+    ([MED, MED_RESPONSE], "after", OUTCOME),
+]
+
+
 def prepare_runs(raw: DataFrame, missing_token: str | None = None) -> DataFrame:
     """distinct -> parsed dates -> dispatch intervals -> 7-character agency
     numbers only."""
@@ -96,4 +106,5 @@ def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str
                              "county_fips": C.county_fips(STATE, COUNTY, missing_token)})
     # county attributes are a dimension: Catalyst/AQE broadcast it from its size
     attrs = county_attrs
-    return left_lookup(runs, attrs, "county_fips", "county_fips", [c for c in attrs.columns if c != "county_fips"])
+    out = left_lookup(runs, attrs, "county_fips", "county_fips", [c for c in attrs.columns if c != "county_fips"])
+    return apply_layout(out, LAYOUT)
