@@ -58,3 +58,13 @@ def test_delimited_materialize_and_sinks(spark):
 def test_literal_table_typed_nulls(spark):
     df = IO.literal_table(spark, [("A", None), ("B", 3)], "name string, admin3 int")
     assert dict(df.dtypes) == {"name": "string", "admin3": "int"}
+
+
+def test_header_from_first_row_then_typed(spark):
+    grid = spark.createDataFrame([(2, "1", "2024-01-02"), (1, "Incident Id", "Date Of Use"), (3, "2", None)],
+                                 "r int, A string, B string")
+    df = IO.header_from_first_row(grid, "r")
+    assert df.columns == ["Incident Id", "Date Of Use"]
+    typed = IO.apply_type_spec(df, ["bigint", "date"])
+    assert sorted(typed.collect(), key=lambda x: x[0]) == [(1, dt.date(2024, 1, 2)), (2, None)]
+    assert typed.columns == ["incident_id", "date_of_use"]

@@ -110,6 +110,20 @@ def _cast(c: Column, t: str, on_error: str) -> Column:
     return c.try_cast(t)
 
 
+def header_from_first_row(df: DataFrame, order_col: str) -> DataFrame:
+    """A text grid whose first row (by ``order_col``, e.g. the sheet row
+    number) holds the column names: that one row becomes the header and is
+    removed from the data (only that row reaches the driver)."""
+    first = df.orderBy(F.asc_nulls_last(order_col)).limit(1).collect()
+    if not first:
+        raise ValueError("empty grid: no header row")
+    row = first[0].asDict()
+    cols = [c for c in df.columns if c != order_col]
+    names = _dedupe([str(row[c]) if row[c] is not None else f"column_{i + 1}" for i, c in enumerate(cols)])
+    body = df.where(F.col(order_col) != F.lit(row[order_col])).select(*cols)
+    return body.toDF(*names)
+
+
 def apply_type_spec(df: DataFrame, types: Sequence[str], clean_up: bool = True,
                     on_error: str = "null", blank_as_null: bool = True) -> DataFrame:
     """Typed ingest of an all-text table: positional type list, length check,
