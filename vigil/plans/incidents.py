@@ -22,7 +22,7 @@ from vigil.functions.ids import surrogate_id
 from vigil.functions.rules import apply_rules
 from vigil.functions.strings import squish, to_title
 from vigil.functions.strings import alternation_regex
-from vigil.operators.columns import apply_layout, spread
+from vigil.operators.columns import apply_layout, pull, spread
 from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
 
@@ -101,9 +101,9 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     x = x.withColumns({"age_range": C.age_band("age_years"),
                        "agency": squish(F.coalesce("agency", F.lit(R.NOT_RECORDED)))})
     names, counties = gazetteer_vocabulary(gazetteer) if place_method == "regex" else (None, None)
-    if counties is None:
-        counties = sorted({r[0] for r in gazetteer.select("name_county").distinct().limit(MAX_GAZETTEER_ROWS).collect()
-                           if r[0] is not None})
+    if counties is None:   # n-gram path: only the (bounded) county names reach the driver
+        counties = sorted(c for c in pull(gazetteer.select("name_county").distinct(), "name_county",
+                                          max_rows=MAX_GAZETTEER_ROWS) if c is not None)
     x = x.withColumns({"agency_type": apply_rules("agency", R.AGENCY_TYPE_RULES, R.AGENCY_TYPE_DEFAULT),
                        "location_city_event_clean": clean_place("location_city_event", counties,
                                                                 county_suffix_as_coded)})
