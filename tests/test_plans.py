@@ -142,3 +142,12 @@ def test_layout_and_report_writer(spark):
     import pytest
     with pytest.raises(Exception):
         RP.write_reports({"deployments_by_year": reps["deployments_by_year"]}, d)
+
+
+def test_incident_build_ngram_path_equals_regex_path(spark):
+    g, _ = gaz(spark)
+    raw = spark.createDataFrame(INCIDENTS, INCIDENT_SCHEMA)
+    cols = ["unique_incident_id", "location", "county_fips", "district"]
+    a = sorted(map(tuple, I.build_incidents(raw, g).select(cols).collect()), key=str)
+    b = sorted(map(tuple, I.build_incidents(raw, g, place_method="ngram").select(cols).collect()), key=str)
+    assert a == b

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -23,12 +23,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _cond(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-          null_safe: bool):
-    pairs = zip(left_keys, right_keys)
-    if null_safe:
-        return [left[a].eqNullSafe(right[b]) for a, b in pairs]
-    return [left[a] == right[b] for a, b in pairs]
+def _private(dim: DataFrame, cols: Sequence[str], tag: str) -> tuple[DataFrame, dict[str, str]]:
+    """The dimension's needed columns under private names: joins then refer
+    to columns by name only, so a dimension that shares lineage with the
+    fact side (a self-join in disguise) is never ambiguous."""
+    names = {c: f"__{tag}_{c}" for c in dict.fromkeys(cols)}
+    return dim.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def _cond(left_keys: Sequence[str], right_names: Sequence[str], null_safe: bool) -> Column:
+    out = None
+    for a, b in zip(left_keys, right_names):
+        left = F.col(f"`{a}`")
+        e = left.eqNullSafe(F.col(b)) if null_safe else (left == F.col(b))
+        out = e if out is None else out & e
+    return out
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str | Sequence[str], right_key: str | Sequence[str],
@@ -39,11 +48,11 @@ def left_lookup(df: DataFrame, dim: DataFrame, left_key: str | Sequence[str], ri
     lk = [left_key] if isinstance(left_key, str) else list(left_key)
     rk = [right_key] if isinstance(right_key, str) else list(right_key)
     keep = [c for c in (keep or dim.columns) if c not in rk]
-    d = dim.select(*rk, *keep)
+    d, n = _private(dim, rk + keep, "lk")
     if broadcast:
         d = F.broadcast(d)
-    out = df.join(d, _cond(df, d, lk, rk, null_safe), "left")
-    return out.select(*[df[c] for c in df.columns], *[d[c] for c in keep])
+    out = df.join(d, _cond(lk, [n[k] for k in rk], null_safe), "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(n[c]).alias(c) for c in keep])
 
 
 def right_lookup(measure: DataFrame, boundary: DataFrame, measure_key: str, boundary_key: str,
@@ -51,14 +60,15 @@ def right_lookup(measure: DataFrame, boundary: DataFrame, measure_key: str, boun
     """Right join: every boundary row is kept, measure columns NULL where no
     measure exists.  Output = boundary columns + ``keep`` measure columns."""
     keep = [c for c in (keep or measure.columns) if c != measure_key]
-    m = measure.select(measure_key, *keep)
-    out = m.join(boundary, m[measure_key] == boundary[boundary_key], "right")
-    return out.select(*[boundary[c] for c in boundary.columns], *[m[c] for c in keep])
+    m, n = _private(measure, [measure_key, *keep], "rl")
+    out = m.join(boundary, F.col(n[measure_key]) == F.col(f"`{boundary_key}`"), "right")
+    return out.select(*[F.col(f"`{c}`") for c in boundary.columns], *[F.col(n[c]).alias(c) for c in keep])
 
 
 def anti_join(df: DataFrame, other: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
               null_safe: bool = False) -> DataFrame:
-    return df.join(other, _cond(df, other, left_keys, right_keys, null_safe), "left_anti")
+    o, n = _private(other, right_keys, "aj")
+    return df.join(o, _cond(left_keys, [n[k] for k in right_keys], null_safe), "left_anti")
 
 
 def exclude_pairs(df: DataFrame, exclusions: DataFrame, on: Sequence[str],
@@ -66,4 +76,5 @@ def exclude_pairs(df: DataFrame, exclusions: DataFrame, on: Sequence[str],
     """Drop rows whose ``on`` values equal one of the literal exclusion rows.
     The exclusion table is small by construction -> broadcast anti join."""
     ex_cols = list(exclusion_cols or on)
-    return anti_join(df, F.broadcast(exclusions), list(on), ex_cols)
+    o, n = _private(exclusions, ex_cols, "ex")
+    return df.join(F.broadcast(o), _cond(list(on), [n[k] for k in ex_cols], False), "left_anti")
