@@ -98,8 +98,9 @@ def _cast(c: Column, t: str, on_error: str) -> Column:
     t = _TYPE_ALIASES.get(t.lower(), t)
     if t == "time_of_day":
         # clock text "H:mm:ss[.ffffff]" -> microseconds of day
-        ts = F.call_function("try_to_timestamp", F.concat(F.lit("1970-01-01 "), F.trim(c)))
-        ntz = ts.cast("timestamp_ntz")
+        txt = F.concat(F.lit("1970-01-01 "), F.trim(c))
+        # validate with try_to_timestamp, convert with to_timestamp_ntz: no session-zone round trip
+        ntz = F.when(F.call_function("try_to_timestamp", txt).isNotNull(), F.to_timestamp_ntz(txt))
         us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ntz)
         if on_error == "fail":
             return F.when(c.isNull() | (F.trim(c) == ""), None).otherwise(
