@@ -913,3 +913,20 @@ def incident_city_share(spark, sf_dir):
     deployments, then the city-size threshold (n > 46)."""
     from vigil.plans.reports import deployments_by_city, unique_incidents
     return deployments_by_city(unique_incidents(_analog_incidents(spark, sf_dir), ["date_of_use", "amb_toc", "o_orderkey"]))
+
+
+# V3 + T15 labels ------------------------------------------------------------------
+@query
+def outcome_labels(spark, sf_dir):
+    """Outcome table with text labels ``"1,234 (49.87%)"`` (thousands
+    separators, fixed two-decimal percent), missing group -> "Not Known"."""
+    t = Tables(spark, sf_dir)
+    p = F.col("o_orderpriority")
+    x = t.orders.select(F.when(p == "4-NOT SPECIFIED", F.lit(None)).otherwise(p).alias("urbanicity"),
+                        order_survival().alias("survival"))
+    tab = TB.outcome_table(x, ["urbanicity"], "survival", total="total",
+                           pct={"percent_survived": "Survived", "percent_deceased": "Deceased"})
+    return tab.select(
+        F.coalesce("urbanicity", F.lit("Not Known")).alias("urbanicity"), "Survived", "Deceased", "total",
+        F.concat(S.with_commas("Survived"), F.lit(" ("), S.pct_fixed("percent_survived"), F.lit(")")).alias("label_survived"),
+        F.concat(S.with_commas("Deceased"), F.lit(" ("), S.pct_fixed("percent_deceased"), F.lit(")")).alias("label_deceased"))

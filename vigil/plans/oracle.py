@@ -464,6 +464,16 @@ def _incident_reports_sql(which: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "outcome_labels": f"""
+        WITH p AS ({_outcome_pivot("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END",
+                                   "urbanicity")})
+        SELECT coalesce(urbanicity, 'Not Known') AS urbanicity, "Survived", "Deceased",
+               "Survived" + "Deceased" AS total,
+               format('{{:,}}', "Survived") || ' (' || printf('%.2f%%', "Survived" / ("Survived" + "Deceased") * 100) || ')'
+                 AS label_survived,
+               format('{{:,}}', "Deceased") || ' (' || printf('%.2f%%', "Deceased" / ("Survived" + "Deceased") * 100) || ')'
+                 AS label_deceased
+        FROM p""",
     "incident_location_counts": _incident_reports_sql("location_counts"),
     "incident_city_share": _incident_reports_sql("city"),
     "mortality_state": _mortality_sql("state"),
