@@ -151,3 +151,14 @@ def test_incident_build_ngram_path_equals_regex_path(spark):
     a = sorted(map(tuple, I.build_incidents(raw, g).select(cols).collect()), key=str)
     b = sorted(map(tuple, I.build_incidents(raw, g, place_method="ngram").select(cols).collect()), key=str)
     assert a == b
+
+
+def test_build_runs_as_coded_missing_tokens(spark):
+    raw = spark.createDataFrame(RUNS, ", ".join(f"{c} {t}" for c, t in zip(RUN_COLS, RUN_TYPES)))
+    attrs = spark.createDataFrame(COUNTY_ATTRS, COUNTY_ATTR_SCHEMA)
+    runs = RU.build_runs(raw, attrs, base_order=[RU.PROC_TIME, RU.PROC_DESC], missing_token="missing")
+    got = {r.fact_incident_pk: r for r in runs.collect()}
+    assert set(got) == {"r1", "r2", "r3", "r5"}                # a missing 7-character agency number passes
+    assert got["r1"][RU.PROC_ATTEMPTS] == "1, missing, 2"        # missing printed, as coded
+    assert got["r3"].county_fips == "19missing"
+    assert got["r2"][RU.MED] == "missing"

@@ -53,7 +53,7 @@ def build_all(spark: SparkSession, paths: Inputs, out_dir: str, mode: str = "reu
                       lambda: build_gazetteer(spark, x["places"], x["county_codes"], x["county_attrs"]), mode)
     inc = materialize(spark, f"{out}/incidents", lambda: build_incidents(x["incidents"], gaz), mode)
     runs = materialize(spark, f"{out}/runs", lambda: build_runs(x["runs"], x["county_attrs"], list(run_order)), mode)
-    reports = report_set(inc)
+    reports = report_set(inc, checkpoint=True)   # ~25 reports share one deduplicated base
     per_fy, fy_summary = fiscal_year_performance(inc)
     reports.update({"fiscal_year": per_fy, "fiscal_year_summary": fy_summary})
     write_reports(reports, f"{out}/reports", fmt=report_format, mode="overwrite")
