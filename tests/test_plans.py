@@ -162,3 +162,16 @@ def test_build_runs_as_coded_missing_tokens(spark):
     assert got["r1"][RU.PROC_ATTEMPTS] == "1, missing, 2"        # missing printed, as coded
     assert got["r3"].county_fips == "19missing"
     assert got["r2"][RU.MED] == "missing"
+
+
+def test_incident_fanout_guard(spark):
+    import pytest
+    g, _ = gaz(spark)
+    dup = g.unionByName(g.where("name = 'DES MOINES'").withColumn("name_county", F.lit("Warren")))
+    raw = spark.createDataFrame(INCIDENTS, INCIDENT_SCHEMA)
+    assert I.build_incidents(raw, dup).count() == len(INCIDENTS) + 1        # as coded: the row multiplies
+    with pytest.warns(UserWarning, match="DES MOINES"):
+        I.build_incidents(raw, dup, on_fanout="warn")
+    with pytest.raises(ValueError):
+        I.build_incidents(raw, dup, on_fanout="raise")
+    I.build_incidents(raw, g, on_fanout="raise")                              # unique names: fine

@@ -10,6 +10,7 @@ of the reference's simultaneous mutate blocks.
 """
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ from vigil.functions.rules import apply_rules
 from vigil.functions.strings import squish, to_title
 from vigil.functions.strings import alternation_regex
 from vigil.operators.columns import apply_layout, pull, spread
+from vigil.operators.dedup import duplicate_keys
 from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
 
@@ -67,13 +69,24 @@ INTERVALS = {
 def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str] | None = None,
                     seed: int = R.INCIDENT_ID_SEED, rollover: str = "hour", aed_off_missing: str = "null",
                     utstein_as_coded: bool = False, place_method: str = "regex", place_id: str | None = None,
-                    location_fallback: str | None = None, county_suffix_as_coded: bool = False) -> DataFrame:
+                    location_fallback: str | None = None, county_suffix_as_coded: bool = False,
+                    on_fanout: str = "keep") -> DataFrame:
     """Typed incident rows (see FIXTURES B1) -> analytic table.
 
     ``id_cols``: columns hashed into ``unique_incident_id`` (default: all input
     columns).  ``location_fallback``: None keeps NULL when no place is found,
     ``""`` reproduces the as-coded empty string, ``"text"`` falls back to the
-    cleaned text."""
+    cleaned text.  ``on_fanout``: a place name listed under several counties
+    multiplies incident rows in the attribute join; ``"keep"`` leaves that as
+    is (as coded), ``"warn"`` / ``"raise"`` report such names first (one
+    bounded aggregate over the gazetteer)."""
+    if on_fanout != "keep":
+        dup = [r[0] for r in duplicate_keys(gazetteer.select("name"), ["name"]).limit(20).collect()]
+        if dup:
+            msg = f"gazetteer names listed more than once (incident rows would multiply): {dup}"
+            if on_fanout == "raise":
+                raise ValueError(msg)
+            warnings.warn(msg, stacklevel=2)
     cols = list(id_cols or raw.columns)
     x = spread(raw).withColumn("unique_incident_id", surrogate_id(cols, seed))
     x = x.withColumns({
