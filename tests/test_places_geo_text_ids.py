@@ -111,3 +111,14 @@ def test_degenerate_polygon_and_zero_base_give_null_not_error(spark):
     assert r.cx is None and r.area == 0.0
     y = spark.createDataFrame([(2021, 0), (2022, 5)], "year int, n long")
     assert [x.pct_change for x in TB.lag_change(y, "year", "n", base="previous").orderBy("year").collect()] == [None, None]
+
+
+def test_map_frame_one_pass(spark):
+    from vigil.plans.reports import map_frame
+    sq = lambda x0: [[{"x": x0, "y": 0.0}, {"x": x0 + 2, "y": 0.0}, {"x": x0 + 2, "y": 2.0}, {"x": x0, "y": 2.0}]]
+    df = spark.createDataFrame([(sq(0.0), 5.0), (sq(10.0), None), (sq(4.0), 1.0)],
+                               "geometry array<array<struct<x double, y double>>>, data_value double")
+    r = map_frame(df).first()
+    assert (r.cx, r.cy, r.min_value, r.max_value) == (5.666666666666667, 1.0, 1.0, 5.0)
+    plan = map_frame(df)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -892,6 +892,21 @@ def mortality_national(spark, sf_dir):
     return _mortality(spark, sf_dir)["national"]
 
 
+@query
+def mortality_map_frame(spark, sf_dir):
+    """Projection centre (area-weighted centroid of the state squares) and
+    colour range (min / max measure) of the state map table."""
+    from vigil.plans.reports import map_frame
+    state = _mortality(spark, sf_dir)["state"]
+    k = F.col("STATEFP").cast("double")
+
+    def pt(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+    sq = F.array(F.array(pt(k * 3, k), pt(k * 3 + 2, k), pt(k * 3 + 2, k + 2), pt(k * 3, k + 2)))
+    frame = map_frame(state.withColumn("geometry", sq), "geometry", "data_value")
+    return frame.select(*[F.round(c, 6).alias(c) for c in frame.columns])
+
+
 # X5 reports on the X2 analogue ---------------------------------------------------
 def _analog_incidents(spark, sf_dir):
     from vigil.plans.incidents import build_incidents

@@ -463,7 +463,27 @@ def _incident_reports_sql(which: str) -> str:
         SELECT location, n, n / sum(n) OVER () AS percent FROM c QUALIFY n > 46"""
 
 
+def _map_frame_sql() -> str:
+    st = _mortality_sql("state")
+    verts = " UNION ALL ".join(
+        f"SELECT id, {i} AS i, {x} AS x, {y} AS y FROM b" for i, (x, y) in enumerate(
+            [("k * 3", "k"), ("k * 3 + 2", "k"), ("k * 3 + 2", "k + 2"), ("k * 3", "k + 2")]))
+    return f"""
+    WITH st AS ({st}),
+    b AS (SELECT "STATEFP" AS id, CAST("STATEFP" AS DOUBLE) AS k FROM st),
+    v AS ({verts}),
+    e AS (SELECT x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2,
+                 coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2
+          FROM v WINDOW w AS (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    t AS (SELECT sum(x * y2 - x2 * y) AS a2, sum((x + x2) * (x * y2 - x2 * y)) AS cx6,
+                 sum((y + y2) * (x * y2 - x2 * y)) AS cy6 FROM e)
+    SELECT round(cx6 / (3 * a2), 6) AS cx, round(cy6 / (3 * a2), 6) AS cy,
+           (SELECT round(min(data_value), 6) FROM st) AS min_value,
+           (SELECT round(max(data_value), 6) FROM st) AS max_value FROM t"""
+
+
 SQL: dict[str, str] = {
+    "mortality_map_frame": _map_frame_sql(),
     "outcome_labels": f"""
         WITH p AS ({_outcome_pivot("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END",
                                    "urbanicity")})

@@ -127,6 +127,18 @@ def fiscal_year_performance(incidents: DataFrame, order_by: Sequence = ("date_of
     return per.orderBy("fiscal_year"), summary
 
 
+def map_frame(table: DataFrame, geometry: str = "geometry", value: str = "data_value") -> DataFrame:
+    """One row for drawing a map table: the area-weighted centroid of all its
+    polygons (projection centre) and the NULL-skipping min / max of the
+    measure (colour range), in ONE aggregation pass."""
+    from vigil.operators.geo import polygon_terms
+    t = table.select(polygon_terms(F.col(geometry)).alias("t"), F.col(value).alias("v"))
+    s = t.agg(F.sum("t.a2").alias("a2"), F.sum("t.cx6").alias("cx6"), F.sum("t.cy6").alias("cy6"),
+              F.min("v").alias("min_value"), F.max("v").alias("max_value"))
+    return s.select(F.try_divide(F.col("cx6"), 3.0 * F.col("a2")).alias("cx"),
+                    F.try_divide(F.col("cy6"), 3.0 * F.col("a2")).alias("cy"), "min_value", "max_value")
+
+
 # X7 ----------------------------------------------------------------------------
 def mortality_tables(measure: DataFrame, state_boundaries: DataFrame, county_boundaries: DataFrame,
                      county_attrs: DataFrame, state_abbr: str = "IA",
