@@ -60,3 +60,9 @@ def test_no_python_udfs_anywhere(spark):
 def test_exact_median_is_not_a_single_task_percentile(spark, name):
     p = plan(spark, name)
     assert "percentile" not in p.lower()      # distributed ranked quantile instead
+
+
+def test_no_cross_joins_anywhere(spark):
+    for name in E.queries():
+        p = plan(spark, name)
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
