@@ -122,3 +122,17 @@ def test_map_frame_one_pass(spark):
     assert (r.cx, r.cy, r.min_value, r.max_value) == (5.666666666666667, 1.0, 1.0, 5.0)
     plan = map_frame(df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_regex_and_ngram_agree_on_accented_texts(spark):
+    vocab = ["CAFÉ", "ÉCOLE", "RUE", "NORD", "STRAßE", "ÜBER", "COLE", "café", "école", "STRASSE", "über"]
+    rnd = random.Random(17)
+    names = sorted({" ".join(rnd.sample(vocab[:7], rnd.choice([1, 2]))) for _ in range(10)} | {"COLE"})
+    texts = [(i, " ".join(rnd.choice(vocab + ["ÉT", "X1", "é"]) for _ in range(rnd.randint(0, 6)))) for i in range(300)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    d = _dict(spark, names)
+    a = dict(rows(extract_dictionary(df, "text", d, "name", method="regex"), "id", "location"))
+    b = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram", id_col="id"), "id", "location"))
+    pat = re.compile(alternation_regex(names).replace("(?iu)", ""), re.I)
+    py = {i: (m.group(0) if (m := pat.search(t)) else None) for i, t in texts}
+    assert a == b == py

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
-from vigil.functions.strings import ColumnOrName, col, pad_left, safe_match, text_length, to_text
+from vigil.functions.strings import ColumnOrName, col, flagged, pad_left, safe_match, text_length, to_text
 
 
 # M1 ---------------------------------------------------------------------------
@@ -101,7 +101,7 @@ def repair_outcome(outcome: ColumnOrName, disposition: ColumnOrName) -> Column:
 def outcome_flags(outcome: ColumnOrName) -> dict[str, Column]:
     """Six substring flags plus ``survival = outcome does not mention expire``."""
     out = {name: safe_match(outcome, pat, True) for name, pat in R.OUTCOME_FLAG_PATTERNS.items()}
-    out["survival"] = ~col(outcome).rlike("(?i)" + R.EXPIRE_PATTERN)
+    out["survival"] = ~col(outcome).rlike(flagged(R.EXPIRE_PATTERN, True))
     return out
 
 

@@ -38,7 +38,7 @@ def rewrite_whole(c: ColumnOrName, pattern: str, value: str, ignore_case: bool =
     """``value`` when ``pattern`` occurs anywhere in the text, else the text --
     as ONE ``regexp_replace`` (the input expression is referenced once, so a
     long chain of such steps does not duplicate its sub-expressions)."""
-    flags = "(?is)" if ignore_case else "(?s)"
+    flags = "(?ius)" if ignore_case else "(?s)"
     rep = value.replace("\\", "\\\\").replace("$", "\\$")
     return F.regexp_replace(col(c), f"{flags}^.*(?:{pattern}).*$", rep)
 

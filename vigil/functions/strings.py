@@ -20,7 +20,9 @@ def col(c: ColumnOrName) -> Column:
 
 
 def flagged(pattern: str, ignore_case: bool = False) -> str:
-    return f"(?i){pattern}" if ignore_case else pattern
+    """Case-insensitive with Unicode case folding (``(?iu)``): Java's bare
+    ``(?i)`` folds ASCII only, the reference's and DuckDB's fold Unicode."""
+    return f"(?iu){pattern}" if ignore_case else pattern
 
 
 def _escape_replacement(rep: str) -> str:

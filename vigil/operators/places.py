@@ -26,7 +26,8 @@ from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extra
                                      replace_all, replace_first, squish)
 from vigil.operators.joins import broadcast_if_small
 
-WORD = "A-Za-z0-9_"
+# word characters as Java's \b sees them (letters and digits of any script, "_")
+WORD = r"\p{L}\p{Nd}_"
 AUTO_REGEX_NAMES = 5_000
 
 
@@ -37,7 +38,7 @@ def county_suffix_pattern(counties: Sequence[str], as_coded: bool = False) -> st
     names never match upper-cased text)."""
     base = alternation_regex(counties, word_boundary=True, ignore_case=False)
     pat = base + R.COUNTY_SUFFIX_PATTERN
-    return pat if as_coded else "(?i)" + pat
+    return pat if as_coded else "(?iu)" + pat
 
 
 def strip_county_suffix(c: ColumnOrName, counties: Sequence[str], as_coded: bool = False) -> Column:
@@ -114,7 +115,9 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
         raise ValueError(method)
     if id_col is None:
         raise ValueError("method='ngram' needs a unique id_col to attach matches")
-    names = dictionary_names(dict_df, name_col).select(F.upper("__name").alias("__key"), F.col("__name"))
+    # lower() (not upper(): "ß" would expand to "SS") approximates the regex's
+    # per-character case folding
+    names = dictionary_names(dict_df, name_col).select(F.lower("__name").alias("__key"), F.col("__name"))
     if max_words is None:
         max_words = names.agg(F.max(F.size(F.split("__key", " ")))).first()[0] or 1
     # candidate runs of k words start at a word chunk i and span 2k-1 chunks
@@ -125,7 +128,7 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
                             for k in range(1, max_words + 1)])))
     grams = (df.select(F.col(id_col), _chunks(F.col(text_col)).alias("__ch"))
              .select(id_col, F.explode(cands).alias("g"))
-             .select(id_col, "g.pos", "g.k", "g.cand", F.upper("g.cand").alias("__key"))
+             .select(id_col, "g.pos", "g.k", "g.cand", F.lower("g.cand").alias("__key"))
              .where(F.col("__key").rlike(f"^[{WORD}]")))
     hits = grams.join(broadcast_if_small(names, broadcast_rows), "__key")
     tie = F.col("__name") if prefer == "first" else -F.col("k")
