@@ -50,10 +50,11 @@ def test_literal_exclusions_are_broadcast(spark):
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
 
 
-def test_no_python_udfs_anywhere(spark):
+def test_no_python_udfs_and_no_cross_joins_anywhere(spark):
     for name in E.queries():
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
 @pytest.mark.parametrize("name", ["median_impute"])
@@ -61,8 +62,3 @@ def test_exact_median_is_not_a_single_task_percentile(spark, name):
     p = plan(spark, name)
     assert "percentile" not in p.lower()      # distributed ranked quantile instead
 
-
-def test_no_cross_joins_anywhere(spark):
-    for name in E.queries():
-        p = plan(spark, name)
-        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
