@@ -3,6 +3,48 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op10_preference_format"] = r"""
+WITH ans AS (  -- the last answer of each conversation
+  SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS answer
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+sides AS (
+  SELECT c.conv_id, 'chosen' AS side, c.turn, c.role, c.text
+  FROM conversations c LEFT JOIN ans a USING (conv_id) WHERE c.turn <= coalesce(a.last_turn, c.turn)
+  UNION ALL
+  SELECT c.conv_id, 'rejected', c.turn, c.role, c.text
+  FROM conversations c LEFT JOIN ans a USING (conv_id) WHERE a.last_turn IS NULL OR c.turn < a.last_turn
+  UNION ALL
+  SELECT a.conv_id, 'rejected', a.last_turn, 'assistant', b.answer
+  FROM ans a JOIN ans b ON b.conv_id = xor(a.conv_id, 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) AS k FROM sides),
+first_difference AS (
+  SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, min(coalesce(a.k, b.k)) AS k
+  FROM (SELECT * FROM numbered WHERE side = 'chosen') a
+  FULL JOIN (SELECT * FROM numbered WHERE side = 'rejected') b ON a.conv_id = b.conv_id AND a.k = b.k
+  WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text OR a.k IS NULL OR b.k IS NULL
+  GROUP BY 1),
+marked AS (
+  SELECT n.conv_id, n.side, n.k, n.role, coalesce(d.k - 1, 1000000000) AS shared,
+         '<|im_start|>' || n.role || chr(10) AS head, n.text || '<|im_end|>' AS body
+  FROM numbered n LEFT JOIN first_difference d USING (conv_id)),
+placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, side ORDER BY k) - length(body) - 1 AS body_start
+  FROM marked WHERE k > shared),
+completions AS (
+  SELECT conv_id, side, string_agg(head || body || chr(10), '' ORDER BY k) AS rendered,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN body_start::BIGINT || ':' || (body_start + length(body))::BIGINT END, ',' ORDER BY k), '') AS loss
+  FROM placed GROUP BY 1, 2),
+prompts AS (
+  SELECT conv_id, count(*) FILTER (k <= shared) AS prompt_turns,
+         coalesce(string_agg(head || body || chr(10), '' ORDER BY k) FILTER (k <= shared), '') AS prompt
+  FROM marked WHERE side = 'chosen' GROUP BY 1)
+SELECT p.conv_id, p.prompt, p.prompt_turns, coalesce(c.rendered, '') AS chosen, coalesce(c.loss, '') AS chosen_loss,
+       coalesce(r.rendered, '') AS rejected, coalesce(r.loss, '') AS rejected_loss
+FROM prompts p
+LEFT JOIN completions c ON c.conv_id = p.conv_id AND c.side = 'chosen'
+LEFT JOIN completions r ON r.conv_id = p.conv_id AND r.side = 'rejected'
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
