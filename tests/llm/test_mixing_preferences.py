@@ -85,7 +85,7 @@ def plain_pairs(convs):
         chosen, k = cut(turns)
         rejected = turns
         if k is not None:
-            other = cut(convs.get(None if c is None else c ^ 1, []))
+            other = cut([] if c is None else convs.get(c ^ 1, []))
             rejected = turns[:k] + ([other[0][other[1]]] if other[1] is not None else [])
         n = 0
         while n < min(len(chosen), len(rejected)) and chosen[n] == rejected[n]:
