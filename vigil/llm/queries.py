@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import mixing, packing, preferences, quality, secret_scan, token_counts
+from vigil.llm import fingerprint, mixing, packing, preferences, quality, secret_scan, token_counts
 
 
 def importable(spark: SparkSession) -> None:
@@ -34,6 +34,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(_table(spark, sf_dir, "documents")))
 
@@ -55,7 +59,7 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(preferences.contrast_pairs(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op4_mixing, op6_secret_scan, op8_token_counts, op10_preference_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op8_token_counts, op10_preference_format)}
 
 
 def queries():
