@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import fingerprint, mixing, packing, preferences, quality, secret_scan, token_counts
+from vigil.llm import fingerprint, html_text, mixing, packing, preferences, quality, secret_scan, token_counts
 
 
 def importable(spark: SparkSession) -> None:
@@ -51,6 +51,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.joined(spans).alias("spans"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(preferences.contrast_pairs(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op8_token_counts, op10_preference_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op7_html_text, op8_token_counts, op10_preference_format)}
 
 
 def queries():
