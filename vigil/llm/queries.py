@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import fingerprint, html_text, mixing, packing, preferences, quality, secret_scan, token_counts
+from vigil.llm import fingerprint, html_text, mixing, near_dup, packing, preferences, quality, secret_scan, token_counts
 
 
 def importable(spark: SparkSession) -> None:
@@ -59,11 +59,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(preferences.contrast_pairs(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op7_html_text, op8_token_counts, op10_preference_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op7_html_text, op8_token_counts, op9_near_duplicates, op10_preference_format)}
 
 
 def queries():
