@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import fingerprint, html_text, mixing, near_dup, packing, preferences, quality, secret_scan, token_counts
+from vigil.llm import ann, fingerprint, html_text, mixing, near_dup, packing, preferences, quality, secret_scan, token_counts
 
 
 def importable(spark: SparkSession) -> None:
@@ -42,6 +42,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.per_document(mixing.mix(_table(spark, sf_dir, "documents")))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans, base = F.col("spans"), [r.kind for r in secret_scan.BASE_RULES]
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -67,7 +71,7 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_pairs(preferences.contrast_pairs(_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op6_secret_scan, op7_html_text, op8_token_counts, op9_near_duplicates, op10_preference_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op5_nearest_neighbours, op6_secret_scan, op7_html_text, op8_token_counts, op9_near_duplicates, op10_preference_format)}
 
 
 def queries():
