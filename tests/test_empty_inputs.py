@@ -14,7 +14,7 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], "k int, v double, c string, w boolean, b boolean")
     assert keep_first(e, ["k"], ["v"]).count() == 0
     assert A.count_share(e, ["c"]).count() == 0
-    assert TB.share(A.count_by(e, ["c"]), "n", bounded=True).count() == 0
+    assert TB.share(A.count_by(e, ["c"]), "n").count() == 0
     assert TB.pareto(A.count_by(e, ["c"], "count"), "c", "count", lump_below=6).count() == 0
     assert TB.quantile_bin(A.count_by(e, ["c"]), "n").count() == 0
     assert TB.outcome_table(e, ["k"], "c").count() == 0
@@ -25,11 +25,11 @@ def test_empty_tables(spark):
     d = spark.createDataFrame([("AMES",)], "name string")
     t = spark.createDataFrame([], "id long, text string")
     assert extract_dictionary(t, "text", d, "name").count() == 0
-    assert extract_dictionary(t, "text", d, "name", method="ngram", id_col="id").count() == 0
+    assert extract_dictionary(t, "text", d, "name", method="ngram").count() == 0
     assert sectionize(t, ["id"], ["id"], "text").count() == 0
 
 
 def test_empty_dictionary_matches_nothing(spark):
     t = spark.createDataFrame([(1, "AMES")], "id long, text string")
     d = spark.createDataFrame([(None,), ("  ",)], "name string")
-    assert extract_dictionary(t, "text", d, "name", method="ngram", id_col="id").first().location is None
+    assert extract_dictionary(t, "text", d, "name", method="ngram").first().location is None

@@ -10,7 +10,7 @@ from vigil.operators.collapse import Side, collapse_one_to_many, defibrillation_
 from vigil.operators.columns import pull, relocate
 from vigil.operators.dedup import assert_unique_key, fanout_report, keep_first
 from vigil.operators.impute import impute_median, ranked_quantile, ranked_quantiles
-from vigil.operators.joins import broadcast_if_small, exclude_pairs, left_lookup, right_lookup
+from vigil.operators.joins import exclude_pairs, left_lookup, right_lookup
 from vigil.functions import rules as R
 
 from conftest import rows
@@ -56,8 +56,6 @@ def test_lookups_and_exclusions(spark):
     ex = spark.createDataFrame(R.GAZETTEER_EXCLUSIONS, "name string, county string")
     g = spark.createDataFrame([("TROY", "Lucas"), ("TROY", "Davis"), ("VAN", "Marshall")], "name string, county string")
     assert rows(exclude_pairs(g, ex, ["name", "county"])) == [("TROY", "Davis")]
-    small = broadcast_if_small(dim, 10)
-    assert "Broadcast" in small.join(df, df.k == small.key)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_join_strings_orders_and_distinct(spark):
@@ -178,8 +176,6 @@ def test_layout_helpers(spark):
     assert relocate(df, "c", before="a").columns == ["c", "a", "b"]
     assert relocate(df, ["a"], after="c").columns == ["b", "c", "a"]
     assert pull(df, "b") == [2]
-    with pytest.raises(ValueError):
-        pull(spark.range(10), "id", max_rows=5)
 
 
 def test_sorts_and_aliases(spark):
@@ -192,7 +188,7 @@ def test_sorts_and_aliases(spark):
     assert [r.v for r in sort_all(df).collect()] == ["c", "b", "a"]
     y = spark.createDataFrame([(2021, 10), (2022, 20)], "year int, n long")
     assert [r.p for r in TB.pct_change(y, "year", "n", base="previous", name="p").orderBy("year").collect()] == [None, 100.0]
-    assert [r.percent for r in TB.share_within(y.withColumn("g", F.lit(1)), "g", "n").orderBy("year").collect()] == [1 / 3, 2 / 3]
+    assert [r.percent for r in TB.share(y.withColumn("g", F.lit(1)), "n", by=["g"]).orderBy("year").collect()] == [1 / 3, 2 / 3]
     t = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 30))], "a timestamp_ntz, b timestamp_ntz")
     assert intervals(t, {"m": ("a", "b")}).first().m == 30.0
 

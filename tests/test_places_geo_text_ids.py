@@ -26,14 +26,14 @@ def test_first_match_semantics(spark, method):
     texts = [(1, "WEST DES MOINES"), (2, "NEAR AMES"), (3, "JAMESTOWN"), (4, "NO PLACE HERE"), (5, None),
              (6, "des moines, west"), (7, "MOUNT  AYR"), (8, "ST CHARLES MOUNT AYR")]
     df = spark.createDataFrame(texts, "id long, text string")
-    out = dict(rows(extract_dictionary(df, "text", _dict(spark, GAZ), "name", method=method, id_col="id"),
+    out = dict(rows(extract_dictionary(df, "text", _dict(spark, GAZ), "name", method=method),
                     "id", "location"))
     assert out == {1: "WEST", 2: "AMES", 3: None, 4: None, 5: None, 6: "des moines", 7: None, 8: "ST CHARLES"}
 
 
 def test_prefer_longest(spark):
     df = spark.createDataFrame([(1, "WEST DES MOINES")], "id long, text string")
-    out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="ngram", id_col="id", prefer="longest")
+    out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="ngram", prefer="longest")
     assert out.first().location == "WEST DES MOINES"
 
 
@@ -52,7 +52,7 @@ def test_regex_and_ngram_agree_on_random_texts(spark):
     df = spark.createDataFrame(texts, "id long, text string")
     d = _dict(spark, names)
     a = dict(rows(extract_dictionary(df, "text", d, "name", method="regex"), "id", "location"))
-    b = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram", id_col="id"), "id", "location"))
+    b = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram"), "id", "location"))
     pat = re.compile(alternation_regex(names).replace("(?i)", ""), re.I)
     py = {i: (m.group(0) if (m := pat.search(t)) else None) for i, t in texts}
     assert a == b == py
@@ -97,9 +97,9 @@ def test_surrogate_id_shape_determinism_and_duckdb_parity(spark):
 def test_auto_method_picks_by_size(spark, monkeypatch):
     import vigil.operators.places as P
     df = spark.createDataFrame([(1, "WEST DES MOINES")], "id long, text string")
-    assert extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", id_col="id").first().location == "WEST"
+    assert extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto").first().location == "WEST"
     monkeypatch.setattr(P, "AUTO_REGEX_NAMES", 2)     # force the n-gram path
-    out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", id_col="id", prefer="longest")
+    out = extract_dictionary(df, "text", _dict(spark, GAZ), "name", method="auto", prefer="longest")
     assert out.first().location == "WEST DES MOINES"
 
 
@@ -132,7 +132,7 @@ def test_regex_and_ngram_agree_on_accented_texts(spark):
     df = spark.createDataFrame(texts, "id long, text string")
     d = _dict(spark, names)
     a = dict(rows(extract_dictionary(df, "text", d, "name", method="regex"), "id", "location"))
-    b = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram", id_col="id"), "id", "location"))
+    b = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram"), "id", "location"))
     pat = re.compile(alternation_regex(names).replace("(?iu)", ""), re.I)
     py = {i: (m.group(0) if (m := pat.search(t)) else None) for i, t in texts}
     assert a == b == py

@@ -72,7 +72,7 @@ def test_ngram_extraction_hot_word(spark):
     texts = [(i, "THE " * 3 + ("HOT SPOT" if i % 3 == 0 else " ".join(rnd.choices(words, k=3)))) for i in range(3000)]
     df = spark.createDataFrame(texts, "id long, text string").repartition(8)
     d = spark.createDataFrame([("HOT SPOT",), ("GAMMA",), ("THE END",)], "name string")
-    got = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram", id_col="id"), "id", "location"))
+    got = dict(rows(extract_dictionary(df, "text", d, "name", method="ngram"), "id", "location"))
     reg = dict(rows(extract_dictionary(df, "text", d, "name", method="regex"), "id", "location"))
     assert got == reg
     assert sum(1 for v in got.values() if v == "HOT SPOT") == 1000

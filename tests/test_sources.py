@@ -18,7 +18,7 @@ def test_snake_case_and_clean_names(spark):
 def test_apply_type_spec(spark):
     raw = spark.createDataFrame([("1", "2024-01-02", "3.5", "23:50:01", "x"), ("n/a", "", " ", "bad", None)],
                                 "`Id (key)` string, `Use Date` string, `Amount=USD` string, `Time On` string, Note string")
-    out = IO.apply_type_spec(raw, ["bigint", "date", "double", "time", "string"])
+    out = IO.apply_type_spec(raw, ["bigint", "date", "double", "time", "string"], on_error="null")
     assert out.columns == ["id_key", "use_date", "amount_usd", "time_on", "note"]
     r = out.collect()
     assert tuple(r[0]) == (1, dt.date(2024, 1, 2), 3.5, (23 * 3600 + 50 * 60 + 1) * 1_000_000, "x")
@@ -26,7 +26,7 @@ def test_apply_type_spec(spark):
     with pytest.raises(ValueError):
         IO.apply_type_spec(raw, ["bigint"])
     with pytest.raises(Exception):
-        IO.apply_type_spec(raw, ["bigint", "date", "double", "time", "string"], on_error="fail").collect()
+        IO.apply_type_spec(raw, ["bigint", "date", "double", "time", "string"]).collect()
 
 
 def test_delimited_materialize_and_sinks(spark):
@@ -68,3 +68,19 @@ def test_header_from_first_row_then_typed(spark):
     typed = IO.apply_type_spec(df, ["bigint", "date"])
     assert sorted(typed.collect(), key=lambda x: x[0]) == [(1, dt.date(2024, 1, 2)), (2, None)]
     assert typed.columns == ["incident_id", "date_of_use"]
+
+
+def test_header_row_is_the_only_row_removed(spark):
+    grid = spark.createDataFrame([(0, "Id"), (0, "7"), (None, "8"), (2, "9")], "r int, A string")
+    assert IO.header_from_first_row(grid, "r").count() == 3
+
+
+def test_materialize_rebuilds_half_written_results(spark, tmp_path):
+    p, calls = str(tmp_path / "t"), []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+    assert IO.materialize(spark, p, build).count() == 3 and IO.materialize(spark, p, build).count() == 3 and len(calls) == 1
+    (tmp_path / "t" / "_SUCCESS").rename(tmp_path / "marker")
+    assert IO.materialize(spark, p, build).count() == 3 and len(calls) == 2

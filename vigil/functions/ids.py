@@ -4,15 +4,16 @@ The reference draws ``LLLLLLLLLL-##########`` ids from a seeded global RNG in
 row order.  On Spark a row-order RNG is partition-dependent, so the id is
 derived from a hash of a seed and the row's key columns: deterministic under
 re-partitioning and task retries, same shape (10 letters from A-Z a-z, a dash,
-10 digits whose first digit is not 0).  Not unique by guarantee (neither is
-the reference's): check with ``operators.dedup.assert_unique_key``.
+10 digits whose first digit is not 0).  ``with_surrogate_id`` gives every row
+its own id, also where rows repeat.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions.strings import ColumnOrName, col
 
@@ -24,12 +25,26 @@ def _hex_byte(h: Column, i: int) -> Column:
 
 
 def surrogate_id(keys: Sequence[ColumnOrName], seed: int) -> Column:
-    """``sha256(seed|key1|key2...)``: bytes 0-9 pick the letters, the next 60
-    bits give the number in [1e9, 1e10)."""
-    parts = [F.lit(str(seed))] + [F.coalesce(col(k).cast("string"), F.lit("\u0000")) for k in keys]
-    h = F.sha2(F.concat_ws("|", *parts), 256)
+    """sha256 of the seed and the keys, each written as ``length:value;`` (``N;``
+    for NULL), so different key tuples never read alike: bytes 0-9 pick the
+    letters, the next 60 bits give the number in [1e9, 1e10)."""
+    def part(k: ColumnOrName) -> Column:
+        v = col(k).cast("string")
+        return F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v, F.lit(";")), F.lit("N;"))
+    h = F.sha2(F.concat(F.lit(f"{seed};"), *[part(k) for k in keys]), 256)
     letters = F.concat(*[F.substring(F.lit(LETTERS), (F.pmod(_hex_byte(h, i), F.lit(52)) + 1), 1)
                          for i in range(10)])
     num = F.conv(F.substring(h, 21, 15), 16, 10).cast("bigint")
     digits = F.pmod(num, F.lit(9_000_000_000)) + F.lit(1_000_000_000)
     return F.concat(letters, F.lit("-"), digits.cast("string"))
+
+
+def with_surrogate_id(df: DataFrame, keys: Sequence[str], seed: int, name: str) -> DataFrame:
+    """Adds an id to every ROW: rows with equal keys are numbered (by their
+    other columns; rows equal in all columns are interchangeable) and from the second on
+    the number is hashed along with the keys, so repeated rows keep ids of their own, whatever the partitioning."""
+    rest = [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*(rest or [F.lit(1)]))
+    return (df.withColumn("__occurrence", F.row_number().over(w))
+            .withColumn(name, F.when(F.col("__occurrence") == 1, surrogate_id(keys, seed))
+                        .otherwise(surrogate_id([*keys, "__occurrence"], seed))).drop("__occurrence"))

@@ -26,20 +26,12 @@ def grand_total(df: DataFrame, c: str) -> Column:
     return df.agg(F.sum(c)).scalar()
 
 
-# A2 / W4 ----------------------------------------------------------------------
-def with_share(df: DataFrame, n: str = "n", name: str = "percent",
-               by: Sequence[str] | None = None) -> DataFrame:
-    """``n / sum(n)`` over the whole table, or within ``by`` groups."""
-    if by:
-        from pyspark.sql import Window
-        return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(Window.partitionBy(*by))))
-    return df.withColumn(name, F.try_divide(F.col(n), grand_total(df, n)))
-
-
+# A2 -----------------------------------------------------------------------------
 def count_share(df: DataFrame, keys: Sequence[ColumnOrName], n: str = "n",
                 name: str = "percent") -> DataFrame:
     """Count per group and its share of all rows (``proprow``)."""
-    return with_share(count_by(df, keys, n), n, name)
+    counts = count_by(df, keys, n)
+    return counts.withColumn(name, F.try_divide(F.col(n), grand_total(counts, n)))
 
 
 # A3 / A4 ----------------------------------------------------------------------
@@ -78,17 +70,6 @@ def mean_of_group_rates(df: DataFrame, group: ColumnOrName, success: Column,
     return per, summary
 
 
-# A11 / A12 --------------------------------------------------------------------
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    """One-row table of exact quantiles (linear interpolation, = percentile_cont).
-
-    Spark's ``percentile`` keeps a value->count map, so its memory is bounded
-    by the number of DISTINCT values, not rows: right for counts and codes.
-    For high-cardinality doubles use ``operators.impute.ranked_quantile``."""
-    names = names or [f"q{p}" for p in probs]
-    return df.agg(*[F.percentile(F.col(c), p).alias(nm) for p, nm in zip(probs, names)])
-
-
 # A13 --------------------------------------------------------------------------
 def with_total_row(df: DataFrame, label_col: str, label: str, totals: Mapping[str, Column]) -> DataFrame:
     """Append one summary row below a (small) table: ``totals`` gives the

@@ -35,13 +35,11 @@ def apply_layout(df: DataFrame, moves: Sequence[tuple]) -> DataFrame:
     return df.select(*order)
 
 
-def pull(df: DataFrame, c: str, max_rows: int = 100_000) -> list:
-    """A column as a driver list -- ONLY for small dictionaries; refuses more
-    than ``max_rows`` values instead of pulling data to the driver."""
-    rows = df.select(c).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"pull() refuses more than {max_rows} rows; keep it a DataFrame")
-    return [r[0] for r in rows]
+def pull(df: DataFrame, c: str) -> list:
+    """A column as a driver list (what the operation is): for names of an
+    administrative domain, such as counties.  Lists that grow with the data
+    stay DataFrames and are joined."""
+    return [r[0] for r in df.select(c).collect()]
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -52,20 +50,6 @@ def count_missing(df: DataFrame, c: str) -> DataFrame:
     return df.agg(F.count_if(F.col(c).isNull()).alias("n_missing"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` (default: the cluster's
-    default parallelism) partitions -- ONLY when the input is read from fewer
-    files than that (small or single-row-group inputs give one task per file).
-    Used before CPU-heavy per-row work; on large inputs spread over thousands
-    of files it is a no-op and adds no shuffle.  Decided from the file list
-    alone (``inputFiles``), without running any part of the plan."""
-    if df.isStreaming:          # micro-batches: the source decides the splits
-        return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(n) if 0 < len(files) < n else df
-
-
 # O1-O3 --------------------------------------------------------------------------
 def arrange(df: DataFrame, *cols: str, desc: bool = False) -> DataFrame:
     """Sort with the reference's NULL placement: ascending puts NULL last,

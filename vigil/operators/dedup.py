@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions.strings import ColumnOrName
 
@@ -22,20 +23,27 @@ def order_columns(order_by: Sequence[ColumnOrName]) -> list[Column]:
     return [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _sortable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _sortable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_sortable(f.dataType) for f in t)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnOrName]) -> DataFrame:
-    """First row per key under ``order_by`` (all columns kept).  ``order_by``
-    must be total within a key for a deterministic result."""
+    """First row per key under ``order_by`` (all columns kept).  Every other
+    sortable column follows ``order_by`` as a tie-breaker, so the order is
+    total: rows that still tie are equal, and the result doesn't depend on
+    how the input is partitioned."""
     if not order_by:
         raise ValueError("keep_first needs an explicit order_by")
-    w = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
+    named = {c for c in order_by if isinstance(c, str)} | set(keys)
+    rest = [f.name for f in df.schema if f.name not in named and _sortable(f.dataType)]
+    w = Window.partitionBy(*keys).orderBy(*order_columns(order_by), *order_columns([F.col(f"`{c}`").asc_nulls_last() for c in rest]))
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Distinct over all columns (partial aggregation dedups map-side)."""
-    return df.distinct()
-
-
 def key_counts(dim: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -6,15 +6,13 @@ unbounded for continuous measures over 100 TB.  ``ranked_quantile`` computes
 the same exact, linearly interpolated quantile fully distributed:
 
 1. value counts (partial aggregation; a hot value becomes one row);
-2. range partitioning of the distinct values (sampled split points);
-3. per-partition totals (one row per partition) -> running offsets;
-4. a running count INSIDE each range partition (partitioned window);
+2. ranges of the distinct values, cut at their approximate quantiles;
+3. totals of each range (a few rows) -> the ranges that hold the wanted ranks;
+4. a running count inside those ranges only (partitioned window);
 5. the two rows bracketing the target rank -> interpolate.
 
-No step holds more than one range partition in a task, and nothing but a
-handful of rows reaches the driver (through a scalar subquery).  The ranged
-distinct values are checkpointed (reliably) so both of their consumers use
-the same partition ids.
+No step sorts more than the ranges that hold a result, nothing is checkpointed
+and nothing but one row reaches the driver (through a scalar subquery).
 """
 from __future__ import annotations
 
@@ -23,52 +21,63 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.session import checkpoint_dir
+PARTS = 64  # ranges that a column is cut into
 
 
-def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, partitions: int | None = None) -> DataFrame:
-    """One-row DataFrame with the exact quantile at ``p`` of every column in
-    ``cols`` (NULLs skipped; ``percentile_cont``: h = (N-1)p,
-    v[floor h] + (h - floor h)(v[ceil h] - v[floor h])), computed in ONE
-    distributed pass: the columns are stacked as (column id, value) rows and
-    range-partitioned on (column id, value)."""
+def ranked_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], parts: int = PARTS) -> DataFrame:
+    """``cid, prob, q``: the exact quantile of every column at every probability
+    (NULLs skipped; ``percentile_cont``: h = (N-1)p,
+    v[floor h] + (h - floor h)(v[ceil h] - v[floor h])) in one lazy plan.
+
+    The columns are stacked as (column id, value) rows and counted by value.  Approximate
+    quantiles of the distinct values cut each column into ``parts`` ranges; only their sums
+    are needed to know which range holds a wanted rank, and only
+    those ranges (one or two a quantile) are sorted for a running count."""
     cols = list(cols)
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("s"))
-    vals = stacked.select("s.cid", "s.v").where(F.col("v").isNotNull())
-    vc = vals.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = vc.repartitionByRange(partitions, "cid", "v").withColumn("pid", F.spark_partition_id())
-    # Both consumers below must see the SAME range bounds: a reliable
-    # checkpoint (shared spark.checkpoint.dir) pins the partition ids, so a
-    # re-planned or recomputed branch cannot re-sample different bounds.
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    # one row per (column, range partition): bounded by partitions x len(cols)
-    per_part = ranged.groupBy("cid", "pid").agg(F.sum("cnt").alias("pcnt"))
-    offsets = per_part.withColumn("off", F.sum("pcnt").over(
-        Window.partitionBy("cid").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("cid", "pid", F.coalesce("off", F.lit(0)).alias("off"))
-    totals = per_part.groupBy("cid").agg(F.sum("pcnt").alias("n"))
-    w = Window.partitionBy("pid", "cid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = (ranged.join(F.broadcast(offsets), ["cid", "pid"]).join(F.broadcast(totals), "cid")
-           .withColumn("hi", F.col("off") + F.sum("cnt").over(w))   # 1-based rank of the last copy
-           .withColumn("lo", F.col("hi") - F.col("cnt") + 1)        # 1-based rank of the first copy
-           .withColumn("h", (F.col("n") - 1) * F.lit(p)))
+    counts = (stacked.select("s.cid", "s.v").where(F.col("v").isNotNull())
+              .groupBy("cid", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    cuts = counts.groupBy("cid").agg(F.percentile_approx("v", [i / parts for i in range(1, parts)], 20 * parts).alias("cuts"))
+    ranged = (counts.join(F.broadcast(cuts), "cid")   # one row a column
+              .select("cid", "v", "cnt", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("pid")))
+    # at most parts x len(cols) rows
+    sums = ranged.groupBy("cid", "pid").agg(F.sum("cnt").alias("pcnt"))
+    by_range = Window.partitionBy("cid").orderBy("pid")
+    spans = (sums.withColumn("upto", F.sum("pcnt").over(by_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("n", F.sum("pcnt").over(Window.partitionBy("cid")))
+             .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+             .withColumn("h", (F.col("n") - 1) * F.col("prob"))
+             .where((F.col("upto") - F.col("pcnt") < F.ceil("h") + 1) & (F.col("upto") >= F.floor("h") + 1))
+             .select("cid", "pid", "prob", "h", (F.col("upto") - F.col("pcnt")).alias("off")))
+    running = Window.partitionBy("cid", "pid", "prob").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = (ranged.join(F.broadcast(spans), ["cid", "pid"])   # two rows a quantile at most
+           .withColumn("hi", F.col("off") + F.sum("cnt").over(running))   # 1-based rank of the last copy
+           .withColumn("lo", F.col("hi") - F.col("cnt") + 1))             # 1-based rank of the first copy
     k_lo, k_hi = F.floor("h") + 1, F.ceil("h") + 1
     at_lo = (F.col("lo") <= k_lo) & (F.col("hi") >= k_lo)
     at_hi = (F.col("lo") <= k_hi) & (F.col("hi") >= k_hi)
-    q = (cum.where(at_lo | at_hi).groupBy("cid")
-         .agg(F.min(F.when(at_lo, F.col("v"))).alias("v_lo"), F.max(F.when(at_hi, F.col("v"))).alias("v_hi"),
-              F.first(F.col("h") - F.floor("h")).alias("frac"))
-         .select("cid", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("q")))
-    return q.groupBy().pivot("cid", list(range(len(cols)))).agg(F.first("q")).toDF(*cols)
+    return (cum.where(at_lo | at_hi).groupBy("cid", "prob")
+            .agg(F.min(F.when(at_lo, F.col("v"))).alias("v_lo"), F.max(F.when(at_hi, F.col("v"))).alias("v_hi"),
+                 F.first(F.col("h") - F.floor("h")).alias("frac"))
+            .select("cid", "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("q")))
+
+
+def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, parts: int = PARTS) -> DataFrame:
+    """One-row DataFrame with the exact quantile at ``p`` of every column in ``cols``."""
+    q = ranked_table(df, cols, [p], parts)
+    return q.agg(*[F.max(F.when(F.col("cid") == i, F.col("q"))).alias(c) for i, c in enumerate(cols)])
+
+
+def quantile_list(df: DataFrame, c: str, probs: Sequence[float], parts: int = PARTS) -> DataFrame:
+    """One-row DataFrame ``(qs)``: the exact quantiles of ``c`` as an array in the order of ``probs``."""
+    q = ranked_table(df, [c], probs, parts)
+    return q.agg(F.array(*[F.max(F.when(F.col("prob") == float(p), F.col("q"))) for p in probs]).alias("qs"))
 
 
-def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int | None = None) -> DataFrame:
+def ranked_quantile(df: DataFrame, c: str, p: float, parts: int = PARTS) -> DataFrame:
     """One-row DataFrame ``(q)``: exact quantile of non-NULL ``c`` at ``p``."""
-    return ranked_quantiles(df, [c], p, partitions).toDF("q")
+    return ranked_quantiles(df, [c], p, parts).toDF("q")
 
 
 def median_of(df: DataFrame, c: str, method: str = "ranked") -> Column:

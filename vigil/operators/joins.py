@@ -1,9 +1,7 @@
-"""Joins (J1, J3, J4, F8) and the broadcast guard.
+"""Joins (J1, J3, J4, F8).
 
-Broadcasting is only forced for sides whose size is bounded: literal tables
-built in code, or a side whose row count has been checked against a limit
-(``broadcast_if_small``).  Anything else is left to Catalyst/AQE, which
-broadcast at run time from measured sizes and otherwise shuffle.
+No join here forces a broadcast: Catalyst and AQE broadcast a side by its
+estimated or measured size, and otherwise shuffle (with skew splitting).
 """
 from __future__ import annotations
 
@@ -12,17 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side provably holds <= ``max_rows`` rows
-    (checked with a bounded count); otherwise return it unchanged so the join
-    falls back to a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _private(dim: DataFrame, cols: Sequence[str], tag: str) -> tuple[DataFrame, dict[str, str]]:
     """The dimension's needed columns under private names: joins then refer
     to columns by name only, so a dimension that shares lineage with the
@@ -41,16 +28,13 @@ def _cond(left_keys: Sequence[str], right_names: Sequence[str], null_safe: bool)
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str | Sequence[str], right_key: str | Sequence[str],
-                keep: Sequence[str] | None = None, null_safe: bool = False,
-                broadcast: bool = False) -> DataFrame:
+                keep: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Left join a dimension on differently named keys; the dimension's key
     columns are dropped, its ``keep`` columns appended."""
     lk = [left_key] if isinstance(left_key, str) else list(left_key)
     rk = [right_key] if isinstance(right_key, str) else list(right_key)
     keep = [c for c in (keep or dim.columns) if c not in rk]
     d, n = _private(dim, rk + keep, "lk")
-    if broadcast:
-        d = F.broadcast(d)
     out = df.join(d, _cond(lk, [n[k] for k in rk], null_safe), "left")
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(n[c]).alias(c) for c in keep])
 
@@ -73,8 +57,6 @@ def anti_join(df: DataFrame, other: DataFrame, left_keys: Sequence[str], right_k
 
 def exclude_pairs(df: DataFrame, exclusions: DataFrame, on: Sequence[str],
                   exclusion_cols: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows whose ``on`` values equal one of the literal exclusion rows.
-    The exclusion table is small by construction -> broadcast anti join."""
-    ex_cols = list(exclusion_cols or on)
-    o, n = _private(exclusions, ex_cols, "ex")
-    return df.join(F.broadcast(o), _cond(list(on), [n[k] for k in ex_cols], False), "left_anti")
+    """Drop rows whose ``on`` values equal one of the exclusion rows (a literal
+    table is a local relation, which Catalyst broadcasts by its size)."""
+    return anti_join(df, exclusions, list(on), list(exclusion_cols or on))

@@ -5,13 +5,13 @@ expression.  ``extract_dictionary`` finds the first dictionary name in free
 text with the reference's regex semantics (leftmost start; at one start the
 first name in ascending order that ends on a word boundary):
 
-* ``method="regex"``: one alternation pattern built from a size-checked,
-  collected dictionary, evaluated per row in generated code (no shuffle);
-* ``method="ngram"``: for dictionaries too large for one pattern: each text is
-  cut into word / separator chunks, every run of 1..K words becomes a
-  candidate (K = most words in a name), candidates equi-join the dictionary
-  (broadcast when its size is checked small, shuffle join + AQE skew split
-  otherwise) and ``min(struct(position, name))`` picks the winner.
+* ``method="regex"``: one alternation pattern built from a collected
+  dictionary, evaluated per row in generated code (no shuffle);
+* ``method="ngram"``: for dictionaries too large for one pattern: each distinct
+  text is cut into word / separator chunks, every run of chunks between word
+  boundaries becomes a candidate (as many chunks as names have), candidates
+  equi-join the dictionary (Catalyst/AQE pick broadcast or a skew-split
+  shuffle join by size) and ``min(struct(position, name))`` picks the winner.
 """
 from __future__ import annotations
 
@@ -24,7 +24,6 @@ from vigil.functions import rules as R
 from vigil.functions.rules import apply_rules, rewrite_whole
 from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extract_first, non_alnum_to_space,
                                      replace_all, replace_first, squish)
-from vigil.operators.joins import broadcast_if_small
 
 # word characters as Java's \b sees them (letters and digits of any script, "_")
 WORD = r"\p{L}\p{Nd}_"
@@ -78,13 +77,9 @@ def dictionary_names(dict_df: DataFrame, name_col: str) -> DataFrame:
     return dict_df.select(n.alias("__name")).where(F.col("__name").isNotNull() & (F.col("__name") != "")).distinct()
 
 
-def dictionary_regex(dict_df: DataFrame, name_col: str, max_names: int = 20_000,
-                     ignore_case: bool = True) -> str:
-    """Collect a size-checked dictionary into one alternation pattern."""
-    names = dictionary_names(dict_df, name_col)
-    rows = names.limit(max_names + 1).collect()
-    if len(rows) > max_names:
-        raise ValueError(f"dictionary has more than {max_names} names; use method='ngram'")
+def dictionary_regex(dict_df: DataFrame, name_col: str, ignore_case: bool = True) -> str:
+    """The dictionary as one alternation pattern (its names reach the driver)."""
+    rows = dictionary_names(dict_df, name_col).collect()
     return alternation_regex([r[0] for r in rows], word_boundary=True, ignore_case=ignore_case)
 
 
@@ -93,19 +88,31 @@ def _chunks(text: Column) -> Column:
     return F.split(text, f"(?<=[{WORD}])(?=[^{WORD}])|(?<=[^{WORD}])(?=[{WORD}])")
 
 
+def _starts_word(c: Column) -> Column:
+    return c.rlike(f"^[{WORD}]")
+
+
+def _ends_word(c: Column) -> Column:
+    return c.rlike(f"[{WORD}]$")
+
+
 def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_col: str,
-                       out_col: str = "location", method: str = "regex", id_col: str | None = None,
-                       max_words: int | None = None, prefer: str = "first",
-                       broadcast_rows: int = 1_000_000, pattern: str | None = None) -> DataFrame:
+                       out_col: str = "location", method: str = "auto", prefer: str = "first",
+                       pattern: str | None = None, regex_names: int = AUTO_REGEX_NAMES) -> DataFrame:
     """Add ``out_col`` = first dictionary name found in ``text_col`` (NULL when
-    none).  ``prefer="longest"`` takes, at the leftmost start, the longest
-    name instead of the first in sort order (``ngram`` only).
-    ``method="auto"``: the regex path for dictionaries up to
-    ``AUTO_REGEX_NAMES`` names (one bounded count), the n-gram join beyond."""
+    none), in the text's own spelling.  Both methods give the same answers;
+    ``method="auto"`` takes the regex up to ``regex_names`` names (faster per
+    row, but the names pass through the driver) and the n-gram join beyond.
+    ``prefer="longest"`` takes, at the leftmost start, the longest name
+    instead of the first in sort order (n-gram join only).
+
+    The n-gram join works on the DISTINCT texts and attaches its answers by
+    text, so rows need no id and repeated texts are matched once.  A candidate is a
+    run of word / separator chunks between two word boundaries, of any
+    number of chunks that some name has (counted as the texts are chunked)."""
     if method == "auto":
-        small = pattern is not None or dictionary_names(dict_df, name_col).limit(AUTO_REGEX_NAMES + 1).count() \
-            <= AUTO_REGEX_NAMES
-        method = "regex" if (small and prefer == "first") or id_col is None else "ngram"
+        small = pattern is not None or dictionary_names(dict_df, name_col).limit(regex_names + 1).count() <= regex_names
+        method = "regex" if small and prefer == "first" else "ngram"
     if method == "regex":
         if prefer != "first":
             raise ValueError("regex method implements prefer='first'")
@@ -113,27 +120,28 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
         return df.withColumn(out_col, extract_first(text_col, pat))
     if method != "ngram":
         raise ValueError(method)
-    if id_col is None:
-        raise ValueError("method='ngram' needs a unique id_col to attach matches")
     # lower() (not upper(): "ß" would expand to "SS") approximates the regex's
     # per-character case folding
     names = dictionary_names(dict_df, name_col).select(F.lower("__name").alias("__key"), F.col("__name"))
-    if max_words is None:
-        max_words = names.agg(F.max(F.size(F.split("__key", " ")))).first()[0] or 1
-    # candidate runs of k words start at a word chunk i and span 2k-1 chunks
+    shapes = names.groupBy(_starts_word(F.col("__key")).alias("w")).agg(F.max(F.size(_chunks(F.col("__key")))).alias("n")).collect()  # two rows
+    longest = {r["w"]: r["n"] for r in shapes}
+    most = max(longest.values(), default=1)
+    texts = df.select(F.col(text_col).alias("__text")).where(F.col("__text").isNotNull()).distinct()
     cands = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("__ch"), F.lit(1))),
-        lambda i: F.array(*[F.struct(i.alias("pos"), F.lit(k).alias("k"),
-                                     F.array_join(F.slice("__ch", i, 2 * k - 1), "").alias("cand"))
-                            for k in range(1, max_words + 1)])))
-    grams = (df.select(F.col(id_col), _chunks(F.col(text_col)).alias("__ch"))
-             .select(id_col, F.explode(cands).alias("g"))
-             .select(id_col, "g.pos", "g.k", "g.cand", F.lower("g.cand").alias("__key"))
-             .where(F.col("__key").rlike(f"^[{WORD}]")))
-    hits = grams.join(broadcast_if_small(names, broadcast_rows), "__key")
+        F.sequence(F.lit(1), F.size("__ch")),
+        lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("__ch") - i + 1)), lambda k: F.struct(
+            i.alias("pos"), k.alias("k"), (i + k - 1 == F.size("__ch")).alias("last"),
+            F.array_join(F.slice("__ch", i, k), "").alias("cand")))))
+    grams = (texts.withColumn("__ch", _chunks(F.col("__text")))
+             .select("__text", F.explode(cands).alias("g"))
+             .select("__text", "g.pos", "g.k", "g.last", "g.cand", F.lower("g.cand").alias("__key"))
+             # inner chunk edges are word boundaries; the text's own ends only beside a word character
+             .where((_starts_word(F.col("cand")) & (F.col("k") <= longest.get(True, 0)))
+                    | (~_starts_word(F.col("cand")) & (F.col("pos") > 1) & (F.col("k") <= longest.get(False, 0))))
+             .where(~F.col("last") | _ends_word(F.col("cand"))))
+    hits = grams.join(names, "__key")
     tie = F.col("__name") if prefer == "first" else -F.col("k")
-    best = (hits.groupBy(id_col)
+    best = (hits.groupBy("__text")
             .agg(F.min(F.struct("pos", tie.alias("t"), F.col("cand"))).alias("__b"))
-            .select(id_col, F.col("__b.cand").alias(out_col)))
-    # the value is the text's own spelling of the name, as a regex match returns
-    return df.join(best, id_col, "left")
+            .select("__text", F.col("__b.cand").alias(out_col)))
+    return df.join(best, F.col(text_col) == F.col("__text"), "left").drop("__text")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
 from vigil.functions.strings import ColumnOrName, col, n_pct_label, pct_fixed
-from vigil.operators.aggregate import grand_total
+from vigil.operators.aggregate import grand_total, lump_small
+from vigil.operators.impute import quantile_list
 
 
 
@@ -27,22 +28,12 @@ def _whole():
 
 
 # W4 / W5 ----------------------------------------------------------------------
-def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str] | None = None,
-          bounded: bool = False) -> DataFrame:
-    """Share of the grand total (or of the ``by`` partition).
-
-    ``bounded=True`` (table rows bounded by a category domain) uses a window
-    over the small table; otherwise the total is a scalar subquery so no
-    single task ever holds a data-sized table."""
+def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str] | None = None) -> DataFrame:
+    """Share of the grand total (or of the ``by`` partition).  The total is a
+    scalar subquery, so no single task ever holds a data-sized table."""
     if by:
         return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(Window.partitionBy(*by))))
-    total = F.sum(n).over(_whole()) if bounded else grand_total(df, n)
-    return df.withColumn(name, F.try_divide(F.col(n), total))
-
-
-def share_within(df: DataFrame, part: str | Sequence[str], n: str = "n", name: str = "percent") -> DataFrame:
-    """Share of ``n`` within each ``part`` (e.g. per year)."""
-    return share(df, n, name, by=[part] if isinstance(part, str) else list(part))
+    return df.withColumn(name, F.try_divide(F.col(n), grand_total(df, n)))
 
 
 # W2 / W3 ----------------------------------------------------------------------
@@ -69,16 +60,17 @@ def pareto(df: DataFrame, cat: str, n: str = "count", lump_below: int | None = N
     """Category counts (optionally lumped) with share and cumulative share in
     ascending-count order; the lumped group sorts at the position of its
     smallest member, i.e. first.  Ties are broken by category name."""
-    if lump_below is not None:
-        g = (df.withColumn(cat, F.when(F.col(n) < lump_below, F.lit(other)).otherwise(F.col(cat)))
-             .groupBy(cat).agg(F.sum(n).alias(n), F.min(n).alias("__first")))
-    else:
-        g = df.withColumn("__first", F.col(n))
-    order = _whole().orderBy("__first", cat)
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum(n).over(_whole())
-    return (g.withColumns({pct: F.try_divide(F.col(n), total), cum: F.try_divide(F.sum(n).over(running), total)})
-            .drop("__first"))
+    g = lump_small(df, cat, n, lump_below, other) if lump_below is not None else df.withColumn("__first", F.col(n))
+    # running sum in two steps: over the distinct counts (with N rows behind the table there are at
+    # most about sqrt(2 N) of them), then among the categories of one count
+    before = Window.orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (g.groupBy("__first").agg(F.sum(n).alias("__step"))
+             .select(F.col("__first").alias("__f"), F.coalesce(F.sum("__step").over(before), F.lit(0)).alias("__before")))
+    within = Window.partitionBy("__first").orderBy(cat).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = grand_total(df, n)
+    return (g.join(steps, F.col("__first") == F.col("__f"))
+            .withColumns({pct: F.try_divide(F.col(n), total), cum: F.try_divide(F.col("__before") + F.sum(n).over(within), total)})
+            .drop("__first", "__f", "__before"))
 
 
 # W7 ---------------------------------------------------------------------------
@@ -89,7 +81,7 @@ def quantile_bin(df: DataFrame, n: str = "n", bins=None, top=None,
     The three quantiles come from ONE scalar subquery."""
     bins = bins or R.QUANTILE_BINS
     top = top or R.QUANTILE_TOP
-    qs = df.agg(F.percentile(F.col(n), [b[0] for b in bins])).scalar()
+    qs = quantile_list(df, n, [b[0] for b in bins]).scalar()
     x = F.col(n)
     c = None
     for i, (_, op, code_v, _lab) in enumerate(bins):
@@ -150,14 +142,16 @@ def outcome_table(df: DataFrame, by: Sequence[ColumnOrName], outcome: str,
 # V4 ---------------------------------------------------------------------------
 def two_way_table(df: DataFrame, row: str, column: str, levels: Sequence = (True, False),
                   names: Sequence[str] = ("true", "false"), total: str = "total",
-                  total_label: str = "total") -> DataFrame:
+                  total_label: str = "total", fill: str | None = None) -> DataFrame:
     """Cross-tab with a row total ``"n (p%)"`` per row and a total row whose
-    cells are ``"n (p%)"`` of all rows; every cell is text (mixed column)."""
-    p = pivot_counts(df, [row], column, levels, dict(zip(levels, names)))
+    cells are ``"n (p%)"`` of all rows; every cell is text (mixed column).
+    Totals count rows, so a cell without rows adds nothing; it shows as
+    ``fill`` (NULL by default, as coded)."""
     a, b = names
-    p = p.withColumn("__tot", F.col(a) + F.col(b))
-    body = p.select(F.col(row).cast("string").alias(row), F.col(a).cast("string").alias(a),
-                    F.col(b).cast("string").alias(b),
+    cell = lambda level, name: F.count_if(F.col(column) == F.lit(level)).alias(name)
+    p = df.groupBy(row).agg(*[cell(lv, n) for lv, n in zip(levels, names)]).withColumn("__tot", F.col(a) + F.col(b)).where("__tot > 0")
+    shown = lambda c: F.when(F.col(c) > 0, F.col(c).cast("string")).otherwise(F.lit(fill)).alias(c)
+    body = p.select(F.col(row).cast("string").alias(row), shown(a), shown(b),
                     n_pct_label("__tot", F.try_divide(F.col("__tot"), F.sum("__tot").over(_whole()))).alias(total))
     sums = p.agg(F.sum(a).alias("sa"), F.sum(b).alias("sb"), F.sum("__tot").alias("sn"))
     tot = sums.select(F.lit(total_label).alias(row),

@@ -3,9 +3,9 @@
 One lazy plan of narrow projections: surrogate id, timestamps with midnight
 rollover repair, AED-off clock time, interval family, age normalisation,
 agency rules, place-name cleaning, dictionary extraction of the place and a
-left join of the gazetteer attributes.  The only non-narrow step is the
-gazetteer join (broadcast after a bounded count; the n-gram extraction path
-adds a join for very large dictionaries).  Each ``withColumns`` call is one
+left join of the gazetteer attributes.  Shuffles: the numbering of repeated rows
+and the gazetteer join (broadcast by Catalyst/AQE when small; the n-gram
+extraction path adds a join for large dictionaries).  Each ``withColumns`` call is one
 of the reference's simultaneous mutate blocks.
 """
 from __future__ import annotations
@@ -19,29 +19,14 @@ from pyspark.sql import functions as F
 from vigil.functions import conditions as C
 from vigil.functions import rules as R
 from vigil.functions import times as TM
-from vigil.functions.ids import surrogate_id
+from vigil.functions.ids import surrogate_id, with_surrogate_id
 from vigil.functions.rules import apply_rules
 from vigil.functions.strings import squish, to_title
-from vigil.functions.strings import alternation_regex
-from vigil.operators.columns import apply_layout, pull, spread
+from vigil.operators.columns import apply_layout, pull
 from vigil.operators.dedup import duplicate_keys
 from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
 
-MAX_GAZETTEER_ROWS = 200_000
-
-
-def gazetteer_vocabulary(gazetteer: DataFrame, max_rows: int = MAX_GAZETTEER_ROWS) -> tuple[list[str], list[str]]:
-    """(place names, county names) of a gazetteer in ONE bounded collect; a
-    gazetteer over ``max_rows`` rows is refused (use the n-gram extraction
-    path and keep it a DataFrame)."""
-    rows = gazetteer.select("name", "name_county").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"gazetteer has more than {max_rows} rows; use place_method='ngram'")
-    names = sorted({r[0] for r in rows if r[0] is not None})
-    counties = sorted({r[1] for r in rows if r[1] is not None})
-    return names, counties
-
 GAZETTEER_ATTRS = ["name_county", "county_fips", "district", "designation", "urbanicity", "asciiname",
                    "latitude", "longitude", "population", "elevation"]
 # the reference's column layout, applied once at the end (metadata only)
@@ -68,13 +53,13 @@ INTERVALS = {
 
 def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str] | None = None,
                     seed: int = R.INCIDENT_ID_SEED, rollover: str = "hour", aed_off_missing: str = "null",
-                    utstein_as_coded: bool = False, place_method: str = "regex", place_id: str | None = None,
+                    utstein_as_coded: bool = False, place_method: str = "auto",
                     location_fallback: str | None = None, county_suffix_as_coded: bool = False,
                     on_fanout: str = "keep") -> DataFrame:
     """Typed incident rows (see FIXTURES B1) -> analytic table.
 
     ``id_cols``: columns hashed into ``unique_incident_id`` (default: all input
-    columns).  ``location_fallback``: None keeps NULL when no place is found,
+    columns), with a number for rows that repeat them, so every row has its own id.  ``location_fallback``: None keeps NULL when no place is found,
     ``""`` reproduces the as-coded empty string, ``"text"`` falls back to the
     cleaned text.  ``on_fanout``: a place name listed under several counties
     multiplies incident rows in the attribute join; ``"keep"`` leaves that as
@@ -88,7 +73,10 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
                 raise ValueError(msg)
             warnings.warn(msg, stacklevel=2)
     cols = list(id_cols or raw.columns)
-    x = spread(raw).withColumn("unique_incident_id", surrogate_id(cols, seed))
+    if raw.isStreaming:   # a stream has no row numbers: its ids come from the key columns alone
+        x = raw.withColumn("unique_incident_id", surrogate_id(cols, seed))
+    else:
+        x = with_surrogate_id(raw, cols, seed, "unique_incident_id")
     x = x.withColumns({
         "amb_toc_timestamp": TM.combine_date_time("date_of_use", "amb_toc"),
         "amb_pat_timestamp": TM.combine_date_time("date_of_use", "amb_pat"),
@@ -113,18 +101,14 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     x = x.withColumn("age_years", C.age_in_years("age", "age_unit"))
     x = x.withColumns({"age_range": C.age_band("age_years"),
                        "agency": squish(F.coalesce("agency", F.lit(R.NOT_RECORDED)))})
-    names, counties = gazetteer_vocabulary(gazetteer) if place_method == "regex" else (None, None)
-    if counties is None:   # n-gram path: only the (bounded) county names reach the driver
-        counties = sorted(c for c in pull(gazetteer.select("name_county").distinct(), "name_county",
-                                          max_rows=MAX_GAZETTEER_ROWS) if c is not None)
+    counties = sorted(c for c in pull(gazetteer.select("name_county").distinct(), "name_county") if c is not None)
     x = x.withColumns({"agency_type": apply_rules("agency", R.AGENCY_TYPE_RULES, R.AGENCY_TYPE_DEFAULT),
                        "location_city_event_clean": clean_place("location_city_event", counties,
                                                                 county_suffix_as_coded)})
     ct = C.call_type("cardiac_episode", "od_case", "other_case")
     x = x.withColumns({**ct, "year": F.year("date_of_use")})
-    x = extract_dictionary(x, "location_city_event_clean", gazetteer, "name", "location", method=place_method,
-                           id_col=place_id or "unique_incident_id",
-                           pattern=alternation_regex(names) if names is not None else None)
+    x = extract_dictionary(x, "location_city_event_clean", gazetteer, "name", "location",
+                           method="regex" if raw.isStreaming and place_method == "auto" else place_method)
     if location_fallback == "":
         x = x.withColumn("location", F.when(F.col("location").isNull() & (F.col("location_city_event_clean")
                                                                            != "MEDIC AMBULANCE"), F.lit(""))

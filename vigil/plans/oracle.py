@@ -23,7 +23,8 @@ def _q(s: str) -> str:
 
 def surrogate_id_sql(key_sql: str | list[str], seed: int) -> str:
     keys = [key_sql] if isinstance(key_sql, str) else list(key_sql)
-    h = f"sha256('{seed}'" + "".join(f" || '|' || CAST({k} AS VARCHAR)" for k in keys) + ")"
+    part = lambda k: f"coalesce(length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR) || ';', 'N;')"
+    h = f"sha256('{seed};'" + "".join(f" || {part(k)}" for k in keys) + ")"
     letters = " || ".join(
         f"substr('{LETTERS}', (('0x' || substr({h}, {2 * i + 1}, 2))::INTEGER % 52) + 1, 1)" for i in range(10))
     digits = f"CAST(((('0x' || substr({h}, 21, 15))::BIGINT % 9000000000) + 1000000000) AS VARCHAR)"
@@ -40,6 +41,10 @@ def _pivot_labels() -> str:
             f"nullif(count(*) FILTER (WHERE NOT bcpr), 0) AS f FROM ({_labels_base()}) GROUP BY witnessed")
 
 
+def _row_totals() -> str:
+    return f"SELECT witnessed, count(*) AS n FROM ({_labels_base()}) GROUP BY witnessed"
+
+
 def _label(n: str, share: str) -> str:
     return f"CAST({n} AS VARCHAR) || ' (' || CAST(round({share} * 100, 2) AS VARCHAR) || '%)'"
 
@@ -135,6 +140,19 @@ def _dictionary_sql() -> str:
     FROM (SELECT p_partkey, upper(p_name || ' ' || p_type) AS text FROM part)"""
 
 
+def _punctuated_sql() -> str:
+    return """
+    WITH x AS (
+      SELECT upper(CASE p_partkey % 4 WHEN 0 THEN split_part(p_name, ' ', 1) || '-' || split_part(p_name, ' ', 2)
+                                      WHEN 1 THEN 'o' || chr(39) || split_part(p_name, ' ', 2)
+                                      WHEN 2 THEN 'st. ' || split_part(p_name, ' ', 1)
+                                      ELSE split_part(p_name, ' ', 2) END) AS name, upper(p_type) AS kind FROM part),
+    texts AS (SELECT 'NEAR ' || name || ', ' || kind AS text FROM x),
+    pat AS (SELECT '(?i)\\b(?:' || string_agg(replace(n, '.', '\\.'), '|' ORDER BY n) || ')\\b' AS p FROM (SELECT DISTINCT name AS n FROM x))
+    SELECT text, nullif(regexp_extract(text, (SELECT p FROM pat), 0), '') AS location
+    FROM (SELECT * FROM texts UNION ALL SELECT * FROM texts)"""
+
+
 def _centroid_sql() -> str:
     k, r, s = "n_nationkey::DOUBLE", "n_regionkey::DOUBLE", "(n_nationkey % 3 + 1)::DOUBLE"
     outer = [(k, r), (f"{k} + {s}", r), (f"{k} + {s}", f"{r} + {s}"), (k, f"{r} + {s}")]
@@ -542,10 +560,21 @@ SQL: dict[str, str] = {
     "two_way_table": f"""
         WITH p AS ({_pivot_labels()})
         SELECT CAST(witnessed AS VARCHAR) AS witnessed, CAST(t AS VARCHAR) AS "true", CAST(f AS VARCHAR) AS "false",
-               {_label("t + f", "(t + f) / sum(t + f) OVER ()")} AS total FROM p
+               {_label("n", "n / sum(n) OVER ()")} AS total FROM p JOIN ({_row_totals()}) USING (witnessed)
         UNION ALL
-        SELECT 'total', {_label("sum(t)", "sum(t) / sum(t + f)")}, {_label("sum(f)", "sum(f) / sum(t + f)")},
-               CAST(sum(t + f) AS VARCHAR) FROM p""",
+        SELECT 'total', {_label("count(*) FILTER (WHERE bcpr)", "count(*) FILTER (WHERE bcpr) / count(*)")},
+               {_label("count(*) FILTER (WHERE NOT bcpr)", "count(*) FILTER (WHERE NOT bcpr) / count(*)")},
+               CAST(count(*) AS VARCHAR) FROM ({_labels_base()})""",
+
+    "two_way_table_absent_cell": f"""
+        WITH b AS (SELECT p_size > 25 AS big, p_size > 40 AS huge FROM part),
+        p AS (SELECT big, count(*) FILTER (WHERE huge) AS t, count(*) FILTER (WHERE NOT huge) AS f, count(*) AS n FROM b GROUP BY big)
+        SELECT CAST(big AS VARCHAR) AS big, CAST(nullif(t, 0) AS VARCHAR) AS "true", CAST(nullif(f, 0) AS VARCHAR) AS "false",
+               {_label("n", "n / sum(n) OVER ()")} AS total FROM p
+        UNION ALL
+        SELECT 'total', {_label("count(*) FILTER (WHERE huge)", "count(*) FILTER (WHERE huge) / count(*)")},
+               {_label("count(*) FILTER (WHERE NOT huge)", "count(*) FILTER (WHERE NOT huge) / count(*)")},
+               CAST(count(*) AS VARCHAR) FROM b""",
 
     "conditional_given_row": f"""
         WITH p AS ({_pivot_labels()})
@@ -726,6 +755,10 @@ SQL: dict[str, str] = {
     "dictionary_extract": _dictionary_sql(),
     "dictionary_extract_ngram": _dictionary_sql(),
 
+    "dictionary_extract_punctuated": _punctuated_sql(),
+
+    "dictionary_extract_punctuated_regex": _punctuated_sql(),
+
     "code_parts": """
         WITH x AS (
           SELECT n_nationkey,
@@ -774,7 +807,16 @@ SQL: dict[str, str] = {
         FROM (VALUES ('MANUAL TOWN A', 3), ('MANUAL TOWN B', 4), ('MANUAL TOWN C', 0)) v(name, regionkey)""",
 
     "surrogate_ids": f"""
-        SELECT o_orderkey, {surrogate_id_sql("o_orderkey", R.INCIDENT_ID_SEED)} AS unique_incident_id FROM orders""",
+        WITH x AS (SELECT CAST(l_orderkey AS VARCHAR) || CASE WHEN l_linenumber % 2 = 0 THEN '|' ELSE '' END AS a,
+                          CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE '|' END || CAST(l_partkey % 3 AS VARCHAR) AS b,
+                          CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE l_returnflag END AS c FROM lineitem),
+        y AS (SELECT *, row_number() OVER (PARTITION BY a, b, c) AS k FROM x)
+        SELECT a, b, c, CASE WHEN k = 1 THEN {surrogate_id_sql(["a", "b", "c"], 10232015)}
+                             ELSE {surrogate_id_sql(["a", "b", "c", "k"], 10232015)} END AS unique_incident_id
+        FROM y""",
+
+    "surrogate_ids_unique": """
+        SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_kept FROM lineitem""",
 
     "sectionize_text": """
         WITH b AS (SELECT conv_id, turn, string_split(role || ':' || chr(10) || text, chr(10)) AS parts

@@ -20,13 +20,16 @@ from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators.columns import drop_missing
 from vigil.operators.dedup import keep_first
-from vigil.operators.joins import broadcast_if_small, left_lookup, right_lookup
+from vigil.operators.joins import left_lookup, right_lookup
 from vigil.session import checkpoint_dir
 
 ID = "unique_incident_id"
 
 
 def unique_incidents(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_toc", "agency")) -> DataFrame:
+    """One row per incident.  After a fan-out (a place in two counties) the copies differ in the
+    gazetteer's columns only: ``keep_first`` breaks ties by all columns, so the
+    same copy is kept however the input is partitioned."""
     return keep_first(incidents, [ID], list(order_by))
 
 
@@ -154,7 +157,7 @@ def mortality_tables(measure: DataFrame, state_boundaries: DataFrame, county_bou
     cb = county_boundaries.withColumn("COUNTYFIPS", F.concat("STATEFP", "COUNTYFP"))
     county_tbl = right_lookup(county, cb, "locationid", "COUNTYFIPS")
     county_tbl = county_tbl.withColumn("COUNTY_NAME", squish(remove_first("locationdesc", r"\s+county$", True)))
-    attrs = broadcast_if_small(county_attrs.select("county", "region_preparedness"), 100_000)
+    attrs = county_attrs.select("county", "region_preparedness")
     county_tbl = left_lookup(county_tbl, attrs, "COUNTY_NAME", "county", ["region_preparedness"])
     national = m.where(F.col("geographiclevel") == "Nation").select("data_value")
     return {"state": state_tbl, "county": county_tbl, "national": national}

@@ -1,12 +1,13 @@
 """Session helpers.
 
 Library code never changes session configuration; only entry points
-(tests, bench) build a session.  ``checkpoint_dir`` reads the shared folder
-the cluster names in ``spark.checkpoint.dir`` and only sets one when unset.
+(tests, bench, tools) build a session.  ``checkpoint_dir`` reads the shared
+folder the cluster names in ``spark.checkpoint.dir``.
 """
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[8]", app: str = "vigil",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+    """A local session for tests, bench and tools, with a checkpoint folder of its own."""
+    folder = os.environ.get("VIGIL_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="vigil-ckpt-")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -23,6 +26,7 @@ def build_session(master: str = "local[8]", app: str = "vigil",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+         .config("spark.checkpoint.dir", folder)
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -32,19 +36,14 @@ def build_session(master: str = "local[8]", app: str = "vigil",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when unset
-    (local tests).  On a cluster ``spark.checkpoint.dir`` must name shared
-    storage, so this never invents a machine-local path there."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (or that the
+    caller set on the context), set as the context's checkpoint folder.  Only a
+    local session (driver and tasks in one process, as in tests) gets a folder
+    of its own where none is set; on a cluster that raises instead."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set on a cluster session")
-        d = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a static conf on some deployments; setCheckpointDir suffices
-            pass
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="vigil-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d

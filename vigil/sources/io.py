@@ -36,10 +36,11 @@ class Tables:
 
 # S1 ---------------------------------------------------------------------------
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
-                   sep: str = "\t", escape: str = "\\", header: bool = False) -> DataFrame:
-    """Headerless delimited scan with names assigned by an explicit schema."""
+                   sep: str = "\t", escape: str = "\\", header: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Headerless delimited scan with names assigned by an explicit schema.  A
+    cell that doesn't parse fails the read; ``mode="PERMISSIVE"`` asks for NULL."""
     return (spark.read.schema(schema).option("sep", sep).option("escape", escape)
-            .option("header", str(header).lower()).option("mode", "PERMISSIVE").csv(path))
+            .option("header", str(header).lower()).option("mode", mode).csv(path))
 
 
 # S2 ---------------------------------------------------------------------------
@@ -114,24 +115,27 @@ def _cast(c: Column, t: str, on_error: str) -> Column:
 def header_from_first_row(df: DataFrame, order_col: str) -> DataFrame:
     """A text grid whose first row (by ``order_col``, e.g. the sheet row
     number) holds the column names: that one row becomes the header and is
-    removed from the data (only that row reaches the driver)."""
+    removed from the data (only that row reaches the driver).  Rows that share
+    its number, or have none, stay."""
     first = df.orderBy(F.asc_nulls_last(order_col)).limit(1).collect()
     if not first:
         raise ValueError("empty grid: no header row")
     row = first[0].asDict()
     cols = [c for c in df.columns if c != order_col]
     names = _dedupe([str(row[c]) if row[c] is not None else f"column_{i + 1}" for i, c in enumerate(cols)])
-    body = df.where(F.col(order_col) != F.lit(row[order_col])).select(*cols)
-    return body.toDF(*names)
+    same = F.lit(True)
+    for c in df.columns:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.lit(row[c]))
+    return df.where(~same).select(*[F.col(f"`{c}`") for c in cols]).toDF(*names)
 
 
 def apply_type_spec(df: DataFrame, types: Sequence[str], clean_up: bool = True,
-                    on_error: str = "null", blank_as_null: bool = True) -> DataFrame:
+                    on_error: str = "fail", blank_as_null: bool = True) -> DataFrame:
     """Typed ingest of an all-text table: positional type list, length check,
     null-preserving cast in ONE select, optional name cleaning.
 
-    ``on_error="fail"`` raises on an unparseable cell (the reference's convert
-    behaviour); ``"null"`` turns it into NULL (``try_cast``)."""
+    An unparseable cell raises (the reference's convert behaviour);
+    ``on_error="null"`` asks for NULL instead (``try_cast``)."""
     if len(types) != len(df.columns):
         raise ValueError(f"type spec has {len(types)} entries, table has {len(df.columns)} columns")
     cols = []
@@ -145,19 +149,23 @@ def apply_type_spec(df: DataFrame, types: Sequence[str], clean_up: bool = True,
 
 
 # S6 / S7 / S8 -----------------------------------------------------------------
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write left ``path``: its folder holds ``_SUCCESS``.
+    Only an absent path counts as "not there"; any other error is raised."""
     from pyspark.errors import AnalysisException
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return bool(spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_SUCCESS").select("path").take(1))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 single_file: bool = False, partition_by: Sequence[str] | None = None) -> None:
     """Table sink.  ``mode="overwrite"`` replaces (S7), ``"errorifexists"``
     creates only (S8).  ``single_file`` is for small report tables only."""
-    w = (df.coalesce(1) if single_file else df).write.mode(mode)
+    w = (df.repartition(1) if single_file else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
@@ -168,13 +176,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
 
 def materialize(spark: SparkSession, path: str, build_fn: Callable[[], DataFrame],
                 mode: str = "reuse") -> DataFrame:
-    """Cached-table load: reuse the stored result when present, otherwise
-    build, write and re-read it.  The re-read also cuts lineage, so a lost
+    """Cached-table load: reuse the stored result when a finished write left
+    one (``_SUCCESS``), otherwise build, write and re-read it.  The re-read also cuts lineage, so a lost
     executor recomputes from the written table, not from the raw inputs."""
-    if mode == "reuse":
-        stored = _try_read(spark, path)
-        if stored is not None:
-            return stored
+    if mode == "reuse" and _complete(spark, path):
+        return spark.read.parquet(path)
     write_table(build_fn(), path, mode="overwrite")
     return spark.read.parquet(path)
 
