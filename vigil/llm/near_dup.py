@@ -11,8 +11,9 @@ Two passes avoid all pairs of a large group.  The first compares each member of
 bucket with the one most like it and with the bucket's most central member; confirmed
 links give components.  The second takes only buckets that still hold several components
 and compares every pair of different components whose estimate doesn't rule out
-the threshold (by ``SIGMAS`` standard errors), each pair in the first band it shares.  So
-links inside a known component are never needed, and no link between components is left out.
+the threshold (by ``SIGMAS`` standard errors), each pair in the first band it shares, on
+small sets of 32-bit hashes within the bucket's task.  So links inside a known component are
+never needed, no link between components is left out, and only likely pairs leave a task.
 Large buckets are cut into cells (pairs of blocks of at most about ``BLOCK`` members),
 so a hot bucket is spread over tasks.
 """
@@ -33,6 +34,8 @@ BINS, MANTISSA = 128, 10
 ROWS = 4
 BLOCK = 1024
 SIGMAS = 5.0
+BITMAP = 1 << 23      # bits of the filter that finds documents of candidate pairs
+SMALL = 4096          # hashes of a small set at most, on average
 
 _KINDS = np.array([0 if b in (32, *range(9, 14)) else 1 for b in range(256)], dtype=np.uint8)
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
@@ -89,6 +92,45 @@ def estimate(equal: np.ndarray, either: np.ndarray, n: np.ndarray, m: np.ndarray
     return np.clip((equal / np.maximum(1, either) - chance) / (1 - chance), 0, 1)
 
 
+def small_set(shingles: np.ndarray) -> np.ndarray:
+    """The upper halves of a set's hashes; of a set over ``SMALL``, those whose low bits are zero
+    (one bit for each doubling), preceded by that number of bits."""
+    level = max(0, int(np.ceil(np.log2(max(1, len(shingles)) / SMALL))))
+    top = (shingles >> np.uint64(32)).astype(np.uint32)
+    top = np.unique(top[(top & np.uint32((1 << level) - 1)) == 0]) if level else np.unique(top)
+    return np.concatenate([np.array([level], dtype=np.uint32), top])
+
+
+def _likely(left: np.ndarray, right: np.ndarray, small: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Whether pairs of members may reach the threshold, by their small sets. These are exact but for
+    chance agreement of 32-bit hashes and for the sampling of large sets; a margin covers both."""
+    level = np.array([int(x[0]) for x in small])
+    values = [x[1:] for x in small]
+    ok = np.zeros(len(left), dtype=bool)
+    every, index = np.unique(np.concatenate(values), return_inverse=True)
+    edge = np.cumsum([0] + [len(v) for v in values])
+    mark = np.zeros(len(every), dtype=bool)
+    order = np.argsort(left, kind="stable")
+    heads = np.flatnonzero(np.append(True, np.diff(left[order]) > 0)) if len(left) else []
+    for group in np.split(order, heads[1:]):
+        a = left[group[0]]
+        mark[index[edge[a]:edge[a + 1]]] = True
+        for k in group:
+            b = right[k]
+            top = max(level[a], level[b])
+            size, other = len(values[a]), index[edge[b]:edge[b + 1]]
+            if level[a] != level[b]:
+                keep = np.uint32((1 << top) - 1)
+                size = np.count_nonzero((values[a] & keep) == 0)
+                other = other[(values[b] & keep) == 0]
+            both = np.count_nonzero(mark[other])
+            union = size + len(other) - both
+            margin = 0.01 + (SIGMAS * np.sqrt(threshold * (1 - threshold) / max(1, union)) if top else 0)
+            ok[k] = both >= (threshold - margin) * union
+        mark[index[edge[a]:edge[a + 1]]] = False
+    return ok
+
+
 def _signatures(df: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -120,11 +162,13 @@ def _bands(reps: DataFrame) -> DataFrame:
 class _Cell:
     """Members of one cell (two blocks of a bucket, or one with itself), as columns."""
 
-    def __init__(self, bucket, same, block, rep, n, comp, regs):
-        self.bucket, self.rep, self.n, self.comp, self.regs = bucket, rep, n.astype(float), comp, regs
-        self.rows = np.arange(len(rep)) if same else np.flatnonzero(block == block.min())
-        self.cols = np.arange(len(rep)) if same else np.flatnonzero(block != block.min())
-        self.same, self.full = same, (regs != 0).astype(np.float32)
+    def __init__(self, columns: list):
+        bucket, ci, cj, block, self.rep, n, self.comp, self.regs, *small = columns
+        self.bucket, self.n, self.same = bucket[0], n.astype(float), ci[0] == cj[0]
+        self.rows = np.arange(len(n)) if self.same else np.flatnonzero(block == block.min())
+        self.cols = np.arange(len(n)) if self.same else np.flatnonzero(block != block.min())
+        self.full = (self.regs != 0).astype(np.float32)
+        self.small = small[0] if small else None
 
     def slices(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(rows, estimates [rows, cols], whether a pair may reach the threshold)."""
@@ -145,6 +189,7 @@ class _Cell:
         total = np.zeros(len(self.cols))
         left, right = [], []
         for _, est, may in parts:
+            may &= est >= threshold - 0.03  # this pass looks for links that are likely; the second leaves none out
             total += np.where(may, est, 0).sum(0)
         central = self.cols[int(total.argmax())]
         for rows, est, may in parts:
@@ -175,58 +220,124 @@ class _Cell:
         return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _pairs(members: DataFrame, threshold: float, which: str) -> DataFrame:
-    """Distinct candidate pairs ``a < b`` of members (``bucket, m, rep, n, comp, regs``) by cell."""
-    blocks = F.ceil(F.col("m") / BLOCK)
+def _cells(members: DataFrame, blocks, payload: str) -> DataFrame:
+    """Members dealt to the cells of their buckets, each cell's rows together."""
     block = F.pmod(F.xxhash64("rep", "bucket"), blocks)
-    cells = (members.withColumn("block", block.cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-             .select("bucket", F.least("block", "other").cast("int").alias("ci"), F.greatest("block", "other").cast("int").alias("cj"), "block", "rep", "n", "comp", "regs")
-             .repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj", "rep"))
+    return (members.withColumn("block", block.cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .select("bucket", F.least("block", "other").cast("int").alias("ci"), F.greatest("block", "other").cast("int").alias("cj"), "block", "rep", "n", "comp", "regs", *([payload] if payload else []))
+            .repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj", "rep"))
+
+
+def _by_cell(cells: DataFrame, work, schema: str) -> DataFrame:
+    """``work(cell)`` over every cell of rows dealt by ``_cells``; returns columns of equal length or None."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def columns(b: pa.RecordBatch) -> list:
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+        cols.append(np.frombuffer(b"".join(b.column(7).to_pylist()), dtype="<u2").reshape(-1, BINS))
+        if b.num_columns > 8:
+            small = np.empty(b.num_rows, dtype=object)
+            small[:] = [np.frombuffer(x, dtype="<u4") for x in b.column(8).to_pylist()]
+            cols.append(small)
+        return cols
+
+    def one(cols, lo, hi):
+        part = [c[lo:hi] for c in cols]
+        if hi - lo < 2 or part[1][0] != part[2][0] and (part[3][0] == part[3]).all():
+            return None
+        return work(_Cell(part))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def work(cols, lo, hi):
-            bucket, ci, cj, block_, rep, n, comp, regs = (c[lo:hi] for c in cols)
-            if hi - lo < 2 or ci[0] != cj[0] and (block_[0] == block_).all():
-                return None
-            cell = _Cell(bucket[0], ci[0] == cj[0], block_, rep, n, comp, regs)
-            a, b = getattr(cell, which)(threshold)
-            return np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])]) if len(a) else None
-
-        def emit(found):
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
         rest = None
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            cols.append(np.frombuffer(b"".join(b.column(7).to_pylist()), dtype="<u2").reshape(-1, BINS))
+            cols = columns(b)
             if rest is not None:
                 cols = [np.concatenate([r, c]) for r, c in zip(rest, cols, strict=True)]
             new = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])) + 1
             edges = [0, *new.tolist()]
-            found = [x for lo, hi in zip(edges[:-1], edges[1:], strict=True) if (x := work(cols, lo, hi)) is not None]
+            found = [x for lo, hi in zip(edges[:-1], edges[1:], strict=True) if (x := one(cols, lo, hi)) is not None]
             rest = [c[edges[-1]:] for c in cols]
             if found:
-                yield emit(found)
-        if rest is not None and (x := work(rest, 0, len(rest[0]))) is not None:
-            yield emit([x])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=names)
+        if rest is not None and (x := one(rest, 0, len(rest[0]))) is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=names)
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return cells.mapInArrow(run, schema)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold. Only documents of some pair are shingled again."""
+def _first_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs ``a < b`` of each member with the one most like it and with its bucket's most central one."""
+    def work(cell: _Cell):
+        a, b = cell.nearest(threshold)
+        pair = np.unique(np.stack([np.minimum(cell.rep[a], cell.rep[b]), np.maximum(cell.rep[a], cell.rep[b])]), axis=1)
+        return list(pair) if pair.shape[1] else None
+
+    return _by_cell(_cells(members, F.ceil(F.col("m") / BLOCK), ""), work, "a long, b long").distinct()
+
+
+def _second_pairs(members: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
+    """All pairs ``a < b`` of different components that may reach the threshold.
+
+    The registers pick the members of such pairs; their small sets, fetched for them
+    alone, then settle nearly every pair within its cell, so that few pairs leave it."""
+    def involved(cell: _Cell):
+        a, b = cell.crossing(threshold)
+        at = np.unique(np.concatenate([a, b]))
+        return [np.full(len(at), cell.bucket), cell.rep[at], cell.n[at].astype(np.int64), cell.comp[at]] if len(at) else None
+
+    some = (_by_cell(_cells(members, F.ceil(F.col("m") / BLOCK), ""), involved, "bucket long, rep long, n long, comp long").distinct().checkpoint())
+    if some.isEmpty():
+        return some.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    ids = some.select(F.col("rep").alias("id")).distinct()
+    small = _sets(docs, ids, words, lambda x: small_set(x).astype("<u4").tobytes(), "binary")
+    # an id of several rows: its rows' sets come one after another, as members of their own
+    crowd = some.groupBy("bucket").agg(F.count("*").alias("m"))
+    full = (some.join(crowd, "bucket").join(members.select("bucket", "rep", "regs"), ["bucket", "rep"])
+            .join(small, F.col("rep") == F.col("id")).drop("id"))
+
+    def pairs(cell: _Cell):
+        a, b = cell.crossing(threshold)
+        keep = _likely(a, b, cell.small, threshold) if len(a) else np.zeros(0, dtype=bool)
+        a, b = cell.rep[a[keep]], cell.rep[b[keep]]
+        return [np.minimum(a, b), np.maximum(a, b)] if len(a) else None
+
+    return _by_cell(_cells(full, F.ceil(F.col("m") / BLOCK), "shingles"), pairs, "a long, b long").distinct()
+
+
+def _held(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``BITMAP`` bits of the hashes of a column of ids (bounded, whatever their number)."""
+    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP))
+    words = (ids.select(F.shiftright(place, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())  # BITMAP / 64 rows at most
+    out = np.zeros(BITMAP // 64, dtype=np.int64)
+    out[[r.w for r in words]] = [r.b for r in words]
+    return out.view(np.uint64)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int, pack, kind: str) -> DataFrame:
+    """``id, shingles`` of the documents with one of the ids and of a few others: the bitmap drops
+    the rest where they are read, so that texts are never shuffled."""
+    bits = docs.sparkSession.sparkContext.broadcast(_held(ids))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bits.value
         for b in batches:
-            sets = list(shingle_sets(b.column(1), words))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "shingles"])
+            place = b.column(2).to_numpy().astype(np.uint64)
+            b = b.filter(pa.array((held[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x) for x in shingle_sets(b.column(1), words)], pa.binary() if kind == "binary" else pa.list_(pa.int64()))],
+                                             names=["id", "shingles"])
+
+    return (docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)))
+            .mapInArrow(run, f"id long, shingles {kind}"))
 
+
+def _confirm(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold; an id of several rows stands for all their sets."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # an id of several rows stands for all their sets
-    sets = docs.join(ids, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(run, "id long, shingles array<bigint>").where(F.size("shingles") > 0)
+    sets = _sets(docs, ids, words, lambda x: x.view(np.int64), "array<bigint>").where(F.size("shingles") > 0)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -277,13 +388,13 @@ def near_duplicates(df: DataFrame, threshold: float = 0.85, words: int = WORDS,
     crowded = bands.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
     members = bands.join(crowded, "bucket").checkpoint()
     known = reps.select("rep", "n", "regs")
-    first = _pairs(members.join(known, "rep").withColumn("comp", F.col("rep")), threshold, "nearest").checkpoint()
+    first = _first_pairs(members.join(known, "rep").withColumn("comp", F.col("rep")), threshold).checkpoint()
     links = _confirm(first, docs, threshold, words).checkpoint()
     comps = components(links).checkpoint()
     placed = (members.join(comps, F.col("rep") == F.col("node"), "left")
               .select("bucket", "m", "rep", F.coalesce("comp", "rep").alias("comp")))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-    second = (_pairs(placed.join(mixed, "bucket", "left_semi").join(known, "rep"), threshold, "crossing")
+    second = (_second_pairs(placed.join(mixed, "bucket", "left_semi").join(known, "rep"), docs, threshold, words)
               .join(first, ["a", "b"], "left_anti").checkpoint())
     if not second.isEmpty():
         more = _confirm(second, docs, threshold, words)
