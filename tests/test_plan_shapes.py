@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from vigil.plans import catalog
 
 
 def plan(spark, name):
@@ -51,7 +52,7 @@ def test_literal_exclusions_are_broadcast(spark):
 
 
 def test_no_python_udfs_and_no_cross_joins_anywhere(spark):
-    for name in E.queries():
+    for name in catalog.queries():
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
@@ -60,5 +61,26 @@ def test_no_python_udfs_and_no_cross_joins_anywhere(spark):
 @pytest.mark.parametrize("name", ["median_impute"])
 def test_exact_median_is_not_a_single_task_percentile(spark, name):
     p = plan(spark, name)
-    assert "percentile" not in p.lower()      # distributed ranked quantile instead
+    # distributed ranked quantile instead (percentile_approx only cuts ranges)
+    assert not re.search(r"\b(percentile|median)\(", p.lower())
+
+
+def test_quantile_bins_are_not_a_single_task_percentile(spark):
+    assert not re.search(r"\b(percentile|median)\(", plan(spark, "quantile_bins").lower())
+
+
+def test_pareto_has_no_whole_table_window_over_categories(spark):
+    p = plan(spark, "lump_and_pareto")
+    # the only unpartitioned window runs over the distinct counts
+    assert all("__step" in ln or "__first" in ln for ln in p.splitlines() if "Window [" in ln)
+
+
+def test_runs_collapse_is_one_shuffle(spark):
+    from vigil.operators.collapse import Side, collapse_rows, shock_count, shock_rows
+    x = spark.range(100).selectExpr("id % 7 as k", "id as o", "cast(id as string) as d", "cast(id as string) as t", "cast(id % 3 as int) as a")
+    g = collapse_rows(x, "k", ["o"], [Side(columns=["o", "d"], outputs={"d": ("d", "all")})], {"s": shock_rows("d", "t", "a", "1")})
+    g = g.withColumn("s", shock_count(g["s"]))
+    p = g._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p and "Window" not in p
+    assert {r.k: r.o for r in g.collect()} == {k: k for k in range(7)}
 

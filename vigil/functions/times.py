@@ -96,26 +96,33 @@ def intervals(df, spec: dict[str, tuple[str, str]]):
 
 
 # D7 ---------------------------------------------------------------------------
-MDY_FORMATS = ("M/d/yyyy", "M/d/yy")
-MDY_HMS_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "M/d/yyyy h:mm a")
+def _year(y: Column) -> Column:
+    """Four digits, or two digits of this century."""
+    return y.cast("int") + F.when(F.length(y) == 2, 2000).otherwise(0)
 
 
-def parse_mdy(c: ColumnOrName, formats: Sequence[str] = MDY_FORMATS) -> Column:
-    """``m/d/y`` text -> DATE; unparseable text -> NULL (first format that fits)."""
+def parse_mdy(c: ColumnOrName) -> Column:
+    """``m/d/yyyy`` or ``m/d/yy`` text -> DATE; other text and impossible dates -> NULL.
+    One pattern gates the text, its parts are read once."""
     s = F.trim(col(c))
-    return F.coalesce(*[F.call_function("try_to_date", s, F.lit(f)) for f in formats])
+    p = F.split(s, "/")
+    stamp = F.try_make_timestamp_ntz(_year(F.get(p, 2)), F.get(p, 0).cast("int"), F.get(p, 1).cast("int"), F.lit(0), F.lit(0), F.lit(0))
+    return F.when(s.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$"), stamp.cast("date"))
 
 
-def parse_mdy_hms(c: ColumnOrName, formats: Sequence[str] = MDY_HMS_FORMATS) -> Column:
-    """``m/d/y h:m:s`` text -> TIMESTAMP_NTZ; unparseable text -> NULL.
-
-    ``try_to_timestamp`` only validates (it never raises); the value comes
-    from ``to_timestamp_ntz``, so the wall-clock time does not pass through
-    the session time zone (no shift for times in a daylight-saving gap)."""
+def parse_mdy_hms(c: ColumnOrName) -> Column:
+    """``m/d/yyyy h:mm[:ss][ AM|PM]`` text -> TIMESTAMP_NTZ; other text and
+    impossible times -> NULL.  One pattern gates the text, its parts are read
+    once, and the wall-clock time is built without passing through a time zone."""
     s = F.trim(col(c))
-    return F.coalesce(*[F.when(F.call_function("try_to_timestamp", s, F.lit(f)).isNotNull(),
-                               F.to_timestamp_ntz(s, F.lit(f)))
-                        for f in formats])
+    p = F.split(s, "[/: ]")
+    half = F.upper(F.element_at(p, -1))
+    hour = F.get(p, 3).cast("int")
+    hour = (F.when(~half.isin("AM", "PM"), hour)
+            .when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0)))   # else no such hour: NULL
+    second = F.when(s.rlike(r":\d{2}:"), F.get(p, 5).cast("int")).otherwise(0)
+    stamp = F.try_make_timestamp_ntz(F.get(p, 2).cast("int"), F.get(p, 0).cast("int"), F.get(p, 1).cast("int"), hour, F.get(p, 4).cast("int"), second)
+    return F.when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?( [AaPp][Mm])?$"), stamp)
 
 
 # D8 / D9 / D10 ----------------------------------------------------------------

@@ -95,6 +95,44 @@ def collapse_one_to_many(base: DataFrame, key: str, base_order: Sequence | None,
     return b.drop(*drop).join(g, on=key, how="left")
 
 
+def first_row(columns: Sequence[str], order: Sequence[str]) -> Column:
+    """The first row's ``columns`` under ``order`` (NULLs last) as an aggregate:
+    the smallest struct of the order columns and then all others, so the order is
+    total and each map task forwards one row per key."""
+    rest = [c for c in columns if c not in order]
+    ordered = [x for c in order for x in (F.col(c).isNull().alias(f"__null_{c}"), F.col(c))]
+    return F.min(F.struct(*ordered, *[F.col(c) for c in rest]))
+
+
+def collapse_rows(rows: DataFrame, key: str, base_order: Sequence[str], sides: Sequence[Side],
+                  extra_aggs: Mapping[str, Column] | None = None, missing_token: str | None = None,
+                  sep: str = SEP) -> DataFrame:
+    """A7 where base and sides are the same rows: keep-first, every side's text
+    and ``extra_aggs`` in ONE aggregation (one shuffle, no window, no join).
+    Output: the rows' columns, those named by a side replaced by its text,
+    and the extra aggregates."""
+    columns = [c for c in rows.columns if c != key]
+    g = rows.groupBy(key).agg(first_row(columns, base_order).alias("__first"),
+                              *[side_aggregates(s, f"__side{i}") for i, s in enumerate(sides)],
+                              *[e.alias(n) for n, e in (extra_aggs or {}).items()])
+    outs: dict[str, Column] = {}
+    for i, s in enumerate(sides):
+        outs.update(side_outputs(s, f"__side{i}", missing_token, sep))
+    kept = [c for c in columns if c not in outs]
+    return g.select(key, *[F.col("__first")[c].alias(c) for c in kept], *[v.alias(k) for k, v in outs.items()], *(extra_aggs or {}))
+
+
+def shock_rows(description: str, performed_at: str, attempts: str, pattern: str) -> Column:
+    """The distinct defibrillation rows of a group, as an aggregate (for ``shock_count``)."""
+    hit = safe_match(F.coalesce(F.col(description), F.lit("")), pattern, True)
+    return F.collect_set(F.when(hit, F.struct(F.col(description).alias("d"), F.col(performed_at).alias("t"), F.col(attempts).alias("a"))))
+
+
+def shock_count(rows: Column) -> Column:
+    """X4's number of shocks: attempts of the distinct rows, a missing number counting 1; NULL without rows."""
+    return F.when(F.size(rows) > 0, F.aggregate(rows, F.lit(0).cast("bigint"), lambda acc, r: acc + F.coalesce(r["a"], F.lit(1)).cast("bigint")))
+
+
 def defibrillation_summary(rows: DataFrame, key: str, description: str, performed_at: str,
                            attempts: str, pattern: str, order: Sequence[str] | None = None,
                            shocks: str = "shocks", sep: str = SEP) -> DataFrame:

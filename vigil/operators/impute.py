@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 PARTS = 64  # ranges that a column is cut into
 
 
-def ranked_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], parts: int = PARTS) -> DataFrame:
+def ranked_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], partitions: int = PARTS) -> DataFrame:
     """``cid, prob, q``: the exact quantile of every column at every probability
     (NULLs skipped; ``percentile_cont``: h = (N-1)p,
     v[floor h] + (h - floor h)(v[ceil h] - v[floor h])) in one lazy plan.
 
     The columns are stacked as (column id, value) rows and counted by value.  Approximate
-    quantiles of the distinct values cut each column into ``parts`` ranges; only their sums
+    quantiles of the distinct values cut each column into ``partitions`` ranges; only their sums
     are needed to know which range holds a wanted rank, and only
     those ranges (one or two a quantile) are sorted for a running count."""
     cols = list(cols)
@@ -38,10 +38,10 @@ def ranked_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], par
         F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])).alias("s"))
     counts = (stacked.select("s.cid", "s.v").where(F.col("v").isNotNull())
               .groupBy("cid", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    cuts = counts.groupBy("cid").agg(F.percentile_approx("v", [i / parts for i in range(1, parts)], 20 * parts).alias("cuts"))
+    cuts = counts.groupBy("cid").agg(F.percentile_approx("v", [i / partitions for i in range(1, partitions)], 20 * partitions).alias("cuts"))
     ranged = (counts.join(F.broadcast(cuts), "cid")   # one row a column
               .select("cid", "v", "cnt", F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("pid")))
-    # at most parts x len(cols) rows
+    # at most partitions x len(cols) rows
     sums = ranged.groupBy("cid", "pid").agg(F.sum("cnt").alias("pcnt"))
     by_range = Window.partitionBy("cid").orderBy("pid")
     spans = (sums.withColumn("upto", F.sum("pcnt").over(by_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -63,21 +63,21 @@ def ranked_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], par
             .select("cid", "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("q")))
 
 
-def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, parts: int = PARTS) -> DataFrame:
+def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, partitions: int = PARTS) -> DataFrame:
     """One-row DataFrame with the exact quantile at ``p`` of every column in ``cols``."""
-    q = ranked_table(df, cols, [p], parts)
+    q = ranked_table(df, cols, [p], partitions)
     return q.agg(*[F.max(F.when(F.col("cid") == i, F.col("q"))).alias(c) for i, c in enumerate(cols)])
 
 
-def quantile_list(df: DataFrame, c: str, probs: Sequence[float], parts: int = PARTS) -> DataFrame:
+def quantile_list(df: DataFrame, c: str, probs: Sequence[float], partitions: int = PARTS) -> DataFrame:
     """One-row DataFrame ``(qs)``: the exact quantiles of ``c`` as an array in the order of ``probs``."""
-    q = ranked_table(df, [c], probs, parts)
+    q = ranked_table(df, [c], probs, partitions)
     return q.agg(F.array(*[F.max(F.when(F.col("prob") == float(p), F.col("q"))) for p in probs]).alias("qs"))
 
 
-def ranked_quantile(df: DataFrame, c: str, p: float, parts: int = PARTS) -> DataFrame:
+def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int = PARTS) -> DataFrame:
     """One-row DataFrame ``(q)``: exact quantile of non-NULL ``c`` at ``p``."""
-    return ranked_quantiles(df, [c], p, parts).toDF("q")
+    return ranked_quantiles(df, [c], p, partitions).toDF("q")
 
 
 def median_of(df: DataFrame, c: str, method: str = "ranked") -> Column:

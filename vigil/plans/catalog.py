@@ -27,9 +27,10 @@ from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators import collapse as CL
 from vigil.operators.collapse import Side, defibrillation_summary
-from vigil.operators.columns import drop_missing, pull
+from vigil.operators.columns import count_missing, drop_missing, pull
 from vigil.operators.dedup import duplicate_keys, keep_first
-from vigil.operators.geo import collection_centroid
+from vigil.operators.dedup import fanout_report as fanout_of
+from vigil.operators.geo import collection_centroid, composite_fips
 from vigil.operators.impute import impute_median
 from vigil.operators.joins import exclude_pairs, left_lookup, right_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
@@ -339,11 +340,11 @@ def calendar_features(spark, sf_dir):
 
 # D11 A8 A10 --------------------------------------------------------------------
 def _fy_rates(t: Tables):
-    x = keep_first(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), ["o_orderkey"],
-                   ["o_orderdate", "o_orderstatus"])
-    x = x.withColumns({"fy": TM.fiscal_year("o_orderdate", start_month=5, first_fy=1996, last_fy=2001),
-                       "outcome": order_survival()})
-    return A.mean_of_group_rates(x, "fy", F.col("outcome") == "Survived", n="n", hits="survival", rate="percent")
+    """X6 itself, over orders as incidents."""
+    from vigil.plans.reports import fiscal_year_performance
+    x = t.orders.select(F.col("o_orderkey").alias("unique_incident_id"), F.col("o_orderdate").alias("date_of_use"), order_survival().alias("survival"))
+    per, summary = fiscal_year_performance(x, ["date_of_use"], start_month=5, first_fy=1996, last_fy=2001)
+    return per.withColumnRenamed("fiscal_year", "fy"), summary
 
 
 @query
@@ -628,6 +629,65 @@ def fanout_report(spark, sf_dir):
     return duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"], "n")
 
 
+@query
+def fanout_report_join(spark, sf_dir):
+    """Orders that a join to their lines would multiply, with the number of matches."""
+    t = Tables(spark, sf_dir)
+    return fanout_of(t.orders, t.lineitem, ["o_orderkey"], ["l_orderkey"], "n_matches")
+
+
+# A3 A16 F5 G4 -------------------------------------------------------------------
+@query
+def distinct_and_missing(spark, sf_dir):
+    """Distinct values with a missing one counted, without, and the missing rows."""
+    x = Tables(spark, sf_dir).customer.select(F.when(F.col("c_custkey") % 7 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("segment"))
+    plain = A.n_distinct(x, "segment", count_missing=False).scalar()
+    return A.n_distinct(x, "segment", name="n_with_missing").withColumns({"n_plain": plain, "n_missing": count_missing(x, "segment").scalar()})
+
+
+@query
+def category_levels(spark, sf_dir):
+    x = Tables(spark, sf_dir).orders.select(F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("priority"))
+    return A.levels(x, "priority")
+
+
+@query
+def composite_fips_codes(spark, sf_dir):
+    x = Tables(spark, sf_dir).supplier.select("s_suppkey", F.col("s_nationkey").cast("string").alias("county"), (F.col("s_suppkey") % 60).cast("string").alias("state"))
+    return x.select("s_suppkey", composite_fips("state", "county").alias("fips"))
+
+
+# S1 S2 S6 S7 S8 -------------------------------------------------------------------
+@query
+def write_and_read_back(spark, sf_dir):
+    """Orders written as CSV (create only, then replaced), read back with a header
+    (S2) and as a delimited file under a schema (S1), stored (S6) and read again."""
+    import uuid
+
+    from vigil.session import checkpoint_dir
+    from vigil.sources import io as IO
+    folder = f"{checkpoint_dir(spark)}/round-trip-{uuid.uuid4().hex}"
+    x = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.round("o_totalprice", 2).alias("o_totalprice"))
+    schema = "o_orderkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"
+    IO.write_table(x, f"{folder}/csv", mode="errorifexists", fmt="csv")
+    IO.write_table(x, f"{folder}/csv", mode="overwrite", fmt="csv")
+    named = IO.read_csv(spark, f"{folder}/csv", schema).withColumn("how", F.lit("csv"))
+    typed = IO.read_delimited(spark, f"{folder}/csv", schema, sep=",", header=True).withColumn("how", F.lit("delimited"))
+    both = IO.materialize(spark, f"{folder}/stored", lambda: named.unionByName(typed))
+    return IO.materialize(spark, f"{folder}/stored", lambda: both)
+
+
+# W9 -------------------------------------------------------------------------------
+@query
+def sectionize_many_headers(spark, sf_dir):
+    """Lines before the first header, several headers in one text, blank lines,
+    and a header that repeats."""
+    size, name, kind = F.col("p_size").cast("string"), F.col("p_name"), F.col("p_type")
+    block = F.concat(F.lit("lead "), name, F.lit("\n\n Size:\n"), size, F.lit("\n  more "), kind, F.lit("\nKind: \n"), kind, F.lit("\nSize:\nagain "), name)
+    out = sectionize(Tables(spark, sf_dir).part.select("p_partkey", block.alias("block")), ["p_partkey"], ["p_partkey"], "block")
+    return out.withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
 # J7 ----------------------------------------------------------------------------
 @query
 def code_lookup(spark, sf_dir):
@@ -979,6 +1039,21 @@ def incident_city_share(spark, sf_dir):
     return deployments_by_city(unique_incidents(_analog_incidents(spark, sf_dir), ["date_of_use", "amb_toc", "o_orderkey"]))
 
 
+@query
+def incident_fanout_reports(spark, sf_dir):
+    """X5 where places lie in two counties: the join multiplies incidents, keep-first
+    leaves one copy of each, the same one however the rows are partitioned."""
+    from vigil.plans.reports import deployments_by_group, unique_incidents
+    t = Tables(spark, sf_dir)
+    inc = _analog_incidents(spark, sf_dir).select("unique_incident_id", "date_of_use", "amb_toc", "agency", "location")
+    gaz = analog_gazetteer(spark, t).select("name", "name_county", "district", "urbanicity").distinct()
+    again = gaz.where(F.col("name").endswith("1") | F.col("name").endswith("A")).select(
+        "name", F.concat(F.lit("Also "), "name_county").alias("name_county"), F.lit("99").alias("district"), F.lit("Mixed").alias("urbanicity"))
+    u = unique_incidents(left_lookup(inc, gaz.unionByName(again), "location", "name", ["name_county", "district", "urbanicity"]))
+    part = lambda c: deployments_by_group(u, c).select(F.lit(c).alias("report"), F.col(c).alias("value"), "n", "percent")
+    return part("district").unionByName(part("urbanicity"))
+
+
 # V3 + T15 labels ------------------------------------------------------------------
 @query
 def outcome_labels(spark, sf_dir):

@@ -866,6 +866,47 @@ SQL: dict[str, str] = {
                     WHEN other_case IS NOT NULL AND NOT cardiac_episode THEN 'Other Cause' ELSE 'Unknown' END AS call_type
         FROM x""",
 
+    "fanout_report_join": """
+        SELECT o_orderkey, n_matches FROM (SELECT DISTINCT o_orderkey FROM orders)
+        JOIN (SELECT l_orderkey, count(*) AS n_matches FROM lineitem GROUP BY 1 HAVING count(*) > 1) ON o_orderkey = l_orderkey""",
+
+    "distinct_and_missing": """
+        SELECT count(DISTINCT segment) + max(CASE WHEN segment IS NULL THEN 1 ELSE 0 END) AS n_with_missing,
+               count(DISTINCT segment) AS n_plain, count(*) FILTER (segment IS NULL) AS n_missing
+        FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer)""",
+
+    "category_levels": """
+        SELECT DISTINCT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority FROM orders""",
+
+    "composite_fips_codes": """
+        SELECT s_suppkey, lpad(CAST(s_suppkey % 60 AS VARCHAR), 2, '0') || lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS fips FROM supplier""",
+
+    "write_and_read_back": """
+        SELECT o_orderkey, o_orderstatus, o_orderpriority, round(o_totalprice, 2) AS o_totalprice, how
+        FROM orders, (VALUES ('csv'), ('delimited')) v(how)""",
+
+    "sectionize_many_headers": """
+        SELECT p_partkey, CAST(line_no AS BIGINT) AS line_no, Category AS "Category", Detail AS "Detail" FROM (
+          SELECT p_partkey, 0 AS line_no, 'General' AS Category, 'lead ' || p_name AS Detail FROM part
+          UNION ALL SELECT p_partkey, 3, 'Size', CAST(p_size AS VARCHAR) FROM part
+          UNION ALL SELECT p_partkey, 4, 'Size', 'more ' || p_type FROM part
+          UNION ALL SELECT p_partkey, 6, 'Kind', p_type FROM part
+          UNION ALL SELECT p_partkey, 8, 'Size', 'again ' || p_name FROM part)""",
+
+    "incident_fanout_reports": f"""
+        WITH inc AS (SELECT o_orderkey, location FROM ({_incident_sql()})),
+        g AS (SELECT DISTINCT name, name_county, district, urbanicity FROM (WITH {_gazetteer_sql()} SELECT * FROM gz)),
+        dim AS (SELECT * FROM g UNION ALL
+                SELECT name, 'Also ' || name_county, '99', 'Mixed' FROM g WHERE name LIKE '%1' OR name LIKE '%A'),
+        u AS (SELECT o_orderkey, district, urbanicity FROM (
+                SELECT inc.o_orderkey, dim.district, dim.urbanicity,
+                       row_number() OVER (PARTITION BY inc.o_orderkey ORDER BY dim.name_county NULLS LAST,
+                                          dim.district NULLS LAST, dim.urbanicity NULLS LAST) AS rn
+                FROM inc LEFT JOIN dim ON inc.location = dim.name) WHERE rn = 1),
+        v AS (SELECT 'district' AS report, coalesce(district, 'Not Recorded') AS value FROM u
+              UNION ALL SELECT 'urbanicity', coalesce(urbanicity, 'Not Recorded') FROM u)
+        SELECT report, value, count(*) AS n, count(*) / (SELECT count(*) FROM u) AS percent FROM v GROUP BY 1, 2""",
+
     "fanout_report": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
 

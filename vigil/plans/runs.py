@@ -1,12 +1,11 @@
 """Registry extract (one row per run x procedure x medication) -> one
 row per run.
 
-Plan shape: distinct -> parse/derive (narrow) -> agency filter -> ONE
-aggregation per run key that builds the procedure and medication texts, plus
-the defibrillation summary (its own small aggregation of matching rows) ->
-left joins back on the run key (both aggregates come out hash-partitioned by
-that key) -> flags, exact-median imputation (distributed ranked quantile),
-FIPS and the county-attribute join (broadcast after a bounded count).
+Plan shape: agency filter -> parse/derive (narrow) -> ONE aggregation per run
+key that keeps the run's first row, builds the procedure and medication
+texts and counts shocks (one shuffle, partially aggregated) -> flags,
+exact-median imputation (distributed ranked quantile), FIPS and the
+county-attribute join (broadcast by Catalyst/AQE when small).
 """
 from __future__ import annotations
 
@@ -19,11 +18,10 @@ from vigil.functions import conditions as C
 from vigil.functions import rules as R
 from vigil.functions import times as TM
 from vigil.functions.strings import code_length_is, strip_chars
-from vigil.operators.collapse import Side, collapse_one_to_many, defibrillation_summary
+from vigil.operators.collapse import Side, collapse_rows, shock_count, shock_rows
 from vigil.operators.impute import impute_median
 from vigil.operators.columns import apply_layout
 from vigil.operators.joins import left_lookup
-from vigil.session import checkpoint_dir
 
 KEY = "fact_incident_pk"
 DATE = "incident_date"
@@ -62,13 +60,10 @@ LAYOUT = [
 
 
 def prepare_runs(raw: DataFrame, missing_token: str | None = None) -> DataFrame:
-    """7-character agency numbers only -> distinct -> parsed dates ->
-    dispatch intervals.  The row filter commutes with ``distinct`` and runs
-    first, so rejected rows never enter the dedup shuffle.  One
-    ``repartition(run key)`` could serve every per-run aggregation below, but
-    a run holding a third of the rows would then reach one task unreduced;
-    the separate aggregations each reduce map-side first."""
-    x = raw.where(code_length_is(AGENCY_NUMBER, 7, missing_token)).distinct()
+    """7-character agency numbers only -> parsed dates -> dispatch intervals.
+    Rows that repeat need no ``distinct`` of their own: every aggregate of the
+    collapse works on distinct sub-rows or keeps one row."""
+    x = raw.where(code_length_is(AGENCY_NUMBER, 7, missing_token))
     x = x.withColumns({DATE: TM.parse_mdy(DATE), **{c: TM.parse_mdy_hms(c) for c in DATE_TIMES}})
     return x.withColumns({TO_SCENE: TM.minutes_between(SCENE, DISPATCH),
                           TO_PATIENT: TM.minutes_between(PATIENT, DISPATCH),
@@ -78,36 +73,31 @@ def prepare_runs(raw: DataFrame, missing_token: str | None = None) -> DataFrame:
 def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str],
                side_order: Sequence[str] = (PROC_TIME, PROC_DESC, PROC_ATTEMPTS, COMPLAINT),
                defib_pattern: str = R.DEFIB_PATTERN, missing_token: str | None = None,
-               median_method: str = "ranked", checkpoint: bool = True) -> DataFrame:
-    """One row per run.  ``base_order`` orders a run's rows for keep-first
-    (the reference keeps the first row in file order: name a total order);
-    ``side_order`` orders the joined procedure texts.  ``checkpoint`` writes
-    the collapsed runs once to the shared checkpoint folder before the
-    medians are taken, so the collapse is not recomputed per median."""
+               median_method: str = "ranked") -> DataFrame:
+    """One row per run, lazily.  ``base_order`` orders a run's rows for keep-first
+    (the reference keeps the first row in file order); all other columns break
+    ties, so the result doesn't depend on partitioning.  ``side_order`` orders the
+    joined procedure texts.  The medians read the collapsed runs once
+    more; a caller that stores the runs (``sources.io.materialize``) pays that once."""
     x = prepare_runs(raw, missing_token)
-    shocks = defibrillation_summary(x, KEY, PROC_DESC, PROC_TIME, PROC_ATTEMPTS, defib_pattern).select(KEY, "shocks")
-    x = x.withColumns({"incident_day": TM.day_name(DATE), "incident_month": TM.month_name(DATE)})
-    x = x.withColumns({"weekday_weekend": TM.is_weekend(DATE), "season": TM.season(DATE)})
     proc_cols = list(dict.fromkeys([*side_order, COMPLAINT, PROC_DESC, PROC_TIME, PROC_ATTEMPTS]))
     procedures = Side(columns=proc_cols, order=list(side_order), outputs={
         COMPLAINT: (COMPLAINT, "distinct"), PROC_DESC: (PROC_DESC, "distinct"),
         PROC_TIME: (PROC_TIME, "all"), PROC_ATTEMPTS: (PROC_ATTEMPTS, "all")})
     meds = Side(columns=[MED, MED_RESPONSE], outputs={MED: (MED, "all"), MED_RESPONSE: (MED_RESPONSE, "all")})
-    runs = collapse_one_to_many(x, KEY, base_order, x, [procedures, meds], missing_token=missing_token)
-    runs = runs.join(shocks, KEY, "left")
+    shocks = shock_rows(PROC_DESC, PROC_TIME, PROC_ATTEMPTS, defib_pattern)
+    runs = collapse_rows(x, KEY, list(base_order), [procedures, meds], {"__shocks": shocks}, missing_token)
+    runs = runs.withColumn("shocks", shock_count(F.col("__shocks"))).drop("__shocks")
+    runs = runs.withColumns({"incident_day": TM.day_name(DATE), "incident_month": TM.month_name(DATE),
+                             "weekday_weekend": TM.is_weekend(DATE), "season": TM.season(DATE)})
     runs = runs.withColumns({"witnessed": C.witnessed_from_text(WITNESSED_BY),
                              CPR_PRIOR: C.cpr_prior_to_arrival(CPR_PRIOR, CPR_WHO),
                              OVERDOSE: F.coalesce(OVERDOSE, F.lit(False)),
                              OUTCOME: C.repair_outcome(OUTCOME, DISPOSITION)})
-    if checkpoint:
-        checkpoint_dir(runs.sparkSession)
-        runs = runs.checkpoint(eager=True)
     runs = impute_median(runs, [TO_PATIENT, TO_SCENE], method=median_method)
     runs = runs.withColumns({**C.outcome_flags(OUTCOME),
                              f"length_{COUNTY}": F.length(F.coalesce(F.col(COUNTY).cast("string"), F.lit("")))})
     runs = runs.withColumns({"county_id": C.county_id(COUNTY),
                              "county_fips": C.county_fips(STATE, COUNTY, missing_token)})
-    # county attributes are a dimension: Catalyst/AQE broadcast it from its size
-    attrs = county_attrs
-    out = left_lookup(runs, attrs, "county_fips", "county_fips", [c for c in attrs.columns if c != "county_fips"])
+    out = left_lookup(runs, county_attrs, "county_fips", "county_fips", [c for c in county_attrs.columns if c != "county_fips"])
     return apply_layout(out, LAYOUT)

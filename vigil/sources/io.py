@@ -45,11 +45,17 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
 
 # S2 ---------------------------------------------------------------------------
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header row.  Pass ``schema`` in production: inference costs a
-    full extra pass over the files."""
+    """CSV with a header row.  With a ``schema`` a cell that doesn't parse fails
+    the read; without one every column is text under its own header (no
+    inference pass, codes keep their leading zeros): see ``cast_columns``."""
     r = spark.read.option("header", "true")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return r.csv(path)
+    return (r.schema(schema).option("mode", "FAILFAST") if schema is not None else r).csv(path)
+
+
+def cast_columns(df: DataFrame, types: dict[str, str], on_error: str = "fail") -> DataFrame:
+    """Casts the named text columns (blank cells are NULL), the others stay text."""
+    cell = lambda c: F.when(F.trim(F.col(c)) == "", None).otherwise(F.col(c))
+    return df.withColumns({c: _cast(cell(c), t, on_error) for c, t in types.items() if c in df.columns})
 
 
 # S4 / S5 ----------------------------------------------------------------------
@@ -151,14 +157,11 @@ def apply_type_spec(df: DataFrame, types: Sequence[str], clean_up: bool = True,
 # S6 / S7 / S8 -----------------------------------------------------------------
 def _complete(spark: SparkSession, path: str) -> bool:
     """Whether a finished write left ``path``: its folder holds ``_SUCCESS``.
-    Only an absent path counts as "not there"; any other error is raised."""
-    from pyspark.errors import AnalysisException
-    try:
-        return bool(spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_SUCCESS").select("path").take(1))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    Asked of the path's own file system (Spark's readers hide such files);
+    errors other than "not there" are raised."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
