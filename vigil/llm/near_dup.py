@@ -356,9 +356,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # small star: edges run from the larger to the smaller end
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (down.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
                  .select("e.*").where("a <> b").distinct())
@@ -398,7 +398,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.85, words: int = WORDS,
               .join(first, ["a", "b"], "left_anti").checkpoint())
     if not second.isEmpty():
         more = _confirm(second, docs, threshold, words)
-        comps = components(links.union(more)).checkpoint()
+        comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)).checkpoint()
     classes = (reps.select("ka", "kb", "rep").join(comps, F.col("rep") == F.col("node"), "left")
                .select("ka", "kb", F.coalesce("comp", "rep").alias("comp")))
     return (sig.select("doc_id", "n", "ka", "kb").join(classes, ["ka", "kb"], "left")
