@@ -90,3 +90,22 @@ def test_walk_finds_what_a_full_search_finds():
     assert np.isfinite(walked[inside]).mean() > 0.97 and np.allclose(walked[np.isfinite(walked)], full[np.isfinite(walked)])
     sizes = np.bincount(np.argmin(np.square(x[:, None, :] - index.points[None]).sum(2), axis=1), minlength=300)
     assert sizes.max() < 8 * sizes.mean()
+
+
+def test_recall_holds_with_many_lists(spark, monkeypatch):
+    """Uniform vectors, so many lists that the least ratio reads too small a share of them."""
+    monkeypatch.setattr(ann, "LIST", 8)
+    x = np.random.default_rng(3).normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = collect(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5), "vec_id % 20 = 0"))
+    assert recall(got, brute(rows, lambda i: i % 20 == 0, 20)) >= 0.92
+
+
+def test_ratio_reaches_every_list():
+    """A query that lies on a centroid, with its neighbours in the farthest list."""
+    index = ann.fit(np.arange(40.0)[:, None], 40)
+    far = int(np.argmax(index.points[:, 0]))
+    ratio = ann.fit_ratio(index, np.zeros((1, 1)), [[[far]]], 0.12)
+    d = index.distances(np.zeros((1, 1)), ratio, 4)
+    assert d[0, far] <= index.reach(d.min(1), ratio)[0] and ann.fit_ratio(index, np.zeros((0, 1)), [], 0.12) == 0.12

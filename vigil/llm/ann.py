@@ -4,8 +4,10 @@ Vectors are clustered into lists of about ``LIST`` members (k-means on a bounded
 sample that splits its largest clusters); the centroids stay in memory with a neighbour graph
 that both indexing and searching walk best first.  A vector near a boundary is
 replicated into up to ``COPIES`` lists whose centroids are within ``1 + BOUNDARY`` of its
-nearest; a query searches every list within ``1 + PRUNE`` of its nearest (distance-ratio
-pruning), so clear queries read few lists and unclear ones many.
+nearest; a query searches every list within ``1 + ratio`` of its nearest (distance-ratio
+pruning), so clear queries read few lists and unclear ones many.  The ratio is fitted to each index: the exact
+neighbours of ``FIT_QUERIES`` queries among all rows are found by one pass over the table, and the ratio is
+the least one, from ``PRUNE`` up, that reads the lists of ``RECALL`` of them.
 
 Inner products become distances by one more component, ``sqrt(M**2 - |x|**2)`` with the
 largest norm ``M``; queries are scaled to that norm.  Of equal vectors only the
@@ -14,7 +16,7 @@ and takes the heat out of very common vectors; equal queries are searched once.
 
 Lists are dealt to shards of bounded size, large lists in parts, and queries to blocks: a
 (shard, block) cell is one group of a cogrouped map.  What the driver holds is bounded by
-``MAX_LISTS`` (centroids, graph, list sizes) and ``SAMPLE``.
+``MAX_LISTS`` (centroids, graph, list sizes), ``SAMPLE`` and ``FIT_QUERIES``.
 """
 from __future__ import annotations
 
@@ -33,7 +35,9 @@ LIST = 256            # vectors a list before replication
 MAX_LISTS = 4096
 SAMPLE = 65_536       # vectors that centroids are fitted on at most
 COPIES, BOUNDARY = 4, 0.10
-PRUNE = 0.12
+PRUNE = 0.12          # least pruning ratio
+FIT_QUERIES = 256     # queries that the ratio is fitted on at most
+RECALL = 0.95         # share of their neighbours that it must find
 DEGREE = 24           # neighbours of a centroid in the graph
 PART = 4096           # members of a list that stay together
 SHARD = 32_768        # vectors of a shard
@@ -47,6 +51,10 @@ class Centroids:
     points: np.ndarray
     graph: np.ndarray
     starts: np.ndarray
+    floor: float = 0.0  # a smaller distance to the nearest centroid counts as this, as it gives no scale
+
+    def reach(self, nearest: np.ndarray, ratio: float) -> np.ndarray:
+        return np.maximum(nearest, self.floor) * (1 + ratio)
 
     def distances(self, x: np.ndarray, eps: float, least: int) -> np.ndarray:
         """[row, centroid] distances of a best-first walk over the graph; infinite where it didn't come.
@@ -60,7 +68,7 @@ class Centroids:
         rows = np.arange(len(x))
         while len(rows):
             d = out[rows]
-            limit = np.maximum(d.min(1) * (1 + eps), np.partition(d, least - 1, axis=1)[:, least - 1])
+            limit = np.maximum(self.reach(d.min(1), eps), np.partition(d, least - 1, axis=1)[:, least - 1])
             open_ = np.where(done[rows] | (d > limit[:, None]), np.inf, d)
             width = min(8, k)
             best = np.argpartition(open_, width - 1, axis=1)[:, :width]
@@ -102,7 +110,30 @@ def fit(x: np.ndarray, lists: int, rounds: int = 8, seed: int = 1) -> Centroids:
         graph[i:i + 512] = np.argpartition(d, degree - 1, axis=1)[:, :degree]
     if lists > degree:  # a few far links keep the graph in one piece
         graph[:, -2:] = np.stack([(np.arange(lists) + 1) % lists, rng.permutation(lists)], axis=1)
-    return Centroids(points, graph, rng.choice(lists, min(8, lists), replace=False))
+    return Centroids(points, graph, rng.choice(lists, min(8, lists), replace=False), 1e-9 * float(np.sqrt(np.square(points).sum(1).max())))
+
+
+def fit_ratio(index: Centroids, q: np.ndarray, wanted: list[list[list[int]]], least: float) -> float:
+    """The least pruning ratio, from ``least`` up, with which the queries read a list of ``RECALL`` of their
+    neighbours; ``wanted`` has, of each query, the lists of each neighbour."""
+    row = np.repeat(np.arange(len(wanted)), [len(w) for w in wanted])
+    if not len(row):
+        return least
+    share = 1 / np.repeat([max(1, len(w)) for w in wanted], [len(w) for w in wanted])  # each query counts once
+    held = [lists for w in wanted for lists in w]
+    full = np.sqrt(np.maximum(0.0, np.square(q).sum(1)[:, None] - 2 * q @ index.points.T + np.square(index.points).sum(1)))
+    scale = np.maximum(full.min(1), index.floor)
+    need = np.array([full[r, lists].min() for r, lists in zip(row, held, strict=True)]) / scale[row] - 1
+    order = np.argsort(need)
+    ratio = max(least, float(need[order][min(len(need) - 1, np.searchsorted(np.cumsum(share[order]), RECALL * share.sum()))]))
+    most = float((full.max(1) / scale).max())  # reads all lists
+    while ratio < most:  # the walk may miss a few lists
+        d = index.distances(q, ratio, 4)
+        read = d <= index.reach(d.min(1), ratio)[:, None]
+        if share[np.array([read[r, lists].any() for r, lists in zip(row, held, strict=True)])].sum() >= RECALL * share.sum():
+            break
+        ratio = ratio * 1.05 + 0.005
+    return ratio
 
 
 def _augment(x: np.ndarray, norm: float) -> np.ndarray:
@@ -144,7 +175,8 @@ def nearest(df: DataFrame, is_query: str, top: int = 20, id_col: str = "vec_id",
 
     Scores are inner products of the original vectors in double precision. Rows without an id, vectors that
     are null, zero or hold null or non-finite components take no part, nor do vectors of another
-    dimension than the most frequent one. Repeated rows count once. If there are no more than ``top``
+    dimension than the most frequent one. ``prune`` is the least pruning ratio; it is widened until the index
+    finds ``RECALL`` of the neighbours of a sample of the queries. Repeated rows count once. If there are no more than ``top``
     candidates, all are returned; an empty table gives no rows; other columns are not returned."""
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -204,9 +236,40 @@ def nearest(df: DataFrame, is_query: str, top: int = 20, id_col: str = "vec_id",
                  pa.array([p.astype("<i4").tobytes() for p in np.split(lst[order], heads[1:])], pa.binary())], names=["shard", "vec_id", "x", "lists"])
 
     asked = rows.where("query").select("vec_id", "x", "ka", "kb").checkpoint()
-    distinct = asked.groupBy("ka", "kb").agg(F.first("x").alias("x")).checkpoint()
+    distinct = asked.groupBy("ka", "kb").agg(F.first("x").alias("x"), F.min("vec_id").alias("vec_id")).checkpoint()
     blocks = max(1, -(-distinct.count() // QUERY_BLOCK))
     need = 8 * (top + 1)
+    tried = distinct.orderBy(F.xxhash64("ka", "kb"), "ka", "kb").limit(FIT_QUERIES).select("vec_id", "x").collect()  # at most FIT_QUERIES rows
+    if tried:
+        sought = spark.sparkContext.broadcast((np.array([r.vec_id for r in tried]), np.array([r.x for r in tried], dtype=float)))
+
+        def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asker, q = sought.value
+            best: list[list[tuple[float, int, list[int]]]] = [[] for _ in asker]
+            edge = np.full(len(asker), -np.inf)
+            for b in batches:
+                for lo in range(0, b.num_rows, 2048):
+                    part = b.slice(lo, 2048)
+                    ids = part.column(0).to_numpy()
+                    score = q @ _matrix(part.column(1), dim).T
+                    score[asker[:, None] == ids] = -np.inf
+                    k = min(top, len(ids))
+                    lower = np.maximum(edge, np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k])
+                    i, j = np.nonzero((score >= lower[:, None]) & np.isfinite(score))
+                    lists = part.column(2).take(pa.array(j)).to_pylist()
+                    for a, c, own in zip(i.tolist(), j.tolist(), lists, strict=True):
+                        best[a].append((float(score[a, c]), -int(ids[c]), own))
+                    for a in np.unique(i):
+                        best[a] = sorted(best[a], reverse=True)[:top]
+                        if len(best[a]) == top:
+                            edge[a] = best[a][-1][0]
+            found = [(a, [{"score": s, "minus": n, "lists": own} for s, n, own in w]) for a, w in enumerate(best) if w]
+            struct = pa.list_(pa.struct([("score", pa.float64()), ("minus", pa.int64()), ("lists", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int32()), pa.array([w for _, w in found], struct)], names=["at", "found"])
+
+        true = (placed.mapInArrow(exact, "at int, found array<struct<score: double, minus: long, lists: array<int>>>")
+                .groupBy("at").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found")), asc=False), 1, top)["lists"].alias("lists")).collect())
+        prune = fit_ratio(shared.value, _as_query(sought.value[1][[r["at"] for r in true]], norm), [r["lists"] for r in true], prune)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -220,7 +283,7 @@ def nearest(df: DataFrame, is_query: str, top: int = 20, id_col: str = "vec_id",
                 for k in range(len(d)):
                     order = np.argsort(d[k])
                     dist = d[k][order]
-                    n = int(np.searchsorted(dist, dist[0] * (1 + prune), side="right"))
+                    n = int(np.searchsorted(dist, index.reach(dist[0], prune), side="right"))
                     if sizes[order[:n]].sum() < need:  # few vectors: go on with the next lists, walked or not
                         full = np.sqrt(np.square(index.points - q[k]).sum(1))
                         order = np.argsort(full)
