@@ -42,6 +42,12 @@ PAGES = {
     "aspnet": (f"<body><form action=/><div><p>Intro words here.</p>{P}{P}</div></form>", f"Intro words here.\n{TEXT}\n{TEXT}"),
     "inline": (f"<article><p>a<b>b</b> <i>c</i>d<br>e</p>{P}</article>", f"ab cd e\n{TEXT}"),
     "advert": ("<body><div class=ad>Buy this now, it is much longer than the article, by far.</div><article><h1>A b.</h1><p>A b.</p></article><footer>f</footer>", "A b.\nA b."),
+    "values": (f"<article><h1>T</h1><p>See <a href='/hidden/path'>this text</a> and <a title=\"Hidden Figures review\">that one</a>.</p><p data-hidden='false'>a</p>"
+               f"<p alt='x' title='role=search hidden' >b</p>{P}</article>", f"T\nSee this text and that one.\na\nb\n{TEXT}"),
+    "names": (f"<body><div><h1>T</h1>{P}<p data-id='ad-7'>a</p><section data-role='search'><p>b</p></section><p itemid=nav data-class='sidebar'>c</p>{P}</div>",
+              f"T\n{TEXT}\na\nb\nc\n{TEXT}"),
+    "cut": (f"<article><p title='a' HIDDEN>x</p><p hidden=''>x</p><p hidden/>x</p><div Role = search>x</div><p data-id=b id = 'ad-7'>x</p><p aria-hidden=true>x</p>"
+            f"<p class=sidebar class=c>x</p><p class=c class=sidebar>y</p>{P}</article>", f"y\n{TEXT}"),
     "empty": ("<html><head><title>t</title></head><body></body></html>", ""), "nothing": ("", ""), "odd": ("<", "<"), "quote": ('<p title="a>b">x</p><p class="un>y</p>', None),
 }
 

@@ -52,7 +52,8 @@ CUT_MAYBE = frozenset("header banner notice notices alert warning search widget
 CONTENT_WORDS = frozenset("article post entry content story main body text page".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>?""", re.S)
-_ATTRIBUTE = re.compile(r"""(?i)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""")
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>]++)))?""")
+_READ = frozenset("class id role style hidden aria-hidden".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -135,7 +136,11 @@ class Page:
 def _attributes(raw: str) -> dict[str, str]:
     if not raw or raw.isspace():
         return {}
-    return {m.group(1).lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in _ATTRIBUTE.finditer(raw)}
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):  # each consumed whole, so nothing inside a value is taken for an attribute
+        if (name := name.lower()) in _READ:
+            out.setdefault(name, "".join(values))  # of repeated ones the first counts
+    return out
 
 
 def _why_cut(tag: str, raw: str) -> str | None:
