@@ -48,15 +48,21 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}"),  # runs are maximal, so shorter ones need not be matched and dropped
 )
+#: A private key: up to its END line; where that is missing, over the lines and long or padded words of key characters that follow.
+_KEY = (r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----"
+        r"(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*+-----END \1-----"
+        r"|(?:(?:\s|\\[nr])*+(?:Proc-Type|DEK-Info): ?[A-Za-z0-9,-]++)*+"
+        r"(?:(?:\s|\\[nr])*+(?:[A-Za-z0-9+/]{16,}+=*+|[A-Za-z0-9+/]++=++)"
+        r"|[^\S\n]*+(?:\n|(?:\\r)?\\n)[^\S\n]*+[A-Za-z0-9+/]++(?=[^\S\n]*+(?:\n|\\[nr]|\Z)))*+)")
 #: Public key formats beyond the base kinds.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"),
+    Rule("private_key", _KEY),
     Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{16,}"),
     Rule("google", r"\bAIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
     Rule("stripe", r"\b[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{8,64}@[a-z0-9]", 0, 0, True),
+    Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]*+:[^\s/@]++@[a-z0-9]", 0, 0, True),
 )
 RULES = BASE_RULES + MORE_RULES
 
