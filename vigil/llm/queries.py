@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (ann, conversation_repair, divergence, fingerprint, html_text, mixing, near_dup, packing, preferences, quality, secret_scan,
-                       token_counts)
+from vigil.llm import (ann, conversation_repair, divergence, fingerprint, html_text, mixing, near_dup, ngram_join, packing, preferences, quality,
+                       secret_scan, token_counts)
 
 
 def importable(spark: SparkSession) -> None:
@@ -76,12 +76,16 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(_table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_fingerprints, op4_mixing, op5_nearest_neighbours, op6_secret_scan, op7_html_text, op8_token_counts, op9_near_duplicates, op10_preference_format,
-                                   op11_source_divergence, op13_conversation_repair)}
+                                   op11_source_divergence, op12_ngram_join, op13_conversation_repair)}
 
 
 def queries():
