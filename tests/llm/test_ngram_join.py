@@ -69,7 +69,7 @@ def copies(seed, sizes=(300, 90, 40, 12, 6), each=40):
     return rows + [(5000 + k, " ".join(passage[k:] + [f"x{k}"])) for k in range(12)]
 
 
-@pytest.mark.parametrize("block,percent", [(1024, 80), (4, 80), (16, 85), (16, 60)])
+@pytest.mark.parametrize("block,percent", [(1024, 80), (4, 75)])
 def test_groups_of_near_copies(spark, monkeypatch, block, percent):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(links, "CROWD", 3)

@@ -7,13 +7,16 @@ adaptive execution can split where a node is hot.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.session import checkpoint_dir
+
 BITMAP = 1 << 23      # bits of the filter that finds chosen ids; its false positives cost time only
 CROWD = 256           # partners that share one copy of a hub's set
 FOUND = 4096          # pairs a batch
@@ -93,30 +96,48 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, sets: Callable[[pa.
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def stored(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written to a new table in ``folder`` and read again.  Steps that repeat need this: a checkpoint
+    keeps the optimiser's size estimate, and a join's is the product of its sides', so its digits would double with every step."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of tables that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, comp`` (smallest node reachable) of every node of some link ``a, b``.
 
-    Alternating large-star and small-star steps until nothing changes; every step is checkpointed, and the
+    Alternating large-star and small-star steps until nothing changes, each written to the shared folder; the
     smallest neighbours of all nodes are before they are joined to the edges (an aggregate that feeds a join directly
-    would keep a hot node in one task)."""
-    edges = links.select("a", "b").where("a <> b").distinct().checkpoint()
+    would keep a hot node in one task).  The result is checkpointed, the steps' tables are deleted."""
+    spark = links.sparkSession
+    folder = f"{checkpoint_dir(spark)}/components-{uuid.uuid4().hex}"
+    edges = stored(links.select("a", "b").where("a <> b").distinct(), folder)
     size = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), folder)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        # small star: edges run from the larger to the smaller end
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-        low = down.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
+        # small star: edges run from the larger to the smaller end, of which a node has few by now
+        down = stored(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), folder)
+        low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (down.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
                  .select("e.*").where("a <> b").distinct())
-        edges = small.checkpoint()
+        edges = stored(small, folder)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == size:
             break
         size = now
     own = edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    return own.union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+    out = own.union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()).checkpoint()
+    remove(spark, folder)
+    return out
 
 
 def shared_ids(sig: DataFrame, reps: DataFrame) -> DataFrame:

@@ -284,7 +284,7 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
     first = (members.where(F.col("node") != F.col("hub")).select("hub", "node", "n").distinct().join(sizes, "hub")
              .where(_similar_size(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct().checkpoint())
     tried, found = first, links.confirm(first, docs, percent, sets).unionByName(links.shared_ids(sig, reps)).checkpoint()
-    comps = links.components(found).checkpoint()
+    comps = links.components(found)
     signatures = reps.select(F.col("rep").alias("node"), "ka", "bits")
     members = members.select("key", "node", "ka", "n")
     for every in (False, True):
@@ -294,5 +294,5 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
             continue
         tried = tried.unionByName(pairs)
         more = links.confirm(pairs, docs, percent, sets)
-        comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)).checkpoint()
+        comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
     return links.placed(sig.select("doc_id", "n", "ka", "kb"), reps, comps)
