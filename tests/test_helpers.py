@@ -30,8 +30,8 @@ def test_levels_missing_and_lumping(spark):
 def test_quantile_list_and_total_row(spark):
     vals = [1, 2, 3, 10, 11, 40]
     df = spark.createDataFrame([(v,) for v in vals], "v long")
-    from vigil.operators.impute import quantile_list
-    assert np.allclose(quantile_list(df, "v", [0.5, 0.9, 0.0, 1.0]).first().qs, np.percentile(vals, [50, 90, 0, 100]))
+    from vigil.operators.impute import count_quantiles
+    assert np.allclose(count_quantiles(df, "v", [0.5, 0.9, 0.0, 1.0]).first().qs, np.percentile(vals, [50, 90, 0, 100]))
     t = A.with_total_row(A.count_by(df.withColumn("g", F.col("v") % 2), ["g"]), "g", None, {"n": F.sum("n")})
     assert sorted(r.n for r in t.collect()) == [3, 3, 6]
     s = spark.createDataFrame([(1,), (None,)], "a int").agg(A.sum_default("a").alias("s")).first().s

@@ -115,12 +115,13 @@ def test_typed_ingest_for_runs(spark):
 def test_mortality_tables(spark):
     m = spark.createDataFrame(MEASURE, RP_SCHEMA := MEASURE_SCHEMA)  # noqa: F841
     states = spark.createDataFrame([("19", "Iowa"), ("27", "Minnesota"), ("02", "Alaska")], "STATEFP string, NAME string")
-    counties = spark.createDataFrame([("19", "153"), ("19", "001")], "STATEFP string, COUNTYFP string")
+    counties = spark.createDataFrame([("19", "153"), ("19", "1"), ("27", "153"), ("02", "001"), (None, "003")], "STATEFP string, COUNTYFP string")
     attrs = spark.createDataFrame(COUNTY_ATTRS, COUNTY_ATTR_SCHEMA)
     t = RP.mortality_tables(m, states, counties, attrs)
     st = {r.STATEFP: r.data_value for r in t["state"].collect()}
-    assert st == {"19": 310.0, "27": None, "02": None}
+    assert st == {"19": 310.0, "27": None}
     ct = {r.COUNTYFIPS: r for r in t["county"].collect()}
+    assert set(ct) == {"19153", "19001"}
     assert ct["19153"].data_value == 320.0 and ct["19153"].COUNTY_NAME == "Polk" and ct["19153"].region_preparedness == "1A"
     assert ct["19001"].data_value is None
     assert [r.data_value for r in t["national"].collect()] == [300.0]

@@ -53,8 +53,8 @@ def test_build_all_end_to_end(spark):
         w = csv.writer(f)
         w.writerow([c.split()[0] for c in MEASURE_SCHEMA.split(", ")])
         w.writerows(MEASURE)
-    spark.createDataFrame([("19", "Iowa"), ("27", "Minnesota")], "STATEFP string, NAME string").write.parquet(p["states"])
-    spark.createDataFrame([("19", "153", "Polk"), ("19", "001", "Adair")], "STATEFP string, COUNTYFP string, NAME string").write.parquet(p["counties"])
+    spark.createDataFrame([("19", "Iowa"), ("27", "Minnesota"), ("02", "Alaska"), ("72", "Puerto Rico")], "STATEFP string, NAME string").write.parquet(p["states"])
+    spark.createDataFrame([("19", "153", "Polk"), ("19", "001", "Adair"), ("27", "053", "Hennepin"), ("02", "020", "Anchorage")], "STATEFP string, COUNTYFP string, NAME string").write.parquet(p["counties"])
     paths = Inputs(p["places.tsv"], p["codes.tsv"], p["attrs.csv"], p["incidents"], p["runs.csv"], types,
                    measure_csv=p["measure.csv"], state_boundaries=p["states"], county_boundaries=p["counties"])
     out = build_all(spark, paths, p["out"])
@@ -66,5 +66,6 @@ def test_build_all_end_to_end(spark):
     assert out["incidents"].schema.names == typed.schema.names
     assert sorted(map(str, out["incidents"].drop("unique_incident_id").collect())) == sorted(map(str, typed.drop("unique_incident_id").collect()))
     assert out["mortality_state"].where("STATEFP = '19'").first().data_value == 310.0 and out["mortality_county"].count() == 2
+    assert out["mortality_state"].count() == 2
     again = build_all(spark, paths, p["out"])          # reuses the stored tables
     assert again["incidents"].count() == len(INCIDENTS)

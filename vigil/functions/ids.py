@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.strings import ColumnOrName, col
+from vigil.functions.strings import ColumnOrName, bind, col
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -24,19 +24,22 @@ def _hex_byte(h: Column, i: int) -> Column:
     return F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("int")
 
 
-def surrogate_id(keys: Sequence[ColumnOrName], seed: int) -> Column:
+def surrogate_id(keys: Sequence[ColumnOrName], seed: int, occurrence: Column | None = None) -> Column:
     """sha256 of the seed and the keys, each written as ``length:value;`` (``N;``
     for NULL), so different key tuples never read alike: bytes 0-9 pick the
-    letters, the next 60 bits give the number in [1e9, 1e10)."""
+    letters, the next 60 bits give the number in [1e9, 1e10).  An
+    ``occurrence`` above 1 is hashed along.  The hash is taken once a row."""
     def part(k: ColumnOrName) -> Column:
         v = col(k).cast("string")
         return F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v, F.lit(";")), F.lit("N;"))
-    h = F.sha2(F.concat(F.lit(f"{seed};"), *[part(k) for k in keys]), 256)
-    letters = F.concat(*[F.substring(F.lit(LETTERS), (F.pmod(_hex_byte(h, i), F.lit(52)) + 1), 1)
-                         for i in range(10)])
-    num = F.conv(F.substring(h, 21, 15), 16, 10).cast("bigint")
-    digits = F.pmod(num, F.lit(9_000_000_000)) + F.lit(1_000_000_000)
-    return F.concat(letters, F.lit("-"), digits.cast("string"))
+    again = [] if occurrence is None else [F.when(occurrence > 1, part(occurrence)).otherwise("")]
+
+    def spell(h: Column) -> Column:
+        letters = F.concat(*[F.substring(F.lit(LETTERS), (F.pmod(_hex_byte(h, i), F.lit(52)) + 1), 1) for i in range(10)])
+        num = F.conv(F.substring(h, 21, 15), 16, 10).cast("bigint")
+        digits = F.pmod(num, F.lit(9_000_000_000)) + F.lit(1_000_000_000)
+        return F.concat(letters, F.lit("-"), digits.cast("string"))
+    return bind(F.sha2(F.concat(F.lit(f"{seed};"), *[part(k) for k in keys], *again), 256), spell)
 
 
 def with_surrogate_id(df: DataFrame, keys: Sequence[str], seed: int, name: str) -> DataFrame:
@@ -46,5 +49,4 @@ def with_surrogate_id(df: DataFrame, keys: Sequence[str], seed: int, name: str)
     rest = [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*(rest or [F.lit(1)]))
     return (df.withColumn("__occurrence", F.row_number().over(w))
-            .withColumn(name, F.when(F.col("__occurrence") == 1, surrogate_id(keys, seed))
-                        .otherwise(surrogate_id([*keys, "__occurrence"], seed))).drop("__occurrence"))
+            .withColumn(name, surrogate_id(keys, seed, F.col("__occurrence"))).drop("__occurrence"))

@@ -163,6 +163,9 @@ GAZETTEER_EXCLUSIONS = [
     ("VAN", "Marshall"),
 ]
 
+# The state whose counties and places are reported.
+STATE_FIPS = "19"
+
 # State FIPS codes outside the continental US, dropped from state maps.
 NON_CONTINENTAL_STATE_FIPS = ["02", "11", "15", "60", "66", "69", "72", "78"]
 

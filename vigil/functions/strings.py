@@ -7,7 +7,9 @@ non-truncating pad, null-safe match).
 """
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,12 +21,46 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body refers to it.
+
+    Spark shares repeated subexpressions only where they are always evaluated, not inside the branches of
+    a ``CASE``; a bound value is an element of a one-element array, and the body a lambda over it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def flagged(pattern: str, ignore_case: bool = False) -> str:
     """Case-insensitive with Unicode case folding (``(?iu)``): Java's bare
     ``(?i)`` folds ASCII only, the reference's and DuckDB's fold Unicode."""
     return f"(?iu){pattern}" if ignore_case else pattern
 
 
+def _fold_char(ch: str) -> str:
+    """The character that Java's Unicode case-insensitive match reduces ``ch`` to: the simple (one to one)
+    lower case of its simple upper case.  Where Python's mapping expands, the title case
+    is the simple one, or there is none.  Capital sharp s stays apart: a pattern matches it with the small one
+    inside a run of letters, but not where either stands as a letter of its own."""
+    if ch == "\u1e9e":
+        return ch
+    up = next((x for x in (ch.upper(), ch.title()) if len(x) == 1), ch)
+    return "i" if up == "\u0130" else up.lower() if len(up.lower()) == 1 else up
+
+
+@lru_cache(maxsize=1)
+def fold_table() -> tuple[str, str]:
+    """Characters that folding changes, and what it makes of them."""
+    pairs = [(ch, f) for ch in map(chr, range(sys.maxunicode + 1)) if (f := _fold_char(ch)) != ch]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def fold(c: ColumnOrName) -> Column:
+    """A key under which two texts are equal exactly if a ``(?iu)`` pattern of the one matches the other: character by
+    character, so the length stays.  (``lower()`` is not that: it maps İ, ſ, ς and the Kelvin sign otherwise.)"""
+    a, b = fold_table()
+    x = col(c)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(x, a, b)).otherwise(F.lower(x))
+
+
 def _escape_replacement(rep: str) -> str:
     return rep.replace("\\", "\\\\").replace("$", "\\$")
 

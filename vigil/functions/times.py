@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vigil.functions.strings import ColumnOrName, col
+from vigil.functions.strings import ColumnOrName, bind, col
 
 US_PER_SECOND = 1_000_000
 US_PER_MINUTE = 60 * US_PER_SECOND
@@ -103,26 +103,32 @@ def _year(y: Column) -> Column:
 
 def parse_mdy(c: ColumnOrName) -> Column:
     """``m/d/yyyy`` or ``m/d/yy`` text -> DATE; other text and impossible dates -> NULL.
-    One pattern gates the text, its parts are read once."""
+    One pattern gates the text, which is split once a cell."""
     s = F.trim(col(c))
-    p = F.split(s, "/")
-    stamp = F.try_make_timestamp_ntz(_year(F.get(p, 2)), F.get(p, 0).cast("int"), F.get(p, 1).cast("int"), F.lit(0), F.lit(0), F.lit(0))
-    return F.when(s.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$"), stamp.cast("date"))
+    parts = F.when(s.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$"), F.split(s, "/"))
+
+    def build(p: Column) -> Column:
+        return F.try_make_timestamp_ntz(_year(F.get(p, F.lit(2))), F.get(p, F.lit(0)).cast("int"), F.get(p, F.lit(1)).cast("int"), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    return bind(parts, build)
 
 
 def parse_mdy_hms(c: ColumnOrName) -> Column:
     """``m/d/yyyy h:mm[:ss][ AM|PM]`` text -> TIMESTAMP_NTZ; other text and
-    impossible times -> NULL.  One pattern gates the text, its parts are read
-    once, and the wall-clock time is built without passing through a time zone."""
+    impossible times -> NULL.  One pattern gates the text, which is split once a
+    cell, and the wall-clock time is built without passing through a time zone."""
     s = F.trim(col(c))
-    p = F.split(s, "[/: ]")
-    half = F.upper(F.element_at(p, -1))
-    hour = F.get(p, 3).cast("int")
-    hour = (F.when(~half.isin("AM", "PM"), hour)
-            .when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0)))   # else no such hour: NULL
-    second = F.when(s.rlike(r":\d{2}:"), F.get(p, 5).cast("int")).otherwise(0)
-    stamp = F.try_make_timestamp_ntz(F.get(p, 2).cast("int"), F.get(p, 0).cast("int"), F.get(p, 1).cast("int"), hour, F.get(p, 4).cast("int"), second)
-    return F.when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?( [AaPp][Mm])?$"), stamp)
+    parts = F.when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?( [AaPp][Mm])?$"), F.split(s, "[/: ]"))
+
+    def build(p: Column) -> Column:
+        part = lambda k: F.get(p, F.lit(k)).cast("int")
+        # month, day, year, hour, minute, then second and half of the day where they are written
+        n = F.size(p)
+        half = F.upper(F.get(p, n - 1))
+        halved = half.isin("AM", "PM")
+        hour = F.when(~halved, part(3)).when(part(3).between(1, 12), part(3) % 12 + F.when(half == "PM", 12).otherwise(0))   # else no such hour: NULL
+        second = F.when(n - F.when(halved, 1).otherwise(0) == 6, part(5)).otherwise(0)
+        return F.try_make_timestamp_ntz(part(2), part(0), part(1), hour, part(4), second)
+    return bind(parts, build)
 
 
 # D8 / D9 / D10 ----------------------------------------------------------------

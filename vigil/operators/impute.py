@@ -69,10 +69,19 @@ def ranked_quantiles(df: DataFrame, cols: Sequence[str], p: float, partitions: i
     return q.agg(*[F.max(F.when(F.col("cid") == i, F.col("q"))).alias(c) for i, c in enumerate(cols)])
 
 
-def quantile_list(df: DataFrame, c: str, probs: Sequence[float], partitions: int = PARTS) -> DataFrame:
-    """One-row DataFrame ``(qs)``: the exact quantiles of ``c`` as an array in the order of ``probs``."""
-    q = ranked_table(df, [c], probs, partitions)
-    return q.agg(F.array(*[F.max(F.when(F.col("prob") == float(p), F.col("q"))) for p in probs]).alias("qs"))
+def count_quantiles(df: DataFrame, c: str, probs: Sequence[float]) -> DataFrame:
+    """One-row DataFrame ``(qs)``: the exact quantiles of a column of group sizes, in the order of ``probs``.
+
+    Sizes that add up to N have at most about sqrt(2N) different values, so their histogram, one
+    partially aggregated pass, is small enough for a running sum in one window."""
+    hist = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    cum = hist.select("v", F.sum("k").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
+                      F.sum("k").over(Window.partitionBy()).alias("n"))
+    rank = lambda p: (F.col("n") - 1) * F.lit(float(p))
+    at = lambda r: F.min(F.when(F.col("upto") >= r + 1, F.col("v")))
+    ends = cum.agg(F.max("n").alias("n"), *[at(r).alias(f"{name}{i}") for i, p in enumerate(probs) for name, r in (("lo", F.floor(rank(p))), ("hi", F.ceil(rank(p))))])
+    mix = lambda i, p: F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (rank(p) - F.floor(rank(p)))
+    return ends.select(F.array(*[mix(i, p) for i, p in enumerate(probs)]).alias("qs"))
 
 
 def ranked_quantile(df: DataFrame, c: str, p: float, partitions: int = PARTS) -> DataFrame:

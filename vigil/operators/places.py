@@ -9,9 +9,11 @@ first name in ascending order that ends on a word boundary):
   dictionary, evaluated per row in generated code (no shuffle);
 * ``method="ngram"``: for dictionaries too large for one pattern: each distinct
   text is cut into word / separator chunks, every run of chunks between word
-  boundaries becomes a candidate (as many chunks as names have), candidates
-  equi-join the dictionary (Catalyst/AQE pick broadcast or a skew-split
-  shuffle join by size) and ``min(struct(position, name))`` picks the winner.
+  boundaries becomes a candidate (as many chunks as names have).  A bitmap of the
+  names' keys, built on the executors and of fixed size, drops nearly all candidates before they are
+  shuffled; the rest equi-join the dictionary by the key that case-insensitive patterns
+  compare (``strings.fold``), salted, since a common name may lie in a third of all texts; and
+  ``min(struct(position, name))`` picks the winner.
 """
 from __future__ import annotations
 
@@ -22,12 +24,15 @@ from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
 from vigil.functions.rules import apply_rules, rewrite_whole
-from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extract_first, non_alnum_to_space,
+from vigil.functions.strings import (ColumnOrName, alternation_regex, col, extract_first, fold, non_alnum_to_space,
                                      replace_all, replace_first, squish)
 
-# word characters as Java's \b sees them (letters and digits of any script, "_")
-WORD = r"\p{L}\p{Nd}_"
+# word characters as Java's \b sees them (letters and digits of any script, "_", marks upon them)
+WORD = r"\p{L}\p{Nd}_\p{Mn}"
 AUTO_REGEX_NAMES = 5_000
+PATTERN_NAMES = 50_000      # names that one pattern may hold
+FILTER_WORDS = 1 << 17      # 64-bit words of the bitmap of name keys (1 MB, whatever the dictionary)
+SALTS = 16
 
 
 # T12 --------------------------------------------------------------------------
@@ -78,8 +83,10 @@ def dictionary_names(dict_df: DataFrame, name_col: str) -> DataFrame:
 
 
 def dictionary_regex(dict_df: DataFrame, name_col: str, ignore_case: bool = True) -> str:
-    """The dictionary as one alternation pattern (its names reach the driver)."""
-    rows = dictionary_names(dict_df, name_col).collect()
+    """The dictionary as one alternation pattern; at most ``PATTERN_NAMES`` names reach the driver, more are refused."""
+    rows = dictionary_names(dict_df, name_col).limit(PATTERN_NAMES + 1).collect()
+    if len(rows) > PATTERN_NAMES:
+        raise ValueError(f"more than {PATTERN_NAMES} names: use method='ngram'")
     return alternation_regex([r[0] for r in rows], word_boundary=True, ignore_case=ignore_case)
 
 
@@ -96,6 +103,24 @@ def _ends_word(c: Column) -> Column:
     return c.rlike(f"[{WORD}]$")
 
 
+def _place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+
+
+def key_filter(names: DataFrame, key: str) -> Column:
+    """A bitmap of the keys' hashes as an array of ``FILTER_WORDS`` longs: one row, built by an aggregation."""
+    place = _place(F.col(key))
+    words = names.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))).alias("b"))
+    dense = names.sparkSession.range(FILTER_WORDS).join(words, F.col("id") == F.col("w"), "left").select("id", F.coalesce("b", F.lit(0).cast("long")).alias("b"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "b"))), lambda x: x["b"]).alias("bits")).scalar()
+
+
+def passes(bits: Column, key: Column) -> Column:
+    place = _place(key)
+    word = F.get(bits, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_col: str,
                        out_col: str = "location", method: str = "auto", prefer: str = "first",
                        pattern: str | None = None, regex_names: int = AUTO_REGEX_NAMES) -> DataFrame:
@@ -120,9 +145,7 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
         return df.withColumn(out_col, extract_first(text_col, pat))
     if method != "ngram":
         raise ValueError(method)
-    # lower() (not upper(): "ß" would expand to "SS") approximates the regex's
-    # per-character case folding
-    names = dictionary_names(dict_df, name_col).select(F.lower("__name").alias("__key"), F.col("__name"))
+    names = dictionary_names(dict_df, name_col).select(fold("__name").alias("__key"), F.col("__name"))
     shapes = names.groupBy(_starts_word(F.col("__key")).alias("w")).agg(F.max(F.size(_chunks(F.col("__key")))).alias("n")).collect()  # two rows
     longest = {r["w"]: r["n"] for r in shapes}
     most = max(longest.values(), default=1)
@@ -131,15 +154,18 @@ def extract_dictionary(df: DataFrame, text_col: str, dict_df: DataFrame, name_co
         F.sequence(F.lit(1), F.size("__ch")),
         lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("__ch") - i + 1)), lambda k: F.struct(
             i.alias("pos"), k.alias("k"), (i + k - 1 == F.size("__ch")).alias("last"),
-            F.array_join(F.slice("__ch", i, k), "").alias("cand")))))
-    grams = (texts.withColumn("__ch", _chunks(F.col("__text")))
+            F.array_join(F.slice("__ch", i, k), "").alias("cand"), F.array_join(F.slice("__folded", i, k), "").alias("key")))))
+    grams = (texts.withColumn("__ch", _chunks(F.col("__text"))).withColumn("__folded", F.transform("__ch", fold))
              .select("__text", F.explode(cands).alias("g"))
-             .select("__text", "g.pos", "g.k", "g.last", "g.cand", F.lower("g.cand").alias("__key"))
+             .select("__text", "g.pos", "g.k", "g.last", "g.cand", F.col("g.key").alias("__key"))
+             .where(passes(key_filter(names, "__key"), F.col("__key")))
              # inner chunk edges are word boundaries; the text's own ends only beside a word character
              .where((_starts_word(F.col("cand")) & (F.col("k") <= longest.get(True, 0)))
                     | (~_starts_word(F.col("cand")) & (F.col("pos") > 1) & (F.col("k") <= longest.get(False, 0))))
              .where(~F.col("last") | _ends_word(F.col("cand"))))
-    hits = grams.join(names, "__key")
+    # a name that lies in a third of all texts is dealt to SALTS places
+    salted = names.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = grams.withColumn("__salt", F.pmod(F.xxhash64("__text"), F.lit(SALTS)).cast("int")).join(salted, ["__key", "__salt"])
     tie = F.col("__name") if prefer == "first" else -F.col("k")
     best = (hits.groupBy("__text")
             .agg(F.min(F.struct("pos", tie.alias("t"), F.col("cand"))).alias("__b"))

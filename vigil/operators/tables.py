@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vigil.functions import rules as R
 from vigil.functions.strings import ColumnOrName, col, n_pct_label, pct_fixed
 from vigil.operators.aggregate import grand_total, lump_small
-from vigil.operators.impute import quantile_list
+from vigil.operators.impute import count_quantiles
 
 
 
@@ -28,9 +28,12 @@ def _whole():
 
 
 # W4 / W5 ----------------------------------------------------------------------
-def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str] | None = None) -> DataFrame:
+def share(df: DataFrame, n: str = "n", name: str = "percent", by: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
     """Share of the grand total (or of the ``by`` partition).  The total is a
-    scalar subquery, so no single task ever holds a data-sized table."""
+    scalar subquery, so no single task ever holds a data-sized table.  For an aggregate
+    ``bounded`` by a category domain it is a window instead, and the plan below is there once."""
+    if bounded:
+        return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(_whole())))
     if by:
         return df.withColumn(name, F.try_divide(F.col(n), F.sum(n).over(Window.partitionBy(*by))))
     return df.withColumn(name, F.try_divide(F.col(n), grand_total(df, n)))
@@ -76,12 +79,13 @@ def pareto(df: DataFrame, cat: str, n: str = "count", lump_below: int | None = N
 # W7 ---------------------------------------------------------------------------
 def quantile_bin(df: DataFrame, n: str = "n", bins=None, top=None,
                  code: str = "quantiles", label: str = "quantile_labels") -> DataFrame:
-    """Size bins from exact quantiles of ``n``: ``n <= q(0.8) -> 10``,
+    """Size bins from exact quantiles of the group sizes ``n``: ``n <= q(0.8) -> 10``,
     ``n < q(0.9) -> 15``, ``n < q(0.99) -> 20``, else 25, with fixed labels.
-    The three quantiles come from ONE scalar subquery."""
+    The three quantiles come from ONE scalar subquery over the histogram of ``n``, which plans ``df`` once
+    more: a caller with a long plan below hands in a stored table."""
     bins = bins or R.QUANTILE_BINS
     top = top or R.QUANTILE_TOP
-    qs = quantile_list(df, n, [b[0] for b in bins]).scalar()
+    qs = count_quantiles(df, n, [b[0] for b in bins]).scalar()
     x = F.col(n)
     c = None
     for i, (_, op, code_v, _lab) in enumerate(bins):

@@ -26,6 +26,7 @@ from vigil.operators.columns import apply_layout, pull
 from vigil.operators.dedup import duplicate_keys
 from vigil.operators.joins import left_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
+from vigil.session import checkpointed
 
 GAZETTEER_ATTRS = ["name_county", "county_fips", "district", "designation", "urbanicity", "asciiname",
                    "latitude", "longitude", "population", "elevation"]
@@ -64,7 +65,9 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
     cleaned text.  ``on_fanout``: a place name listed under several counties
     multiplies incident rows in the attribute join; ``"keep"`` leaves that as
     is (as coded), ``"warn"`` / ``"raise"`` report such names first (one
-    bounded aggregate over the gazetteer)."""
+    bounded aggregate over the gazetteer).  The gazetteer is checkpointed while the plan
+    is built; the incidents themselves stay lazy."""
+    gazetteer = checkpointed(gazetteer)   # a dimension that is read four times: its build runs once
     if on_fanout != "keep":
         dup = [r[0] for r in duplicate_keys(gazetteer.select("name"), ["name"]).limit(20).collect()]
         if dup:
@@ -117,7 +120,6 @@ def build_incidents(raw: DataFrame, gazetteer: DataFrame, id_cols: Sequence[str]
         x = x.withColumn("location", F.coalesce("location", "location_city_event_clean"))
     x = x.withColumns({f: F.coalesce(f, F.lit(False)) for f in ("expired_scene", "expired_in_er", "expired_in_hospital")})
     x = x.withColumn("survival", C.survival_from_flags("expired_scene", "expired_in_er", "expired_in_hospital"))
-    # the gazetteer was bounded above; Catalyst/AQE broadcast it from its size
     attrs = [c for c in GAZETTEER_ATTRS if c in gazetteer.columns]
     out = left_lookup(x, gazetteer.select("name", *attrs), "location", "name", attrs)
     return apply_layout(out, LAYOUT + [(attrs, "after", "location")])

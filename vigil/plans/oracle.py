@@ -447,11 +447,11 @@ def _mortality_sql(which: str) -> str:
         return f"""WITH {_measure_sql()}
         SELECT b."STATEFP", b."NAME", {", ".join("s." + c for c in cols.split(", "))}
         FROM st2 s RIGHT JOIN (SELECT lpad(CAST(r_regionkey AS VARCHAR), 2, '0') AS "STATEFP", r_name AS "NAME"
-                               FROM region) b ON s.lid = b."STATEFP" """
+                               FROM region WHERE r_regionkey <> 2) b ON s.lid = b."STATEFP" """
     if which == "county":
         return f"""WITH {_measure_sql()},
         b AS (SELECT '19' AS "STATEFP", lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS "COUNTYFP", n_name AS "NAME",
-                     '19' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS "COUNTYFIPS" FROM nation),
+                     '19' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS "COUNTYFIPS" FROM nation WHERE n_nationkey % 5 <> 3),
         j AS (SELECT b.*, {", ".join("s." + c for c in cols.split(", "))},
                      trim(regexp_replace(regexp_replace(s.locationdesc, '(?i)\\s+county$', ''), '\\s+', ' ', 'g'))
                        AS "COUNTY_NAME"

@@ -20,8 +20,9 @@ from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators.columns import drop_missing
 from vigil.operators.dedup import keep_first
+from vigil.operators.geo import composite_fips, polygon_terms
 from vigil.operators.joins import left_lookup, right_lookup
-from vigil.session import checkpoint_dir
+from vigil.session import checkpoint_dir, checkpointed
 
 ID = "unique_incident_id"
 
@@ -35,10 +36,11 @@ def unique_incidents(incidents: DataFrame, order_by: Sequence = ("date_of_use",
 
 def deployments_by_group(u: DataFrame, col: str, missing_token: str | None = None) -> DataFrame:
     """Count + share by district/location; missing -> "Not Recorded"
-    (``missing_token="missing"`` keeps the as-coded text instead)."""
+    (``missing_token="missing"`` keeps the as-coded text instead).  Districts and places are names of the gazetteer, so the
+    total is a window over their counts."""
     g = u.withColumn(col, squish(to_text(col, missing_token)))
     g = g.withColumn(col, F.coalesce(col, F.lit(R.NOT_RECORDED)))
-    return TB.share(A.count_by(g, [col], "n"), "n", "percent").orderBy(F.desc("percent"), col)
+    return TB.share(A.count_by(g, [col], "n"), "n", "percent", bounded=True).orderBy(F.desc("percent"), col)
 
 
 def deployments_by_city(u: DataFrame, min_n: int = R.CITY_REPORT_MIN_N) -> DataFrame:
@@ -46,8 +48,9 @@ def deployments_by_city(u: DataFrame, min_n: int = R.CITY_REPORT_MIN_N) -> DataF
 
 
 def location_counts(u: DataFrame) -> DataFrame:
-    """Points per (place, lat, lon) with quantile size bins."""
-    c = A.count_by(drop_missing(u, ["location", "latitude", "longitude"]), ["location", "latitude", "longitude"], "n")
+    """Points per (place, lat, lon) with quantile size bins.  The counts are checkpointed (a job runs), since the
+    bins read them twice and what lies below may be a whole build."""
+    c = checkpointed(A.count_by(drop_missing(u, ["location", "latitude", "longitude"]), ["location", "latitude", "longitude"], "n"))
     return TB.quantile_bin(c, "n").orderBy("location")
 
 
@@ -134,7 +137,6 @@ def map_frame(table: DataFrame, geometry: str = "geometry", value: str = "data_v
     """One row for drawing a map table: the area-weighted centroid of all its
     polygons (projection centre) and the NULL-skipping min / max of the
     measure (colour range), in ONE aggregation pass."""
-    from vigil.operators.geo import polygon_terms
     t = table.select(polygon_terms(F.col(geometry)).alias("t"), F.col(value).alias("v"))
     s = t.agg(F.sum("t.a2").alias("a2"), F.sum("t.cx6").alias("cx6"), F.sum("t.cy6").alias("cy6"),
               F.min("v").alias("min_value"), F.max("v").alias("max_value"))
@@ -142,19 +144,31 @@ def map_frame(table: DataFrame, geometry: str = "geometry", value: str = "data_v
                     F.try_divide(F.col("cy6"), 3.0 * F.col("a2")).alias("cy"), "min_value", "max_value")
 
 
-# X7 ----------------------------------------------------------------------------
+# G4 / X7 -----------------------------------------------------------------------
+def map_boundaries(states: DataFrame, counties: DataFrame, state_fips: str = R.STATE_FIPS,
+                   excluded_states: Sequence[str] = tuple(R.NON_CONTINENTAL_STATE_FIPS)) -> tuple[DataFrame, DataFrame]:
+    """The boundaries that the maps show: states outside ``excluded_states``, and one state's counties with
+    their composite code ``COUNTYFIPS``.  Codes may come unpadded or as numbers; a boundary without a code stays among the states."""
+    code = pad_left(F.col("STATEFP").cast("string"), 2)
+    inside = F.coalesce(~code.isin(list(excluded_states)), F.lit(True))
+    own = counties.where(code == state_fips).withColumn("COUNTYFIPS", composite_fips(F.col("STATEFP").cast("string"), F.col("COUNTYFP").cast("string")))
+    return states.where(inside), own
+
+
 def mortality_tables(measure: DataFrame, state_boundaries: DataFrame, county_boundaries: DataFrame,
-                     county_attrs: DataFrame, state_abbr: str = "IA",
+                     county_attrs: DataFrame, state_abbr: str = "IA", state_fips: str = R.STATE_FIPS,
                      excluded_states: Sequence[str] = tuple(R.NON_CONTINENTAL_STATE_FIPS)) -> dict[str, DataFrame]:
-    """Overall-strata measure -> state map table (every boundary kept),
-    county map table (with district) and the national value."""
+    """Overall-strata measure -> state map table, county map table (with district) and the national value.
+
+    Boundaries are filtered first (``map_boundaries``): the state table keeps every state boundary but the
+    ``excluded_states``, the county table every county of ``state_fips``; a boundary without a measure has NULLs."""
+    state_boundaries, cb = map_boundaries(state_boundaries, county_boundaries, state_fips, excluded_states)
     m = measure.where((F.col("stratification1") == "Overall") & (F.col("stratification2") == "Overall"))
     state = (m.withColumn("locationid", pad_left(F.col("locationid").cast("string"), 2))
-             .where((F.col("geographiclevel") == "State") & ~F.col("locationid").isin(list(excluded_states))))
+             .where(F.col("geographiclevel") == "State"))
     state_tbl = right_lookup(state, state_boundaries, "locationid", "STATEFP")
     county = (m.withColumn("locationid", pad_left(F.col("locationid").cast("string"), 3))
               .where((F.col("geographiclevel") == "County") & (F.col("locationabbr") == state_abbr)))
-    cb = county_boundaries.withColumn("COUNTYFIPS", F.concat("STATEFP", "COUNTYFP"))
     county_tbl = right_lookup(county, cb, "locationid", "COUNTYFIPS")
     county_tbl = county_tbl.withColumn("COUNTY_NAME", squish(remove_first("locationdesc", r"\s+county$", True)))
     attrs = county_attrs.select("county", "region_preparedness")

@@ -9,7 +9,7 @@ county-attribute join (broadcast by Catalyst/AQE when small).
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from vigil.operators.collapse import Side, collapse_rows, shock_count, shock_row
 from vigil.operators.impute import impute_median
 from vigil.operators.columns import apply_layout
 from vigil.operators.joins import left_lookup
+from vigil.session import checkpointed
 
 KEY = "fact_incident_pk"
 DATE = "incident_date"
@@ -73,12 +74,13 @@ def prepare_runs(raw: DataFrame, missing_token: str | None = None) -> DataFrame:
 def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str],
                side_order: Sequence[str] = (PROC_TIME, PROC_DESC, PROC_ATTEMPTS, COMPLAINT),
                defib_pattern: str = R.DEFIB_PATTERN, missing_token: str | None = None,
-               median_method: str = "ranked") -> DataFrame:
-    """One row per run, lazily.  ``base_order`` orders a run's rows for keep-first
+               median_method: str = "ranked", store: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
+    """One row per run, in two phases.  ``base_order`` orders a run's rows for keep-first
     (the reference keeps the first row in file order); all other columns break
     ties, so the result doesn't depend on partitioning.  ``side_order`` orders the
-    joined procedure texts.  The medians read the collapsed runs once
-    more; a caller that stores the runs (``sources.io.materialize``) pays that once."""
+    joined procedure texts.  ``store``
+    keeps the collapsed runs (a reliable checkpoint by default, or a written table): every input row is read and parsed once, and the medians
+    read two columns of what is stored.  ``store=lambda df: df`` keeps the plan lazy, and reads the input twice."""
     x = prepare_runs(raw, missing_token)
     proc_cols = list(dict.fromkeys([*side_order, COMPLAINT, PROC_DESC, PROC_TIME, PROC_ATTEMPTS]))
     procedures = Side(columns=proc_cols, order=list(side_order), outputs={
@@ -94,7 +96,7 @@ def build_runs(raw: DataFrame, county_attrs: DataFrame, base_order: Sequence[str
                              CPR_PRIOR: C.cpr_prior_to_arrival(CPR_PRIOR, CPR_WHO),
                              OVERDOSE: F.coalesce(OVERDOSE, F.lit(False)),
                              OUTCOME: C.repair_outcome(OUTCOME, DISPOSITION)})
-    runs = impute_median(runs, [TO_PATIENT, TO_SCENE], method=median_method)
+    runs = impute_median(store(runs), [TO_PATIENT, TO_SCENE], method=median_method)
     runs = runs.withColumns({**C.outcome_flags(OUTCOME),
                              f"length_{COUNTY}": F.length(F.coalesce(F.col(COUNTY).cast("string"), F.lit("")))})
     runs = runs.withColumns({"county_id": C.county_id(COUNTY),

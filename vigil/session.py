@@ -10,7 +10,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", app: str = "vigil",
@@ -47,3 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="vigil-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once as a reliable checkpoint in the shared folder (a job runs)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
