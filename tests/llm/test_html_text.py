@@ -59,6 +59,82 @@ def test_pages(name):
     assert want is None or got == want
 
 
+def plain_densities(page, left, body):
+    """Composite text density of every node from its own subtree, node by node."""
+    import math
+
+    def walk(i, linked):
+        """(characters, tags, characters in links, links) below a node."""
+        c = t = lc = lt = 0
+        for x in page.items[i]:
+            if isinstance(x, str):
+                c += len("".join(x.split()))
+                lc += len("".join(x.split())) if linked else 0
+            elif left[x]:
+                a = page.tag[x] == "a"
+                c2, t2, lc2, lt2 = walk(x, linked or a)
+                c, t, lc, lt = c + c2, t + t2 + 1, lc + lc2, lt + lt2 + a
+        return c, t, lc, lt
+
+    def linked(i):
+        return i > 0 and (page.tag[i] == "a" or linked(page.parent[i]))
+    cb, _, lcb, _ = walk(body, linked(body))
+    out = []
+    for i in range(len(page.tag)):
+        c, t, lc, lt = walk(i, linked(i)) if left[i] else (0, 0, 0, 0)
+        out.append(0.0 if not c else c / max(1, t) * math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt)))
+                   / math.log(max(math.e, math.log(c / max(1, c - lc) * lc + lcb / max(1, cb) * c + math.e))))
+    return out
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_densities_against_a_plain_version(name):
+    page = html_text.Page(PAGES[name][0])
+    left = html_text._prune(page)
+    body = next((i for i, t in enumerate(page.tag) if t == "body"), 0)
+    got, total, *_ = html_text._densities(page, left, body)
+    want = plain_densities(page, left, body)
+    assert got == pytest.approx(want)
+    assert total == pytest.approx([sum(want[x] for x in items if isinstance(x, int)) for items in page.items])
+
+
+def _constant(densities):
+    def run(page, left, body):
+        _, _, chars, links, anchors = densities(page, left, body)
+        one = [1.0 if left[i] and chars[i] else 0.0 for i in range(len(left))]
+        return one, [sum(one[x] for x in items if isinstance(x, int)) for items in page.items], chars, links, anchors
+    return run
+
+
+NEUTRAL = {
+    "links": (f"<body><div class=x1>{'<div><a href=q>One more link</a></div>' * 30}</div><div class=x2><div>My Title</div><div>{TEXT}</div><div>{TEXT}</div><div>{TEXT}</div></div>"
+              f"<div class=x3>{'<span><a href=z>far</a></span>' * 20}</div></body>", f"My Title\n{TEXT}\n{TEXT}\n{TEXT}"),
+    "crumbs": (f"<body><div>{'<i><a href=q>x</a></i>' * 9}</div><section><div><div>{TEXT}</div><div>{TEXT}</div></div></section><div>{'<div>a b</div>' * 12}</div></body>", f"{TEXT}\n{TEXT}"),
+}
+
+
+@pytest.mark.parametrize("name", NEUTRAL)
+def test_density_alone_finds_the_article(monkeypatch, name):
+    """No article element, no telling names: the density decides, and constant densities pick something else."""
+    source, want = NEUTRAL[name]
+    assert html_text.extract(source) == want
+    monkeypatch.setattr(html_text, "_densities", _constant(html_text._densities))
+    assert html_text.extract(source) != want
+
+
+def test_densities_matter_on_the_given_pages(spark, monkeypatch):
+    """Without the lists and the article element the density still finds most articles; constant ones find none."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    want = [article(p) for p in pages]
+    bare = [re.sub("(</?)article>", r"\1div>", p) for p in pages]
+    for words in ("CUT_WORDS", "CUT_ROLES", "CUT_TALK", "CUT_MAYBE"):
+        monkeypatch.setattr(html_text, words, frozenset())
+    monkeypatch.setattr(html_text, "CUT_TAGS", frozenset("head script style title".split()))
+    assert sum(html_text.extract(p) == w for p, w in zip(bare, want)) > 0.8 * len(pages)
+    monkeypatch.setattr(html_text, "_densities", _constant(html_text._densities))
+    assert sum(html_text.extract(p) == w for p, w in zip(bare, want)) < 0.1 * len(pages)
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5000 + P * 2 + "</div>" * 5000
     assert html_text.extract(deep) == f"{TEXT}\n{TEXT}"

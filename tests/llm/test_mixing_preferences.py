@@ -53,11 +53,25 @@ def test_mix_edge_rows(spark):
     mixed = mixing.mix(docs)
     kept = mixing.apply_mix(docs, mixed)
     assert kept.columns == docs.columns
-    assert kept.count() == mixed.agg(F.sum(F.col("copies") * F.col("repeats"))).first()[0]
+    assert kept.count() == mixed.agg(F.sum(F.col("copies") * F.col("repeats") + F.col("more"))).first()[0]
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.mix(docs.where("size(split(text, ' ')) < 0 or text is null")).count() == 1
 
 
+def test_repeated_rows_share_their_copies(spark):
+    rows = [(1, "w " * 10, "a")] * 30 + [(7, "one two three four five", "b")] * 100 + [(k, "x y", "c") for k in range(50)] + [(7, "five four three two one", "b")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, n_chars long")
+    mixed = mixing.mix(docs)
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "abc"}
+    out, want = mixing.per_document(mixed).collect(), water(sizes)
+    assert len(out) == len(rows)
+    for s in sizes:
+        assert abs(sum(r.taken for r in out if r.source == s) - want[s]) <= 10
+        assert len({r.taken for r in out if r.source == s}) <= 2
+    made = [(r.source, len(r.text.split())) for r in mixing.apply_mix(docs, mixed).collect()]
+    assert {s: sum(n for x, n in made if x == s) for s in sizes} == {s: sum(r.taken for r in out if r.source == s) for s in sizes}
+
+
 def test_blocks_of_one_source(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 16)
     docs = spark.range(600).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.expr("repeat('w ', cast(id % 40 + 1 as int))").alias("text"))

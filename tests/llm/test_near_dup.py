@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vigil.llm import near_dup, queries
+from vigil.llm import links, near_dup, queries
 
 SF = "/root/testdata/sf0.01"
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -77,10 +77,22 @@ def test_edge_rows(spark):
     c[21] = plain([r for r in rows if r[0] in (20, 21)], 85)[21]
     assert got == sorted(((i or -1, c.get(i), c.get(i, i) == i) for i, _ in rows), key=str)
     kept = near_dup.keep_one(df)
-    assert kept.columns == df.columns and sorted(r.doc_id or -1 for r in kept.collect()) == sorted([-1, -1, 1, 2, 3, 5, 9, 12, *{20, c[21]}])
+    assert kept.columns == df.columns and sorted(r.doc_id or -1 for r in kept.collect()) == sorted([1, 2, 3, 5, 9, 12, *{20, c[21]}])
     assert near_dup.near_duplicates(df.limit(0)).count() == 0 and near_dup.keep_one(df.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts(spark):
+    """As a node of the components it joins its texts; where one document of each group is kept, each text is its own."""
+    a, b = "a b c d e f g h i j k l m n o p q r s t", "quite other words than those before them stand here in this text of some length"
+    rows = [(1, a), (9, a), (9, b), (12, b), (14, b + " end"), (9, ""), (20, b[:40]), (20, a[:12])]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(df, 0.8).collect())
+    want = plain(rows, 80)
+    assert got == sorted((i, len(plain_set(t)), want[i], want[i] == i) for i, t in rows) and want[14] == 1
+    kept = sorted((r.doc_id, r.text) for r in near_dup.keep_one(df).collect())
+    assert kept == sorted([(1, a), (12, b), (9, ""), (20, b[:40]), (20, a[:12])])
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.lists(st.text(alphabet="abAB é\t\n\x0b\x1cZ", max_size=40), max_size=6))
 def test_set_sizes(texts):
@@ -112,12 +124,12 @@ def test_components(spark, pairs):
     for a, b in pairs:
         boss[max(find(a), find(b))] = min(find(a), find(b))
     near_dup.checkpoint_dir(spark)
-    got = {r.node: r.comp for r in near_dup.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    got = {r.node: r.comp for r in links.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in pairs if a != b for x in (a, b)}
 
 
 def test_a_long_chain(spark):
     near_dup.checkpoint_dir(spark)
     chain = [(k, k + 1) for k in range(300)]
-    got = near_dup.components(spark.createDataFrame(chain, "a long, b long"))
+    got = links.components(spark.createDataFrame(chain, "a long, b long"))
     assert {r.comp for r in got.collect()} == {0} and got.count() == 301

@@ -125,7 +125,8 @@ WHOLE = [  # text, what is left of it
     (f"{KEY[:90]} -----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B\n\n{BODY}==\n-----END PRIVATE KEY----- c", "[private_key] [private_key] c"),
     (f"-----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B\n\n{BODY}\nab==, d", "[private_key], d"),
     ("the line -----BEGIN PRIVATE KEY----- opens a key", "the line [private_key] opens a key"),
-    (f"x https://{'u' * 99}:{'p' * 99}@host y", "x [url_login]ost y"), ("x ftp://bob:pw@host y", "x [url_login]ost y"), ("x redis://:pa:ss@host y", "x [url_login]ost y"),
+    (f"x https://{'u' * 99}:{'p' * 99}@host y", "x [url_login]@host y"), ("x ftp://bob:pw@host y", "x [url_login]@host y"), ("x redis://:pa:ss@host y", "x [url_login]@host y"),
+    ("at https://bob:pw@example.com/x, -http://a:b@c", "at [url_login]@example.com/x, -[url_login]@c"), ("a.very-long-scheme.of-more.than+sixteen://u:p@h", "[url_login]@h"),
     ("http://host:80/a@b http://host/a:b@c", "http://host:80/a@b http://host/a:b@c")]
 
 
@@ -136,7 +137,7 @@ def test_whole_secrets_are_redacted(spark):
 
 def test_key_and_login_rules_are_linear():
     start = time.perf_counter()
-    for text in ("-----BEGIN PRIVATE KEY-----\n" * 30000, "-----BEGIN PRIVATE KEY-----" + " a-" * 300000, "a://b:" * 100000, "a://" + "b:" * 200000, "-----BEGIN PRIVATE KEY-----" + "ab\n" * 200000):
+    for text in ("-----BEGIN PRIVATE KEY-----\n" * 30000, "-----BEGIN PRIVATE KEY-----" + " a-" * 300000, "a://b:" * 100000, "a://" + "b:" * 200000, "a.b-c+" * 100000, "a..-" * 100000, "-----BEGIN " + "AB " * 200000, "-----BEGIN PRIVATE KEY-----" + "ab\n" * 200000):
         for rule in secret_scan.RULES:
             if rule.kind in ("private_key", "url_login"):
                 sum(1 for _ in rule.regex.finditer(text))

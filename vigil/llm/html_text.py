@@ -10,7 +10,8 @@ composite text density weighs its characters per tag by its links:
 with ``LC``/``LT`` link characters and tags and ``LCb``/``Cb`` those of the body.  The
 node with the largest sum of child densities is the core of the article; the least density on the
 path from it to the body is the threshold that a neighbouring node needs to
-belong to the article too.  An enclosing article element is taken whole.
+belong to the article too.  That selects the subtree on every page; an article element only settles
+ties, for what stands beside the core inside it: parts below the threshold stay unless they are lists of links.
 
 Pages are independent: the work is one map over the table, without a shuffle.
 """
@@ -201,8 +202,8 @@ def _prune(page: Page) -> list[bool]:
     return left
 
 
-def _densities(page: Page, left: list[bool], body: int) -> tuple[list[float], list[float], list[int], list[int]]:
-    """Of every node: composite text density, the sum of its children's, characters, characters in links."""
+def _densities(page: Page, left: list[bool], body: int) -> tuple[list[float], list[float], list[int], list[int], list[int]]:
+    """Of every node: composite text density, the sum of its children's, characters, characters in links, links."""
     n = len(page.tag)
     c, t, lc, lt = [0] * n, [0] * n, [0] * n, [0] * n
     linked = [False] * n
@@ -229,14 +230,14 @@ def _densities(page: Page, left: list[bool], body: int) -> tuple[list[float], li
             density[i] = c[i] / max(1, t[i]) * math.log(value) / math.log(base)
         if i:
             total[page.parent[i]] += density[i]
-    return density, total, c, lc
+    return density, total, c, lc, lt
 
 
 def _chosen(page: Page, left: list[bool]) -> list[int]:
     """Nodes whose whole (pruned) subtrees are the article, in page order."""
     n = len(page.tag)
     body = next((i for i in range(n) if page.tag[i] == "body"), 0)
-    density, total, chars, links = _densities(page, left, body)
+    density, total, chars, links, anchors = _densities(page, left, body)
     depth = [0] * n
     inside = [body == 0] * n
     for i in range(1, n):
@@ -248,10 +249,9 @@ def _chosen(page: Page, left: list[bool]) -> list[int]:
     path = [core]
     while path[-1] > 0 and path[-1] != body:
         path.append(page.parent[path[-1]])
-    for tag in ("article", "main"):
-        if found := [i for i in path if page.tag[i] == tag]:
-            return [found[-1]]
     threshold = min(density[i] for i in path)
+    own = next((f for f in ([i for i in path if page.tag[i] == tag] for tag in ("article", "main")) if f), [])
+    article = own[-1] if own else None
     top = core
     while page.tag[top] in _PARTS and top not in (0, body):
         top = page.parent[top]
@@ -264,10 +264,15 @@ def _chosen(page: Page, left: list[bool]) -> list[int]:
             if x == node:
                 before = False
             elif isinstance(x, int) and left[x]:
-                if page.tag[x] in HEADINGS and before or density[x] >= max(threshold, 0.5 * density[core]):
+                listed = 2 * links[x] > chars[x]
+                if article is not None and depth[up] >= depth[article]:   # inside the article element
+                    listed &= density[x] < threshold and anchors[x] > 1
+                    if not listed:
+                        more.append(x)
+                elif page.tag[x] in HEADINGS and before or density[x] >= max(threshold, 0.5 * density[core]):
                     more.append(x)
-                menu |= 2 * links[x] > chars[x]
-        if more:
+                menu |= listed
+        if more or up == article and not menu and len(out) == 1 and out[0] == node:
             out = [up] if not menu and up not in (0, body) and len(out) == 1 and out[0] == node else out + more
         node = up
     return sorted(out)

@@ -110,17 +110,22 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has either one edge to a smaller node or none, and none if larger ones lead to it."""
+    ends = edges.select("a", F.lit(1).alias("out")).union(edges.select("b", F.lit(0)))
+    return ends.groupBy("a").agg(F.sum("out").alias("out"), F.min("out").alias("root")).where("out > 1 or out = 1 and root = 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, comp`` (smallest node reachable) of every node of some link ``a, b``.
 
-    Alternating large-star and small-star steps until nothing changes, each written to the shared folder; the
+    Alternating large-star and small-star steps until every component is a star, each written to the shared folder; the
     smallest neighbours of all nodes are before they are joined to the edges (an aggregate that feeds a join directly
     would keep a hot node in one task).  The result is checkpointed, the steps' tables are deleted."""
     spark = links.sparkSession
     folder = f"{checkpoint_dir(spark)}/components-{uuid.uuid4().hex}"
-    edges = stored(links.select("a", "b").where("a <> b").distinct(), folder)
-    size = None
-    while True:
+    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), folder)
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), folder)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
@@ -130,10 +135,6 @@ def components(links: DataFrame) -> DataFrame:
         small = (down.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
                  .select("e.*").where("a <> b").distinct())
         edges = stored(small, folder)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == size:
-            break
-        size = now
     own = edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
     out = own.union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()).checkpoint()
     remove(spark, folder)

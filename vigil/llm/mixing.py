@@ -103,28 +103,30 @@ def solve(hist: DataFrame, sources: DataFrame, most: float = 2.0) -> DataFrame:
 
 
 def round_block(part: pd.DataFrame, most: float) -> pd.DataFrame:
-    """Copies of a block's items (``weight`` words each, ``rate``), error carried, largest first."""
-    part = part.sort_values(["weight", "doc_id"], ascending=[False, True], kind="stable", na_position="last")
-    carry, copies, top = 0.0, np.zeros(len(part), dtype=np.int64), int(most)
-    for i, (weight, rate) in enumerate(zip(part["weight"].to_numpy(float), part["rate"].to_numpy(float), strict=True)):
-        if weight <= 0:
-            copies[i] = 1 if rate > 0 else 0
+    """Copies of a block's items (``repeats`` rows of ``size`` words, ``rate``), error carried from
+    row to row, largest first: each of an item's rows is taken ``copies`` times, the first ``more`` of them once more."""
+    part = part.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", na_position="last")
+    carry, taken, top = 0.0, np.zeros(len(part), dtype=np.int64), int(most)
+    rows = part["repeats"].to_numpy(np.int64)
+    for i, (size, rate, n) in enumerate(zip(part["size"].to_numpy(float), part["rate"].to_numpy(float), rows.tolist(), strict=True)):
+        if size <= 0:
+            taken[i] = n if rate > 0 else 0
             continue
-        want = rate * weight + carry
-        copies[i] = min(top, max(0, int(np.floor(want / weight + 0.5))))
-        carry = want - copies[i] * weight
-    return part.assign(copies=copies)
+        want = rate * size * n + carry
+        taken[i] = min(top * n, max(0, int(np.floor(want / size + 0.5))))
+        carry = want - taken[i] * size
+    return part.assign(copies=taken // rows, more=taken % rows)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size, repeats, source_size, target, rate, copies``: one row for
+    """``doc_id, source, size, repeats, source_size, target, rate, copies, more``: one row for
     each distinct (document, source, size), found in ``repeats`` rows; each of those rows
-    is taken ``copies`` times.
+    is taken ``copies`` times, ``more`` of them once more.
 
     ``size`` counts words; null and empty texts have size 0 and are taken once
     in sources that are taken at all. Null ids and null sources are values like others.
-    Rows that agree in id, source and size get the same copies.  An empty table gives no rows.
+    Rows that agree in id, source and size share their copies out, none getting two more than another.  An empty table gives no rows.
     """
     checkpoint_dir(docs.sparkSession)
     items = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
@@ -138,11 +140,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     rated = (items.join(solved, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
              .withColumn("rate", F.when(F.col("lam").isNull(), 0.0).when(F.col("lam") == float("inf"), float(most))
                          .when(F.col("size") > 0, _rate(F.col("size"), F.col("mean"), F.col("lam"), most)).otherwise(1.0))
-             .withColumn("weight", F.col("size") * F.col("repeats"))
              .withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n") / BLOCK)))
              .select(F.col("doc_id").cast("string").alias("doc_id"),  # pandas would make floats of ids with nulls
-                     "source", "size", "repeats", "source_size", "target", "rate", "weight", "block"))
-    schema = "doc_id string, source string, size long, repeats long, source_size long, target double, rate double, copies long"
+                     "source", "size", "repeats", "source_size", "target", "rate", "block"))
+    schema = "doc_id string, source string, size long, repeats long, source_size long, target double, rate double, copies long, more long"
     names = [c.split()[0] for c in schema.split(", ")]
     return (rated.groupBy("source", "block").applyInPandas(lambda part: round_block(part, most)[names], schema)
             .withColumn("doc_id", F.col("doc_id").cast("long")))
@@ -151,13 +152,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
 def per_document(mixed: DataFrame) -> DataFrame:
     """One row for each input row, with the words that the mix takes of it (``taken``)."""
     return (mixed.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
+            .withColumn("copies", F.col("copies") + F.when(F.col("__k") <= F.col("more"), 1).otherwise(0))
             .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies"))
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: every row as often as ``mixed`` says, with all its columns."""
-    picked = mixed.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("copies").alias("__copies"))
+    """The mix itself: every row as often as ``mixed`` says, with all its columns.  Of rows that agree in id,
+    source and size those with the first texts are taken once more."""
+    picked = (mixed.where("copies + more > 0")
+              .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("copies").alias("__copies"), F.col("more").alias("__more")))
+    place = F.row_number().over(Window.partitionBy("__id", "__source", "__n").orderBy(F.col(text_col)))
     return (docs.withColumn("__size", word_count(F.col(text_col)))
             .join(picked, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__n")))
-            .withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+            .withColumn("__place", place)
+            .withColumn("__take", F.col("__copies") + F.when(F.col("__place") <= F.col("__more"), 1).otherwise(0)).where("__take > 0")
+            .withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__take"))))
             .select(*docs.columns))

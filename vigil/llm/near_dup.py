@@ -20,13 +20,14 @@ so a hot bucket is spread over tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm import textbytes
+from vigil.llm import links, textbytes
 from vigil.session import checkpoint_dir
 
 WORDS = 5
@@ -34,7 +35,6 @@ BINS, MANTISSA = 128, 10
 ROWS = 4
 BLOCK = 1024
 SIGMAS = 5.0
-BITMAP = 1 << 23      # bits of the filter that finds documents of candidate pairs
 SMALL = 4096          # hashes of a small set at most, on average
 
 _KINDS = np.array([0 if b in (32, *range(9, 14)) else 1 for b in range(256)], dtype=np.uint8)
@@ -269,10 +269,10 @@ def _by_cell(cells: DataFrame, work, schema: str) -> DataFrame:
 
 
 def _first_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs ``a < b`` of each member with the one most like it and with its bucket's most central one."""
+    """Distinct pairs of each member (``b``) with the one most like it and with its bucket's most central one (``a``)."""
     def work(cell: _Cell):
-        a, b = cell.nearest(threshold)
-        pair = np.unique(np.stack([np.minimum(cell.rep[a], cell.rep[b]), np.maximum(cell.rep[a], cell.rep[b])]), axis=1)
+        member, other = cell.nearest(threshold)
+        pair = np.unique(np.stack([cell.rep[other], cell.rep[member]]), axis=1)
         return list(pair) if pair.shape[1] else None
 
     return _by_cell(_cells(members, F.ceil(F.col("m") / BLOCK), ""), work, "a long, b long").distinct()
@@ -292,7 +292,7 @@ def _second_pairs(members: DataFrame, docs: DataFrame, threshold: float, words:
     if some.isEmpty():
         return some.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
     ids = some.select(F.col("rep").alias("id")).distinct()
-    small = _sets(docs, ids, words, lambda x: small_set(x).astype("<u4").tobytes(), "binary")
+    small = _small_sets(docs, ids, words)
     # an id of several rows: its rows' sets come one after another, as members of their own
     crowd = some.groupBy("bucket").agg(F.count("*").alias("m"))
     full = (some.join(crowd, "bucket").join(members.select("bucket", "rep", "regs"), ["bucket", "rep"])
@@ -307,68 +307,9 @@ def _second_pairs(members: DataFrame, docs: DataFrame, threshold: float, words:
     return _by_cell(_cells(full, F.ceil(F.col("m") / BLOCK), "shingles"), pairs, "a long, b long").distinct()
 
 
-def _held(ids: DataFrame) -> np.ndarray:
-    """A bitmap of ``BITMAP`` bits of the hashes of a column of ids (bounded, whatever their number)."""
-    place = F.pmod(F.xxhash64("id"), F.lit(BITMAP))
-    words = (ids.select(F.shiftright(place, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())  # BITMAP / 64 rows at most
-    out = np.zeros(BITMAP // 64, dtype=np.int64)
-    out[[r.w for r in words]] = [r.b for r in words]
-    return out.view(np.uint64)
-
-
-def _sets(docs: DataFrame, ids: DataFrame, words: int, pack, kind: str) -> DataFrame:
-    """``id, shingles`` of the documents with one of the ids and of a few others: the bitmap drops
-    the rest where they are read, so that texts are never shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(_held(ids))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
-        for b in batches:
-            place = b.column(2).to_numpy().astype(np.uint64)
-            b = b.filter(pa.array((held[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x) for x in shingle_sets(b.column(1), words)], pa.binary() if kind == "binary" else pa.list_(pa.int64()))],
-                                             names=["id", "shingles"])
-
-    return (docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)))
-            .mapInArrow(run, f"id long, shingles {kind}"))
-
-
-def _confirm(pairs: DataFrame, docs: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; an id of several rows stands for all their sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _sets(docs, ids, words, lambda x: x.view(np.int64), "array<bigint>").where(F.size("shingles") > 0)
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    percent = round(100 * threshold)
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct())
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``node, comp`` (smallest node reachable) of every node of some link ``a, b``.
-
-    Alternating large-star and small-star steps, each one aggregation and one join by node, until
-    nothing changes; every step is checkpointed."""
-    edges = links.select("a", "b").where("a <> b").distinct().checkpoint()
-    size = None
-    while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        # small star: edges run from the larger to the smaller end
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = (down.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-                 .select("e.*").where("a <> b").distinct())
-        edges = small.checkpoint()
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == size:
-            break
-        size = now
-    own = edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    return own.union(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+def _small_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id, shingles``: the small sets of the documents with one of the ids."""
+    return links.sets_of(docs, ids, lambda texts: (small_set(x).astype("<u4") if len(x) else x for x in shingle_sets(texts, words)))
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.85, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -378,39 +319,49 @@ def near_duplicates(df: DataFrame, threshold: float = 0.85, words: int = WORDS,
     ``threshold`` (whole percent); ``component_id`` is the smallest id that links reach, ``kept`` whether that is
     the row's own.  Null, empty and wordless texts have an empty set and no links; rows
     without an id are kept, with a null component; rows that share an id are one node,
-    which has the links of all of them.  Other columns are neither read nor returned."""
+    which has the links of all of them.  Other columns are neither read nor returned.  Building the result runs jobs,
+    whose results are checkpointed."""
     checkpoint_dir(df.sparkSession)
+    percent, sets = round(100 * threshold), partial(shingle_sets, words=words)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sig = _signatures(docs, words).checkpoint()
     reps = (sig.where("n > 0 and doc_id is not null").groupBy("ka", "kb")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")).checkpoint())
     bands = _bands(reps)
-    crowded = bands.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
+    # aggregates are stored before they are joined, so that hot buckets can be split
+    crowded = bands.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").checkpoint()
     members = bands.join(crowded, "bucket").checkpoint()
     known = reps.select("rep", "n", "regs")
     first = _first_pairs(members.join(known, "rep").withColumn("comp", F.col("rep")), threshold).checkpoint()
-    links = _confirm(first, docs, threshold, words).checkpoint()
-    comps = components(links).checkpoint()
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = links.confirm(first, docs, percent, sets).unionByName(links.shared_ids(sig, reps))
+    comps = links.components(found)
     placed = (members.join(comps, F.col("rep") == F.col("node"), "left")
               .select("bucket", "m", "rep", F.coalesce("comp", "rep").alias("comp")))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket").checkpoint()
     second = (_second_pairs(placed.join(mixed, "bucket", "left_semi").join(known, "rep"), docs, threshold, words)
-              .join(first, ["a", "b"], "left_anti").checkpoint())
+              .join(tried, ["a", "b"], "left_anti").checkpoint())
     if not second.isEmpty():
-        more = _confirm(second, docs, threshold, words)
-        comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)).checkpoint()
-    classes = (reps.select("ka", "kb", "rep").join(comps, F.col("rep") == F.col("node"), "left")
-               .select("ka", "kb", F.coalesce("comp", "rep").alias("comp")))
-    return (sig.select("doc_id", "n", "ka", "kb").join(classes, ["ka", "kb"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("comp")).otherwise(F.col("doc_id")).cast("long").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+        more = links.confirm(second, docs, percent, sets)
+        comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
+    return links.placed(sig, reps, comps).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, words: int = WORDS) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns; rows that agree
-    in id and text are one. Rows without an id stay."""
-    kept = near_duplicates(docs, threshold, words).where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text", "source", "lang", "n_chars")
-    one = (docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").withColumn("__nth", F.row_number().over(again)).where("__nth = 1").drop("__nth"))
-    return one.unionByName(docs.where("doc_id is null"))
+    """One row of each group of near-duplicates, with all its columns; rows that agree in id and text are one.
+
+    Rows are grouped by their texts alone: an id with several texts is several documents, and rows without an
+    id take part.  The smallest id of a group stays, an id with several texts or none only where the group has no other."""
+    several = (docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+               .where("doc_id is null or lo <> hi").select(F.col("doc_id").alias("__several")).checkpoint())
+    node = F.col("doc_id")
+    named = docs
+    if not several.isEmpty():   # those rows go by a number of their id and text, above ordinary ids
+        named = docs.join(several, F.col("doc_id").eqNullSafe(F.col("__several")), "left")
+        own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+        node = F.when(F.col("doc_id").isNull() | F.col("__several").isNotNull(), own).otherwise(F.col("doc_id"))
+    named = named.withColumn("__node", node)
+    kept = (near_duplicates(named, threshold, words, id_col="__node").where("kept").select(F.col("doc_id").alias("__kept")).distinct())
+    again = Window.partitionBy("__node").orderBy("text", "source", "lang", "n_chars")
+    return (named.join(kept, F.col("__node") == F.col("__kept"), "left_semi").withColumn("__nth", F.row_number().over(again)).where("__nth = 1")
+            .select(docs.columns))

@@ -11,9 +11,10 @@ the rest by hash.  The classes that hold such a shingle are a tile; of tiles wit
    one (rows) are compared, with all members (columns), so a large group of copies is not compared with itself.
    The signature of a set has one parity bit for each of b hash slots.  Two signatures differ in at most as
    many bits as the sets differ in shingles, so ``(|A| + |B| - bits) / 2`` bounds the overlap from above.
-   Rows meet their most alike column and the column that is most often possible; new links grow the components.
-3. Over tiles that still hold several components every pair of different components that the bound allows
-   is confirmed.  So no link between components is left out, and links within one are never needed.
+   A cell gives all pairs of different components that the bound allows if they are few.  A crowded one gives each row's
+   most alike column and the column that is most often possible, and is looked at again when
+   their links have grown the components; the last time it gives every pair.  So no link
+   between components is left out, and links within one are never needed.
 
 Every link rests on the intersection of two full sorted arrays.
 """
@@ -36,6 +37,8 @@ SLOTS = 1 << 16            # counts that tell common shingles from rare ones
 BLOCK = 1024               # rows or columns of a cell
 MIN_BITS, MAX_BITS = 64, 1 << 16
 CELL_WORDS = 1 << 21       # 64-bit words compared at once
+FEW = 4                    # possible pairs for each row or column that make a cell crowded
+ROUNDS = 3                 # the last round gives every pair
 
 
 def band_starts(percent: int, limit: int = 1 << 40) -> np.ndarray:
@@ -180,24 +183,23 @@ class Cell:
             may = (overlap * (100 + self.percent) >= self.percent * both) & (self.comp[r][:, None] != self.comp[c][None, :])
             yield r, overlap / np.maximum(1, both - overlap), may
 
-    def likely(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each row with its most alike column, and with the column that may link to most rows."""
+    def pairs(self, every: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Pairs of different components that the bound allows: all of them, or, if that is not wanted and they are many, each row
+        with its most alike column and with the column that may link to most rows; and whether some are missing."""
         parts, often = [], np.zeros(len(self.cols), dtype=np.int64)
         for r, bound, may in self.bounds():
             often += may.sum(0)
             parts.append((r, np.where(may, bound, -1).argmax(1), may))
+        if every or often.sum() <= FEW * (len(self.rows) + len(self.cols)):
+            found = [(r[i], self.cols[j]) for r, _, may in parts for i, j in [np.nonzero(may)]]
+            return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]), False
         a, b = [], []
         middle = int(often.argmax())
         for r, best, may in parts:
             some = may.any(1)
             a += [r[some], r[may[:, middle]]]
             b += [self.cols[best[some]], np.full(int(may[:, middle].sum()), self.cols[middle])]
-        return np.concatenate(a), np.concatenate(b)
-
-    def possible(self) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs of different components that the bound allows."""
-        found = [(r[i], self.cols[j]) for r, _, may in self.bounds() for i, j in [np.nonzero(may)]]
-        return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+        return np.concatenate(a), np.concatenate(b), True
 
 
 def _cells(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
@@ -222,23 +224,25 @@ def _cells(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame
 
 
 def _pairs(cells: DataFrame, percent: int, every: bool) -> DataFrame:
-    """Distinct pairs ``a < b`` from the cells: the likely ones, or every possible one."""
+    """Distinct pairs ``a < b`` from the cells, and whether they come from a cell that has more."""
     place = ["key", "band", "rb", "cb"]
 
-    def work(held: list) -> tuple[np.ndarray, np.ndarray] | None:
+    def work(held: list) -> list[np.ndarray] | None:
         role, node, n, comp, bits = (np.concatenate(c) for c in zip(*held))
         cell = Cell(role, node, n, comp, bits.tolist(), percent)
         if not len(cell.rows) or not len(cell.cols):
             return None
-        a, b = cell.possible() if every else cell.likely()
+        a, b, more = cell.pairs(every)
         if not len(a):
             return None
         found = np.unique(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])]), axis=1)
-        return found[0], found[1]
+        return [*found, np.full(found.shape[1], more)]
+
+    def batch_of(done: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*done)], names=["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
-        a, b = [], []
+        held, at, done = [], None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -249,19 +253,18 @@ def _pairs(cells: DataFrame, percent: int, every: bool) -> DataFrame:
                 now = tuple(where[:, lo])
                 if at is not None and now != at:
                     if (found := work(held)) is not None:
-                        a.append(found[0])
-                        b.append(found[1])
+                        done.append(found)
                     held = []
                 at = now
                 held.append([v[lo:hi] for v in values])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-                a, b = [], []
+            if done:
+                yield batch_of(done)
+                done = []
         if held and (found := work(held)) is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+            yield batch_of([found])
 
     return (cells.select(*place, "role", "node", "n", "comp", "bits").repartition(*place).sortWithinPartitions(*place)
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,12 +290,14 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
     comps = links.components(found)
     signatures = reps.select(F.col("rep").alias("node"), "ka", "bits")
     members = members.select("key", "node", "ka", "n")
-    for every in (False, True):
+    for k in range(ROUNDS):
         current = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        pairs = _pairs(_cells(current, signatures, percent), percent, every).join(tried, ["a", "b"], "left_anti").checkpoint()
-        if pairs.isEmpty():
-            continue
-        tried = tried.unionByName(pairs)
-        more = links.confirm(pairs, docs, percent, sets)
-        comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
+        pairs = _pairs(_cells(current, signatures, percent), percent, k + 1 == ROUNDS).checkpoint()
+        new = pairs.join(tried, ["a", "b"], "left_anti").select("a", "b").checkpoint()
+        if not new.isEmpty():
+            tried = tried.unionByName(new)
+            more = links.confirm(new, docs, percent, sets)
+            comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
+        if pairs.where("more").isEmpty():
+            break
     return links.placed(sig.select("doc_id", "n", "ka", "kb"), reps, comps)

@@ -49,7 +49,7 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{16,}"),  # runs are maximal, so shorter ones need not be matched and dropped
 )
 #: A private key: up to its END line; where that is missing, over the lines and long or padded words of key characters that follow.
-_KEY = (r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----"
+_KEY = (r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----"
         r"(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*+-----END \1-----"
         r"|(?:(?:\s|\\[nr])*+(?:Proc-Type|DEK-Info): ?[A-Za-z0-9,-]++)*+"
         r"(?:(?:\s|\\[nr])*+(?:[A-Za-z0-9+/]{16,}+=*+|[A-Za-z0-9+/]++=++)"
@@ -62,7 +62,8 @@ MORE_RULES = (
     Rule("google", r"\bAIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
     Rule("stripe", r"\b[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]*+:[^\s/@]++@[a-z0-9]", 0, 0, True),
+    # from the start of a run of scheme characters (or after one sign before it), up to the "@" of the host
+    Rule("url_login", r"(?:(?<![a-z0-9+.-])|(?<=[+.-])(?<![a-z0-9+.-]{2}))[a-z][a-z0-9+.-]*+://[^\s/:@]*+:[^\s/@]++(?=@[a-z0-9])", 0, 0, True),
 )
 RULES = BASE_RULES + MORE_RULES
 
