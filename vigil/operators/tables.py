@@ -124,11 +124,12 @@ def outcome_table(df: DataFrame, by: Sequence[ColumnOrName], outcome: str,
                   levels: Sequence[str] = ("Deceased", "Survived"),
                   total_of: Sequence[str] = ("Deceased", "Survived"), total: str = "Total",
                   pct: Mapping[str, str] | None = None, fill: Sequence[str] = (),
-                  gap: str | None = None) -> DataFrame:
+                  gap: str | None = None, weight: str | None = None) -> DataFrame:
     """Pivot of outcome counts + a total + per-outcome shares of that total.
     A missing cell leaves the total NULL unless the level is in ``fill``
-    (filled with 0).  ``gap`` adds ``abs(first pct - second pct)``."""
-    p = pivot_counts(df, by, outcome, levels)
+    (filled with 0).  ``gap`` adds ``abs(first pct - second pct)``; ``weight`` sums a count
+    column of pre-aggregated rows."""
+    p = pivot_counts(df, by, outcome, levels, weight=weight)
     if fill:
         p = p.fillna(0, subset=list(fill))
     tot = None
@@ -146,13 +147,14 @@ def outcome_table(df: DataFrame, by: Sequence[ColumnOrName], outcome: str,
 # V4 ---------------------------------------------------------------------------
 def two_way_table(df: DataFrame, row: str, column: str, levels: Sequence = (True, False),
                   names: Sequence[str] = ("true", "false"), total: str = "total",
-                  total_label: str = "total", fill: str | None = None) -> DataFrame:
+                  total_label: str = "total", fill: str | None = None, weight: str | None = None) -> DataFrame:
     """Cross-tab with a row total ``"n (p%)"`` per row and a total row whose
     cells are ``"n (p%)"`` of all rows; every cell is text (mixed column).
     Totals count rows, so a cell without rows adds nothing; it shows as
-    ``fill`` (NULL by default, as coded)."""
+    ``fill`` (NULL by default, as coded).  ``weight`` sums a count column of pre-aggregated rows."""
     a, b = names
-    cell = lambda level, name: F.count_if(F.col(column) == F.lit(level)).alias(name)
+    n = F.col(weight) if weight else F.lit(1).cast("bigint")
+    cell = lambda level, name: F.coalesce(F.sum(F.when(F.col(column) == F.lit(level), n)), F.lit(0).cast("bigint")).alias(name)
     p = df.groupBy(row).agg(*[cell(lv, n) for lv, n in zip(levels, names)]).withColumn("__tot", F.col(a) + F.col(b)).where("__tot > 0")
     shown = lambda c: F.when(F.col(c) > 0, F.col(c).cast("string")).otherwise(F.lit(fill)).alias(c)
     body = p.select(F.col(row).cast("string").alias(row), shown(a), shown(b),
@@ -169,11 +171,11 @@ def two_way_table(df: DataFrame, row: str, column: str, levels: Sequence = (True
 def conditional_table(df: DataFrame, row: str, column: str, given: str = "row",
                       levels: Sequence = (True, False), names: Sequence[str] = ("true", "false"),
                       out_names: Sequence[str] = ("true_bcpr", "false_bcpr"),
-                      as_coded: bool = False) -> DataFrame:
+                      as_coded: bool = False, weight: str | None = None) -> DataFrame:
     """Conditional shares as ``"n (p%)"`` text.  ``given="row"``: cell / row
     sum.  ``given="col"``: cell / column sum (``as_coded=True`` divides both
     columns by the first column's sum, as the reference does)."""
-    p = pivot_counts(df, [row], column, levels, dict(zip(levels, names)))
+    p = pivot_counts(df, [row], column, levels, dict(zip(levels, names)), weight)
     a, b = names
     if given == "row":
         da = db = F.col(a) + F.col(b)

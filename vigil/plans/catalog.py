@@ -27,14 +27,14 @@ from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators import collapse as CL
 from vigil.operators.collapse import Side, defibrillation_summary
-from vigil.operators.columns import count_missing, drop_missing, pull
+from vigil.operators.columns import count_missing, drop_missing, pull, relocate, sort_all
 from vigil.operators.dedup import duplicate_keys, keep_first
 from vigil.operators.dedup import fanout_report as fanout_of
 from vigil.operators.geo import collection_centroid, composite_fips
 from vigil.operators.impute import impute_median
 from vigil.operators.joins import exclude_pairs, left_lookup, right_lookup
 from vigil.operators.places import clean_place, extract_dictionary, fair_grounds_city
-from vigil.operators.text import sectionize
+from vigil.operators.text import sectionize, sectionize_rows
 from vigil.sources.io import Tables, apply_type_spec, literal_table, rename_with
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -586,6 +586,16 @@ def sectionize_text(spark, sf_dir):
     return out.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
+@query
+def sectionize_long_documents(spark, sf_dir):
+    """W9 where a document arrives as many rows: four documents made of all turns; only every fifth turn opens
+    with a header line of its own, which carries on into the turns after it."""
+    t = Tables(spark, sf_dir)
+    head = F.when((F.col("conv_id") + F.col("turn")) % 5 == 0, F.concat(F.lit("Turn "), F.col("conv_id").cast("string"), F.lit(":\n"))).otherwise("")
+    rows = t.conversations.select((F.col("conv_id") % 4).alias("doc"), "conv_id", "turn", F.concat(head, "text", F.when(F.col("turn") == 3, "\nlast:").otherwise("")).alias("text"))
+    return sectionize_rows(rows, ["doc"], ["conv_id", "turn"], "text").withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
 # M8-M12 ------------------------------------------------------------------------
 @query
 def outcome_flags(spark, sf_dir):
@@ -1054,6 +1064,66 @@ def incident_fanout_reports(spark, sf_dir):
     return part("district").unionByName(part("urbanicity"))
 
 
+# X5 table by table ------------------------------------------------------------------
+def analog_report_base(t: Tables) -> DataFrame:
+    """Built incident rows (the columns that reports read) from every order, its customer and nation.  Incidents of every
+    fourth nation come twice, as after a fan-out (a place in two counties): only the gazetteer's columns differ."""
+    ok, ck, nk = F.col("o_orderkey"), F.col("o_custkey"), F.col("n_nationkey")
+    x = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == nk))
+    place = F.when(ok % 9 != 0, F.col("n_name"))
+    x = x.select(
+        ok.cast("string").alias("unique_incident_id"), F.col("o_orderdate").cast("date").alias("date_of_use"), (ok % 86400).alias("amb_toc"),
+        F.when(ck % 17 != 0, F.concat(F.lit("Agency "), (ck % 40).cast("string"))).alias("agency"), year_of("o_orderdate").alias("year"),
+        F.element_at(F.array(*map(F.lit, ("Cardiac", "OD", "Other", "Unknown", "Trauma"))), (ok % 5 + 1).cast("int")).alias("call_type"),
+        F.when(nk % 6 != 5, F.col("n_regionkey").cast("string")).alias("district"), place.alias("location"),
+        F.when(nk != 7, nk + F.lit(0.25)).alias("latitude"), (nk * -1.5).alias("longitude"),
+        F.when(ok % 10 != 0, ok % 3 == 0).alias("witnessed"), F.when(ok % 14 != 0, ck % 2 == 0).alias("bystander_cpr"),
+        F.when(ck % 50 == 0, F.concat(F.lit("Rare "), (ck % 1000).cast("string"))).otherwise(F.col("o_orderpriority")).alias("agency_type"),
+        order_survival().alias("survival"), F.when(ok % 8 == 1, "F").when(ok % 8 == 2, "M").when(ok % 8 == 3, "X").alias("sex"),
+        F.when(ok % 12 != 0, F.concat(F.lit("band "), (ck % 6).cast("string"))).alias("age_range"),
+        F.when(nk % 5 != 0, F.concat(F.lit("Area "), (nk % 3).cast("string"))).alias("urbanicity"),
+        F.when(ok % 5 == 2, F.concat(F.lit("case "), (ck % 7).cast("string"))).alias("other_case"), nk.alias("n_nationkey"))
+    again = x.where((F.col("n_nationkey") % 4 == 0) & F.col("location").isNotNull()).withColumns({"district": F.lit("99"), "urbanicity": F.lit("Mixed")})
+    return x.unionByName(again).drop("n_nationkey")
+
+
+REPORTS = ("total_deployments", "total_responding_agencies", "agencies_by_year", "deployments_by_year", "deployments_change", "deployments_by_district",
+           "deployments_by_city", "location_counts", "distinct_locations", "missing_locations", "deployments_by_calltype", "calltype_by_year",
+           "calltype_share_within_year", "witnessed_bystander_cpr", "conditional_witnessed", "conditional_bcpr", "agency_type_pareto", "survival_by_year",
+           "survival_by_year_long", "gender_distribution", "age_distribution", "survival_by_calltype", "survival_by_urbanicity", "other_causes")
+
+
+def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        from vigil.plans.reports import report_set
+        return report_set(analog_report_base(Tables(spark, sf_dir)))[name]
+    run.__name__ = f"report_{name}"
+    run.__doc__ = f"X5: the table ``{name}`` of the report set."
+    return run
+
+
+for _name in REPORTS:
+    query(_report(_name))
+
+
+# P4 O3 ------------------------------------------------------------------------------
+@query
+def relocated_columns(spark, sf_dir):
+    """Every order's columns moved around anchors, written out in their new order."""
+    x = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    x = relocate(x, ["o_orderpriority", "o_orderstatus"], before="o_custkey")
+    x = relocate(x, "o_custkey", after="o_orderpriority")
+    return x.select("o_orderkey", F.concat_ws("|", *x.columns).alias("line"))
+
+
+@query
+def sorted_by_all_columns(spark, sf_dir):
+    """O3: counts sorted by every column, missing last, numbered as they come (a category table, so one partition)."""
+    flag, line = F.when(F.col("l_orderkey") % 5 != 0, F.col("l_returnflag")), F.when(F.col("l_suppkey") % 3 != 0, F.col("l_linenumber"))
+    counts = A.count_by(Tables(spark, sf_dir).lineitem.select(flag.alias("flag"), "l_linestatus", line.alias("line")), ["flag", "l_linestatus", "line"], "n")
+    return sort_all(counts).coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 # V3 + T15 labels ------------------------------------------------------------------
 @query
 def outcome_labels(spark, sf_dir):

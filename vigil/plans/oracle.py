@@ -481,6 +481,84 @@ def _incident_reports_sql(which: str) -> str:
         SELECT location, n, n / sum(n) OVER () AS percent FROM c QUALIFY n > 46"""
 
 
+# The analogue of built incidents, its copies, and the rows that keep-first leaves
+_REPORT_BASE = """
+    x AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_custkey % 17 <> 0 THEN 'Agency ' || CAST(o_custkey % 40 AS VARCHAR) END AS agency,
+                 CAST(year(o_orderdate) AS BIGINT) AS year,
+                 CASE o_orderkey % 5 WHEN 0 THEN 'Cardiac' WHEN 1 THEN 'OD' WHEN 2 THEN 'Other' WHEN 3 THEN 'Unknown' ELSE 'Trauma' END AS call_type,
+                 CASE WHEN n_nationkey % 6 <> 5 THEN CAST(n_regionkey AS VARCHAR) END AS district, CASE WHEN o_orderkey % 9 <> 0 THEN n_name END AS location,
+                 CASE WHEN n_nationkey <> 7 THEN CAST(n_nationkey AS DOUBLE) + 0.25 END AS latitude, CAST(n_nationkey AS DOUBLE) * -1.5 AS longitude,
+                 CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey % 3 = 0 END AS witnessed, CASE WHEN o_orderkey % 14 <> 0 THEN o_custkey % 2 = 0 END AS bcpr,
+                 CASE WHEN o_custkey % 50 = 0 THEN 'Rare ' || CAST(o_custkey % 1000 AS VARCHAR) ELSE o_orderpriority END AS agency_type,
+                 CASE o_orderstatus WHEN 'F' THEN 'Deceased' WHEN 'O' THEN 'Survived' ELSE 'Unknown' END AS s,
+                 CASE o_orderkey % 8 WHEN 1 THEN 'F' WHEN 2 THEN 'M' WHEN 3 THEN 'X' END AS sex,
+                 CASE WHEN o_orderkey % 12 <> 0 THEN 'band ' || CAST(o_custkey % 6 AS VARCHAR) END AS age_range,
+                 CASE WHEN n_nationkey % 5 <> 0 THEN 'Area ' || CAST(n_nationkey % 3 AS VARCHAR) END AS urbanicity,
+                 CASE WHEN o_orderkey % 5 = 2 THEN 'case ' || CAST(o_custkey % 7 AS VARCHAR) END AS other_case, n_nationkey
+          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+    inc AS (SELECT * FROM x UNION ALL
+            SELECT * REPLACE ('99' AS district, 'Mixed' AS urbanicity) FROM x WHERE n_nationkey % 4 = 0 AND location IS NOT NULL),
+    u AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY id ORDER BY district NULLS LAST, urbanicity NULLS LAST) = 1)"""
+
+
+def _report_outcomes(by: str, total: str = '"Total"', where: str = "true") -> str:
+    return (f"p AS (SELECT {by}, nullif(count(*) FILTER (WHERE s = 'Deceased'), 0) AS \"Deceased\", nullif(count(*) FILTER (WHERE s = 'Survived'), 0) AS \"Survived\", "
+            f"nullif(count(*) FILTER (WHERE s = 'Unknown'), 0) AS \"Unknown\" FROM u WHERE {where} GROUP BY 1), "
+            f"o AS (SELECT *, \"Deceased\" + \"Survived\" AS {total}, \"Survived\" / (\"Deceased\" + \"Survived\") AS ps, \"Deceased\" / (\"Deceased\" + \"Survived\") AS pd FROM p)")
+
+
+def _report_sql() -> dict[str, str]:
+    surv = 'ps AS "Pct_Survived", pd AS "Pct_Deceased"'
+    wb = "wb AS (SELECT * FROM u WHERE witnessed IS NOT NULL AND bcpr IS NOT NULL), w AS (SELECT witnessed, count(*) FILTER (WHERE bcpr) AS t, count(*) FILTER (WHERE NOT bcpr) AS f FROM wb GROUP BY 1)"
+    name = lambda c: f"SELECT coalesce({c}, 'Not Recorded') AS {c}, count(*) AS n, count(*) / sum(count(*)) OVER () AS percent FROM u GROUP BY 1"
+    tables = {
+        "total_deployments": "SELECT count(*) AS n FROM u",
+        "total_responding_agencies": "SELECT count(DISTINCT agency) + max(CASE WHEN agency IS NULL THEN 1 ELSE 0 END) AS n FROM inc",
+        "agencies_by_year": "SELECT year, count(DISTINCT agency) AS n FROM inc GROUP BY 1",
+        "deployments_by_year": 'SELECT year, count(*) AS "count" FROM u GROUP BY 1',
+        "deployments_change": 'SELECT year, "count", "count" - lag("count") OVER (ORDER BY year) AS change, ("count" - lag("count") OVER (ORDER BY year)) / "count" * 100 AS pct_change '
+                              'FROM (SELECT year, count(*) AS "count" FROM u GROUP BY 1)',
+        "deployments_by_district": name("district"),
+        "deployments_by_city": f"SELECT * FROM ({name('location')}) WHERE n > 46",
+        "location_counts": """SELECT location, latitude, longitude, n, CASE WHEN n <= q80 THEN 10 WHEN n < q90 THEN 15 WHEN n < q99 THEN 20 ELSE 25 END AS quantiles,
+               CASE WHEN n <= q80 THEN '01-06' WHEN n < q90 THEN '06-11' WHEN n < q99 THEN '11-47' ELSE '47+' END AS quantile_labels
+               FROM c, (SELECT quantile_cont(n, 0.8) AS q80, quantile_cont(n, 0.9) AS q90, quantile_cont(n, 0.99) AS q99 FROM c)""",
+        "distinct_locations": "SELECT count(DISTINCT location) AS n FROM inc",
+        "missing_locations": "SELECT count(*) AS n FROM inc WHERE location IS NULL",
+        "deployments_by_calltype": 'SELECT call_type, count(*) AS "count", count(*) / sum(count(*)) OVER () AS percent FROM u GROUP BY 1',
+        "calltype_by_year": 'SELECT year, call_type, count(*) AS "count" FROM u GROUP BY 1, 2',
+        "calltype_share_within_year": """SELECT year, call_type, "count", "count" / sum("count") OVER (PARTITION BY year) AS percent
+               FROM (SELECT year, call_type, count(*) AS "count" FROM u WHERE call_type <> 'Unknown' GROUP BY 1, 2)""",
+        "witnessed_bystander_cpr": f"""SELECT CAST(witnessed AS VARCHAR) AS witnessed, CAST(t AS VARCHAR) AS "true", CAST(f AS VARCHAR) AS "false",
+               {_label("t + f", "(t + f) / sum(t + f) OVER ()")} AS total FROM w
+               UNION ALL SELECT 'total', {_label("sum(t)::BIGINT", "sum(t) / sum(t + f)")}, {_label("sum(f)::BIGINT", "sum(f) / sum(t + f)")}, CAST(sum(t + f)::BIGINT AS VARCHAR) FROM w""",
+        "conditional_witnessed": f"SELECT witnessed, {_label('t', 't / (t + f)')} AS true_bcpr, {_label('f', 'f / (t + f)')} AS false_bcpr FROM w",
+        "conditional_bcpr": f"SELECT witnessed, {_label('t', 't / sum(t) OVER ()')} AS true_bcpr, {_label('f', 'f / sum(f) OVER ()')} AS false_bcpr FROM w",
+        "agency_type_pareto": """SELECT agency_type, CAST(cnt AS BIGINT) AS "count", cnt / sum(cnt) OVER () AS percent,
+               sum(cnt) OVER (ORDER BY first, agency_type ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(cnt) OVER () AS cumpercent
+               FROM (SELECT CASE WHEN k < 6 THEN 'Other' ELSE agency_type END AS agency_type, sum(k) AS cnt, min(k) AS first
+                     FROM (SELECT agency_type, count(*) AS k FROM u GROUP BY 1) GROUP BY 1)""",
+        "survival_by_year": f'SELECT year, "Deceased", "Survived", "Total", {surv} FROM o',
+        "survival_by_year_long": "SELECT year, 'Pct_Survived' AS variable, ps AS value FROM o UNION ALL SELECT year, 'Pct_Deceased', pd FROM o",
+        "gender_distribution": """SELECT "Sex", s1 AS "Survived", d AS "Deceased", d + s1 AS "Total", printf('%.2f%%', s1 / (s1 + d) * 100) AS "Percent_Survived_By_Sex",
+               printf('%.2f%%', s1 / (sum(s1) OVER () + sum(d) OVER ()) * 100) AS "Percent_Survived_Overall"
+               FROM (SELECT CASE sex WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male' ELSE 'Unknown' END AS "Sex",
+                            nullif(count(*) FILTER (WHERE s = 'Survived'), 0) AS s1, count(*) FILTER (WHERE s = 'Deceased') AS d FROM u GROUP BY 1)""",
+        "age_distribution": f'SELECT age_range, "Deceased", "Survived", "Total", {surv} FROM o',
+        "survival_by_calltype": 'SELECT call_type, "Deceased", "Survived", total, ps AS percent_survived_by_group, pd AS percent_deceased_by_group, abs(ps - pd) AS line_length FROM o',
+        "survival_by_urbanicity": """SELECT coalesce(urbanicity, 'Not Known') AS urbanicity, "Deceased", "Survived", total, ps AS percent_survived, pd AS percent_deceased,
+               format('{:,}', "Survived") || ' (' || printf('%.2f%%', ps * 100) || ')' AS label_survived,
+               format('{:,}', "Deceased") || ' (' || printf('%.2f%%', pd * 100) || ')' AS label_deceased FROM o""",
+        "other_causes": 'SELECT other_case, count(*) AS "count", count(*) / sum(count(*)) OVER () AS percent FROM u WHERE other_case IS NOT NULL GROUP BY 1',
+    }
+    before = {"location_counts": "c AS (SELECT location, latitude, longitude, count(*) AS n FROM u WHERE location IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3)",
+              "witnessed_bystander_cpr": wb, "conditional_witnessed": wb, "conditional_bcpr": wb,
+              "survival_by_year": _report_outcomes("year"), "survival_by_year_long": _report_outcomes("year"),
+              "age_distribution": _report_outcomes("age_range", where="age_range IS NOT NULL"),
+              "survival_by_calltype": _report_outcomes("call_type", "total"), "survival_by_urbanicity": _report_outcomes("urbanicity", "total")}
+    return {f"report_{k}": f"WITH {_REPORT_BASE}{', ' + before[k] if k in before else ''} {v}" for k, v in tables.items()}
+
+
 def _map_frame_sql() -> str:
     st = _mortality_sql("state")
     verts = " UNION ALL ".join(
@@ -501,6 +579,22 @@ def _map_frame_sql() -> str:
 
 
 SQL: dict[str, str] = {
+    **_report_sql(),
+    "sectionize_long_documents": """
+        WITH r AS (SELECT conv_id % 4 AS doc, conv_id, turn, CASE WHEN (conv_id + turn) % 5 = 0 THEN 'Turn ' || CAST(conv_id AS VARCHAR) || ':' || chr(10) ELSE '' END
+                          || text || CASE WHEN turn = 3 THEN chr(10) || 'last:' ELSE '' END AS text FROM conversations),
+        p AS (SELECT doc, conv_id, turn, string_split(text, chr(10)) AS parts FROM r),
+        l AS (SELECT doc, conv_id, turn, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM p),
+        s AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l),
+        h AS (SELECT *, CASE WHEN t LIKE '%:' THEN replace(t, ':', '') END AS head FROM s),
+        f AS (SELECT *, coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY doc ORDER BY conv_id, turn, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'General') AS cat FROM h)
+        SELECT doc, conv_id, turn, CAST(line_no AS BIGINT) AS line_no, cat AS "Category", t AS "Detail" FROM f WHERE head IS NULL AND t <> ''""",
+    "relocated_columns": """
+        SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '|' || o_orderpriority || '|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus AS line FROM orders""",
+    "sorted_by_all_columns": """
+        WITH c AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN l_returnflag END AS flag, l_linestatus,
+                          CASE WHEN l_suppkey % 3 <> 0 THEN l_linenumber END AS line, count(*) AS n FROM lineitem GROUP BY ALL)
+        SELECT *, row_number() OVER (ORDER BY flag NULLS LAST, l_linestatus NULLS LAST, line NULLS LAST, n) AS place FROM c""",
     "mortality_map_frame": _map_frame_sql(),
     "outcome_labels": f"""
         WITH p AS ({_outcome_pivot("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END",

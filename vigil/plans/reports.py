@@ -1,16 +1,15 @@
 """X5 report set, X6 fiscal-year performance, X7 mortality map tables.
 
-Every report starts from the SAME deduplicated incident table
-(``unique_incidents``: keep-first per surrogate id), built once; callers that
-produce many reports from it should ``persist()`` it or write it with
-``sources.io.materialize`` (which also cuts lineage).  Reports are small
-aggregates; whole-table windows only run on category-bounded aggregates.
+The report set is one job: ``report_counts`` numbers the rows of each incident and counts
+by all groupings the reports need (grouping sets) in one pass, its small result is stored, and every table is derived
+from that.  Single reports start from ``unique_incidents`` (keep-first per surrogate id).
+Whole-table windows only run on category-bounded aggregates.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions import rules as R
@@ -19,10 +18,10 @@ from vigil.functions.strings import pad_left, pct_fixed, remove_first, squish, t
 from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
 from vigil.operators.columns import drop_missing
-from vigil.operators.dedup import keep_first
+from vigil.operators.dedup import keep_first, order_columns
 from vigil.operators.geo import composite_fips, polygon_terms
 from vigil.operators.joins import left_lookup, right_lookup
-from vigil.session import checkpoint_dir, checkpointed
+from vigil.session import checkpointed
 
 ID = "unique_incident_id"
 
@@ -54,58 +53,97 @@ def location_counts(u: DataFrame) -> DataFrame:
     return TB.quantile_bin(c, "n").orderBy("location")
 
 
+# the columns that the reports count by, and the groupings they need of them
+REPORT_DIMS = ["year", "call_type", "district", "location", "latitude", "longitude", "witnessed", "bystander_cpr", "agency_type",
+               "survival", "sex", "age_range", "urbanicity", "other_case", "agency"]
+REPORT_SETS: dict[str, list[str]] = {
+    "year": ["year"], "year_call_type": ["year", "call_type"], "call_type": ["call_type"], "district": ["district"], "location": ["location"],
+    "place": ["location", "latitude", "longitude"], "agency": ["agency"], "year_agency": ["year", "agency"], "agency_type": ["agency_type"],
+    "witnessed_cpr": ["witnessed", "bystander_cpr"], "survival_year": ["year", "survival"], "survival_sex": ["sex", "survival"],
+    "survival_age": ["age_range", "survival"], "survival_call_type": ["call_type", "survival"], "survival_urbanicity": ["urbanicity", "survival"],
+    "other_case": ["other_case"]}
+
+
+def report_counts(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_toc", "agency")) -> DataFrame:
+    """Every count that the reports need, from ONE pass over the incidents: ``grouping, <columns>, n, rows``.
+
+    ``rows`` counts all rows of a group, ``n`` those that ``unique_incidents`` would keep (the first row of its
+    incident).  All groupings are expanded and partially aggregated in the map tasks, so a handful of small rows a
+    task is shuffled for them; the one data-sized shuffle orders the rows of an incident."""
+    dims = [c for c in REPORT_DIMS if c in incidents.columns]
+    named = [c for c in order_by if isinstance(c, str)]
+    need = list(dict.fromkeys([ID, *named, *dims]))
+    x = incidents.select(*need, *[c.alias(f"__o{i}") for i, c in enumerate(order_by) if not isinstance(c, str)])
+    rest = [c for c in x.columns if c != ID and c not in named]
+    first = Window.partitionBy(ID).orderBy(*order_columns([c if isinstance(c, str) else F.col(f"__o{i}") for i, c in enumerate(order_by)]), *order_columns(rest))
+    x = x.select(*dims, (F.row_number().over(first) == 1).alias("__first"))
+    sets = {name: by for name, by in REPORT_SETS.items() if set(by) <= set(dims)}
+    # a grouping's id has a bit for each column that it lacks, the first column's bit the highest
+    lacks = {name: sum(1 << (len(dims) - 1 - i) for i, c in enumerate(dims) if c not in by) for name, by in sets.items()}
+    name_of = F.create_map(*[F.lit(v) for name, k in lacks.items() for v in (k, name)])
+    counts = x.groupingSets([[F.col(c) for c in by] for by in sets.values()], *dims).agg(
+        F.grouping_id().cast("int").alias("__gid"), F.count_if("__first").alias("n"), F.count(F.lit(1)).alias("rows"))
+    return counts.select(F.element_at(name_of, F.col("__gid")).alias("grouping"), *dims, "n", "rows")
+
+
 def report_set(incidents: DataFrame, order_by: Sequence = ("date_of_use", "amb_toc", "agency"),
-               lump_below: int = R.LUMP_BELOW, checkpoint: bool = False) -> dict[str, DataFrame]:
-    """All report tables keyed by name (lazy DataFrames).
-
-    ``checkpoint=True`` writes the deduplicated incidents once to the shared
-    ``spark.checkpoint.dir`` (reliable checkpoint: survives executor loss and
-    cuts lineage), so the ~25 reports do not each recompute the keep-first
-    shuffle."""
-    u = unique_incidents(incidents, order_by)
-    if checkpoint:
-        checkpoint_dir(incidents.sparkSession)
-        u = u.checkpoint(eager=True)
-    by_year = A.count_by(u, ["year"], "count")
-    ct_year = A.count_by(u, ["year", "call_type"], "count")
-    wb = drop_missing(u, ["witnessed", "bystander_cpr"])
-    agency = A.count_by(u, ["agency_type"], "count")
+               lump_below: int = R.LUMP_BELOW) -> dict[str, DataFrame]:
+    """All report tables keyed by name.
+
+    The incidents are read once: ``report_counts`` is checkpointed (a job runs), and the tables are small
+    lazy plans over it.  Its rows are bounded by the categories counted (years, call types, places, ...)."""
+    stored = checkpointed(report_counts(incidents, order_by))
+
+    def counts(name: str, kept: bool = True) -> DataFrame:
+        c = stored.where(F.col("grouping") == name)
+        return (c.where("n > 0") if kept else c).select(*REPORT_SETS[name], "n", "rows")
+
+    def by_name(name: str, c: str) -> DataFrame:
+        g = counts(name).withColumn(c, F.coalesce(squish(to_text(c)), F.lit(R.NOT_RECORDED))).groupBy(c).agg(F.sum("n").alias("n"))
+        return TB.share(g, "n", "percent", bounded=True).orderBy(F.desc("percent"), c)
+
+    def shares(name: str, c: str) -> DataFrame:
+        return TB.share(drop_missing(counts(name), [c]) if c == "other_case" else counts(name), "n", "percent", bounded=True).select(c, F.col("n").alias("count"), "percent")
+
+    def outcomes(name: str, c: str, **more) -> DataFrame:
+        return TB.outcome_table(counts(name), [c], "survival", weight="n", **more)
+
+    by_year = counts("year").select("year", F.col("n").alias("count"))
+    ct_year = counts("year_call_type").select("year", "call_type", F.col("n").alias("count"))
+    wb = drop_missing(counts("witnessed_cpr"), ["witnessed", "bystander_cpr"])
+    agency = counts("agency_type").select("agency_type", F.col("n").alias("count"))
+    place = drop_missing(counts("place"), ["location", "latitude", "longitude"]).select("location", "latitude", "longitude", "n")
+    total = lambda df, c: df.agg(F.coalesce(c, F.lit(0).cast("bigint")).alias("n"))
     surv = {"Pct_Survived": "Survived", "Pct_Deceased": "Deceased"}
     out = {
-        "total_deployments": u.agg(F.count(F.lit(1)).alias("n")),
-        "total_responding_agencies": A.n_distinct(incidents, "agency"),
-        "agencies_by_year": A.distinct_per_group(incidents, ["year"], "agency", "n").orderBy("year"),
+        "total_deployments": total(by_year, F.sum("count")),
+        "total_responding_agencies": total(counts("agency", kept=False), F.count(F.lit(1))),
+        "agencies_by_year": counts("year_agency", kept=False).groupBy("year").agg(F.count("agency").alias("n")).orderBy("year"),
         "deployments_by_year": by_year.orderBy("year"),
         "deployments_change": TB.lag_change(by_year, "year", "count"),
-        "deployments_by_district": deployments_by_group(u, "district"),
-        "deployments_by_city": deployments_by_city(u),
-        "location_counts": location_counts(u),
-        "distinct_locations": incidents.where(F.col("location").isNotNull()).agg(
-            F.count_distinct("location").alias("n")),
-        "missing_locations": incidents.agg(F.count_if(F.col("location").isNull()).alias("n")),
-        "deployments_by_calltype": A.count_share(u, ["call_type"], "count", "percent").orderBy("call_type"),
+        "deployments_by_district": by_name("district", "district"),
+        "deployments_by_city": by_name("location", "location").where(F.col("n") > R.CITY_REPORT_MIN_N),
+        "location_counts": TB.quantile_bin(place, "n").orderBy("location"),
+        "distinct_locations": total(counts("location", kept=False), F.count("location")),
+        "missing_locations": total(counts("location", kept=False).where("location is null"), F.sum("rows")),
+        "deployments_by_calltype": shares("call_type", "call_type").orderBy("call_type"),
         "calltype_by_year": ct_year.orderBy("year", "call_type"),
-        "calltype_share_within_year": TB.share(ct_year.where(F.col("call_type") != "Unknown"), "count", "percent",
-                                               by=["year"]),
-        "witnessed_bystander_cpr": TB.two_way_table(wb, "witnessed", "bystander_cpr"),
-        "conditional_witnessed": TB.conditional_table(wb, "witnessed", "bystander_cpr", "row"),
-        "conditional_bcpr": TB.conditional_table(wb, "witnessed", "bystander_cpr", "col"),
+        "calltype_share_within_year": TB.share(ct_year.where(F.col("call_type") != "Unknown"), "count", "percent", by=["year"]),
+        "witnessed_bystander_cpr": TB.two_way_table(wb, "witnessed", "bystander_cpr", weight="n"),
+        "conditional_witnessed": TB.conditional_table(wb, "witnessed", "bystander_cpr", "row", weight="n"),
+        "conditional_bcpr": TB.conditional_table(wb, "witnessed", "bystander_cpr", "col", weight="n"),
         "agency_type_pareto": TB.pareto(agency, "agency_type", "count", lump_below=lump_below),
-        "survival_by_year": TB.outcome_table(u, ["year"], "survival", pct=surv).orderBy("year"),
-        "gender_distribution": TB.outcome_by_recode(u, "sex", "survival", {"F": "Female", "M": "Male"}),
-        "age_distribution": TB.outcome_table(drop_missing(u, ["age_range"]), ["age_range"], "survival", pct=surv)
-        .orderBy(F.desc_nulls_first("Pct_Survived")),
-        "survival_by_calltype": TB.outcome_table(
-            u, ["call_type"], "survival", total="total",
-            pct={"percent_survived_by_group": "Survived", "percent_deceased_by_group": "Deceased"},
-            gap="line_length").orderBy(F.desc_nulls_first("percent_survived_by_group")),
-        "other_causes": A.count_share(drop_missing(u, ["other_case"]), ["other_case"], "count", "percent")
-        .orderBy(F.desc("percent")),
+        "survival_by_year": outcomes("survival_year", "year", pct=surv).orderBy("year"),
+        "gender_distribution": TB.outcome_by_recode(counts("survival_sex"), "sex", "survival", {"F": "Female", "M": "Male"}, weight="n"),
+        "age_distribution": outcomes("survival_age", "age_range", pct=surv).where(F.col("age_range").isNotNull()).orderBy(F.desc_nulls_first("Pct_Survived")),
+        "survival_by_calltype": outcomes("survival_call_type", "call_type", total="total", gap="line_length",
+                                         pct={"percent_survived_by_group": "Survived", "percent_deceased_by_group": "Deceased"})
+        .orderBy(F.desc_nulls_first("percent_survived_by_group")),
+        "other_causes": shares("other_case", "other_case").orderBy(F.desc("percent")),
     }
     out["survival_by_year_long"] = TB.unpivot(out["survival_by_year"].select("year", "Pct_Survived", "Pct_Deceased"),
                                               ["year"], ["Pct_Survived", "Pct_Deceased"]).orderBy("year")
-    urb = TB.outcome_table(u, ["urbanicity"], "survival", total="total",
-                           pct={"percent_survived": "Survived", "percent_deceased": "Deceased"})
+    urb = outcomes("survival_urbanicity", "urbanicity", total="total", pct={"percent_survived": "Survived", "percent_deceased": "Deceased"})
     out["survival_by_urbanicity"] = urb.withColumns({
         "label_survived": F.concat(with_commas("Survived"), F.lit(" ("), pct_fixed("percent_survived"), F.lit(")")),
         "label_deceased": F.concat(with_commas("Deceased"), F.lit(" ("), pct_fixed("percent_deceased"), F.lit(")")),
