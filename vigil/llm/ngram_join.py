@@ -5,10 +5,11 @@ threshold only if they share a shingle among the first ``n - ceil(t n) + 1`` of
 here common shingles go last (by a table of ``SLOTS`` counts over all documents) and
 the rest by hash.  The classes that hold such a shingle are a tile; of tiles with the same members one stays.
 
-1. Each member is paired with its tile's smallest one; pairs are confirmed on full sets, links give components.
+1. Each member is paired with its tile's hub, the one that lies in most tiles (an original shares all its shingles, its
+   edited copies do not); pairs are confirmed on full sets, links give components.
 2. Tiles that still hold several components are cut into size bands, one band wide enough that only
-   neighbouring bands can link, and hot ones into blocks.  Only members outside the component of the tile's smallest
-   one (rows) are compared, with all members (columns), so a large group of copies is not compared with itself.
+   neighbouring bands can link, and hot ones into blocks.  Only members outside the component of the tile's
+   hub (rows) are compared, with all members (columns), so a large group of copies is not compared with itself.
    The signature of a set has one parity bit for each of b hash slots.  Two signatures differ in at most as
    many bits as the sets differ in shingles, so ``(|A| + |B| - bits) / 2`` bounds the overlap from above.
    A cell gives all pairs of different components that the bound allows if they are few.  A crowded one gives each row's
@@ -33,7 +34,7 @@ from vigil.llm.near_dup import shingle_sets
 from vigil.session import checkpoint_dir
 
 WORDS = 5
-SLOTS = 1 << 16            # counts that tell common shingles from rare ones
+SLOTS = 1 << 21            # counts that tell common shingles from rare ones, and bytes of the table that is broadcast
 BLOCK = 1024               # rows or columns of a cell
 MIN_BITS, MAX_BITS = 64, 1 << 16
 CELL_WORDS = 1 << 21       # 64-bit words compared at once
@@ -67,34 +68,43 @@ def fold(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(65 - SLOTS.bit_length())).astype(np.int64)
+
+
 def prefix(shingles: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
     """The first ``n - ceil(percent n / 100) + 1`` shingles, common ones last, then by hash."""
     n = len(shingles)
     keep = n - -(-percent * n // 100) + 1
-    order = np.argsort(common[(shingles >> np.uint64(48)).astype(np.int64)], kind="stable")   # the shingles are sorted
+    order = np.argsort(common[_slot(shingles)], kind="stable")   # the shingles are sorted
     return shingles[order[:keep]]
 
 
 def common_slots(docs: DataFrame, words: int) -> np.ndarray:
-    """For each slot of the hash range how much more than its share of all shingles it holds, as a power of two
-    (0: not more).  One row a slot reaches the driver."""
+    """For each slot of the hash range the logarithm of its count, 0 where it is nothing special.
+
+    Every task counts all shingles of its documents and reports the slots that stand out (by more than four
+    standard deviations of a slot with its share).  Any table gives a right result, it only settles an order.  At most one row a slot
+    reaches the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, part, size = np.zeros(SLOTS, dtype=np.int64), [], 0
         for b in batches:
             for s in shingle_sets(b.column(0), words):
-                part.append((s >> np.uint64(48)).astype(np.int64))
+                part.append(s)
                 size += len(s)
                 if size > 1 << 20:
-                    total += np.bincount(np.concatenate(part), minlength=SLOTS)
+                    total += np.bincount(_slot(np.concatenate(part)), minlength=SLOTS)
                     part, size = [], 0
-        total += np.bincount(np.concatenate([np.zeros(0, dtype=np.int64), *part]), minlength=SLOTS)
-        at = np.flatnonzero(total)
+        if part:
+            total += np.bincount(_slot(np.concatenate(part)), minlength=SLOTS)
+        mean = total.sum() / SLOTS
+        at = np.flatnonzero(total > mean + 4 * np.sqrt(mean) + 1)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
 
-    counts = np.ones(SLOTS, dtype=np.float64)
-    for r in docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        counts[r.slot] = max(1, r.n)
-    return np.clip(np.floor(np.log2(counts / counts.mean())), 0, 62).astype(np.uint8)
+    found = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(SLOTS, dtype=np.uint8)
+    out[found["slot"].to_numpy(np.int64)] = np.floor(np.log2(found["n"].to_numpy(np.float64))).astype(np.uint8) + 1
+    return out
 
 
 def _signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -155,12 +165,15 @@ def _similar_size(a: Column, b: Column, percent: int) -> Column:
 
 
 def _tiles(reps: DataFrame) -> DataFrame:
-    """``key, node, ka, n, hub`` of the members of every tile of two classes or more; of tiles with
-    equal members (told by their number, the smallest one and 64 bits of hashes) the one with the smallest key."""
-    shared = (_keys(reps).groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("hub"), F.bit_xor(F.xxhash64("node", "ka")).alias("who"))
+    """``key, node, ka, n, tiles`` of the members of every tile of two classes or more, ``tiles`` being the number
+    that the member lies in; of tiles with equal members (told by their number,
+    the smallest one and 64 bits of hashes) the one with the smallest key."""
+    shared = (_keys(reps).groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("least"), F.bit_xor(F.xxhash64("node", "ka")).alias("who"))
               .where("m > 1"))
-    tiles = shared.groupBy("m", "hub", "who").agg(F.min("key").alias("key")).select("key", "hub").checkpoint()
-    return _keys(reps, _chosen(tiles)).join(tiles, "key")
+    tiles = shared.groupBy("m", "least", "who").agg(F.min("key").alias("key")).select("key").checkpoint()
+    members = _keys(reps, _chosen(tiles)).join(tiles, "key").checkpoint()
+    often = members.groupBy("node", "ka").agg(F.count("*").alias("tiles")).checkpoint()
+    return members.join(often, ["node", "ka"])
 
 
 class Cell:
@@ -183,31 +196,30 @@ class Cell:
             may = (overlap * (100 + self.percent) >= self.percent * both) & (self.comp[r][:, None] != self.comp[c][None, :])
             yield r, overlap / np.maximum(1, both - overlap), may
 
-    def pairs(self, every: bool) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Pairs of different components that the bound allows: all of them, or, if that is not wanted and they are many, each row
-        with its most alike column and with the column that may link to most rows; and whether some are missing."""
+    def pairs(self, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """Pairs of different components that the bound allows, a slice of rows at a time: all of them, or, if that is not wanted and
+        they are many, each row with its most alike column and with the column that may link to most rows; and whether some are missing."""
         parts, often = [], np.zeros(len(self.cols), dtype=np.int64)
         for r, bound, may in self.bounds():
             often += may.sum(0)
             parts.append((r, np.where(may, bound, -1).argmax(1), may))
-        if every or often.sum() <= FEW * (len(self.rows) + len(self.cols)):
-            found = [(r[i], self.cols[j]) for r, _, may in parts for i, j in [np.nonzero(may)]]
-            return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]), False
-        a, b = [], []
+        crowded = not every and often.sum() > FEW * (len(self.rows) + len(self.cols))
         middle = int(often.argmax())
         for r, best, may in parts:
-            some = may.any(1)
-            a += [r[some], r[may[:, middle]]]
-            b += [self.cols[best[some]], np.full(int(may[:, middle].sum()), self.cols[middle])]
-        return np.concatenate(a), np.concatenate(b), True
+            if crowded:
+                some, to_middle = may.any(1), may[:, middle]
+                yield np.concatenate([r[some], r[to_middle]]), np.concatenate([self.cols[best[some]], np.full(int(to_middle.sum()), self.cols[middle])]), True
+            else:
+                i, j = np.nonzero(may)
+                yield r[i], self.cols[j], False
 
 
 def _cells(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """``key, band, rb, cb, role, node, n, comp, bits``: the cells of tiles that hold several components."""
     starts = band_starts(percent)
     band = F.expr("0L" + "".join(f" + int(n >= {int(s)})" for s in starts[1:] if s < 1 << 31))
-    tiles = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("node", "comp")).alias("first")).where("lo < hi")
-    tiles = tiles.select("key", F.col("first.comp").alias("main")).checkpoint()
+    tiles = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main")).where("lo < hi")
+    tiles = tiles.select("key", "main").checkpoint()
     mixed = members.join(tiles, "key").withColumn("band", band).select("key", "band", "node", "ka", "n", "comp", (F.col("comp") != F.col("main")).alias("row")).checkpoint()
     cols = mixed.drop("row").withColumn("role", F.lit(1))
     rows = (mixed.where("row").drop("row").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).withColumn("role", F.lit(0)))
@@ -227,22 +239,18 @@ def _pairs(cells: DataFrame, percent: int, every: bool) -> DataFrame:
     """Distinct pairs ``a < b`` from the cells, and whether they come from a cell that has more."""
     place = ["key", "band", "rb", "cb"]
 
-    def work(held: list) -> list[np.ndarray] | None:
+    def work(held: list) -> Iterator[pa.RecordBatch]:
         role, node, n, comp, bits = (np.concatenate(c) for c in zip(*held))
         cell = Cell(role, node, n, comp, bits.tolist(), percent)
         if not len(cell.rows) or not len(cell.cols):
-            return None
-        a, b, more = cell.pairs(every)
-        if not len(a):
-            return None
-        found = np.unique(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])]), axis=1)
-        return [*found, np.full(found.shape[1], more)]
-
-    def batch_of(done: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*done)], names=["a", "b", "more"])
+            return
+        for a, b, more in cell.pairs(every):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(np.full(len(a), more))],
+                                                 names=["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at, done = [], None, []
+        held, at = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -252,16 +260,12 @@ def _pairs(cells: DataFrame, percent: int, every: bool) -> DataFrame:
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 now = tuple(where[:, lo])
                 if at is not None and now != at:
-                    if (found := work(held)) is not None:
-                        done.append(found)
+                    yield from work(held)
                     held = []
                 at = now
                 held.append([v[lo:hi] for v in values])
-            if done:
-                yield batch_of(done)
-                done = []
-        if held and (found := work(held)) is not None:
-            yield batch_of([found])
+        if held:
+            yield from work(held)
 
     return (cells.select(*place, "role", "node", "n", "comp", "bits").repartition(*place).sortWithinPartitions(*place)
             .mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
@@ -282,14 +286,17 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
     sig = _signatures(docs, words, percent).checkpoint()
     reps = (sig.where("n > 0 and doc_id is not null").groupBy("ka", "kb")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits")).checkpoint())
-    members = _tiles(reps).checkpoint()
-    sizes = reps.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"))
-    first = (members.where(F.col("node") != F.col("hub")).select("hub", "node", "n").distinct().join(sizes, "hub")
-             .where(_similar_size(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct().checkpoint())
-    tried, found = first, links.confirm(first, docs, percent, sets).unionByName(links.shared_ids(sig, reps)).checkpoint()
+    members = _tiles(reps)
+    rank = F.struct("tiles", -F.col("node"))
+    hubs = members.groupBy("key").agg(F.max_by("node", rank).alias("hub"), F.max_by("n", rank).alias("hub_n")).checkpoint()
+    members = members.join(hubs, "key").select("key", "node", "ka", "n", "hub", "hub_n").checkpoint()
+    first = (members.where((F.col("node") != F.col("hub")) & _similar_size(F.col("n"), F.col("hub_n"), percent))
+             .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct().checkpoint())
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = links.confirm(first, docs, percent, sets).unionByName(links.shared_ids(sig, reps)).checkpoint()
     comps = links.components(found)
     signatures = reps.select(F.col("rep").alias("node"), "ka", "bits")
-    members = members.select("key", "node", "ka", "n")
+    members = members.select("key", "node", "ka", "n", "hub")
     for k in range(ROUNDS):
         current = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         pairs = _pairs(_cells(current, signatures, percent), percent, k + 1 == ROUNDS).checkpoint()
