@@ -585,7 +585,7 @@ SQL: dict[str, str] = {
                           || text || CASE WHEN turn = 3 THEN chr(10) || 'last:' ELSE '' END AS text FROM conversations),
         p AS (SELECT doc, conv_id, turn, string_split(text, chr(10)) AS parts FROM r),
         l AS (SELECT doc, conv_id, turn, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM p),
-        s AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l),
+        s AS (SELECT *, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS t FROM l),
         h AS (SELECT *, CASE WHEN t LIKE '%:' THEN replace(t, ':', '') END AS head FROM s),
         f AS (SELECT *, coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY doc ORDER BY conv_id, turn, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'General') AS cat FROM h)
         SELECT doc, conv_id, turn, CAST(line_no AS BIGINT) AS line_no, cat AS "Category", t AS "Detail" FROM f WHERE head IS NULL AND t <> ''""",
