@@ -115,7 +115,9 @@ def test_filters_lose_no_pair(seed, size, more, drop, percent):
     assert (ngram_join.fold(y, len(x)) == ngram_join.signature(b, bits)).all()
     assert 2 * both <= len(a) + len(b) - int(np.bitwise_count(x ^ ngram_join.fold(y, len(x))).sum())
     if 100 * both >= percent * len(left | right):
-        common = np.array([random.randrange(3) for _ in range(ngram_join.SLOTS)], dtype=np.uint8)
+        packed = [len(s).to_bytes(8, "big") + w.tobytes() for s, w in ((a, x), (b, y))]
+        assert ngram_join.may_link(*packed, percent) and ngram_join.may_link(*reversed(packed), percent)
+        common = np.random.default_rng(seed).integers(0, 3, ngram_join.SLOTS, dtype=np.uint8)
         assert set(ngram_join.prefix(a, common, percent).tolist()) & set(ngram_join.prefix(b, common, percent).tolist())
         starts = ngram_join.band_starts(percent)
         bands = [int(np.searchsorted(starts, len(s), side="right")) for s in (a, b)]

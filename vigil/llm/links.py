@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -58,35 +59,35 @@ def common(left: np.ndarray, right: np.ndarray) -> int:
     return int(np.count_nonzero(left[at] == right))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int, sets: Callable[[pa.Array], Iterator[np.ndarray]]) -> DataFrame:
-    """The pairs ``a, b`` (each once) of ids whose full sets have a Jaccard similarity of at least ``percent``; an id of
-    several rows stands for all their sets.
+def alike(left: bytes, right: bytes, percent: int) -> bool:
+    """Whether two packed sets have a Jaccard similarity of at least ``percent``."""
+    a, b = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+    both = common(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
-    ``a`` should be the end with more partners.  They are dealt to parts of about ``CROWD``; each part gets one copy of its hub's set,
-    and the partners' sets stream past it."""
-    found = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), sets)
+
+def meet(pairs: DataFrame, found: DataFrame, test: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """The pairs ``a, b`` (each once) of ids that pass the test with some ``packed`` value of each end; ``found`` holds ``id, packed``.
+
+    ``a`` should be the end with more partners.  They are dealt to parts of about ``CROWD``; each part gets one copy of its hub's
+    values, and the partners' values stream past them."""
     load = pairs.groupBy("a").agg(F.ceil(F.count("*") / CROWD).alias("parts")).checkpoint()
     partners = (pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
-                .join(found.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles"))
+                .join(found.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "packed"))
     hubs = (load.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-            .join(found.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "shingles"))
+            .join(found.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "packed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, hub, a, b = None, [], [], []
         for batch in batches:
             for x, p, y, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(packed, dtype=np.uint64)
                 if part != (x, p):
                     part, hub = (x, p), []
                 if y is None:
-                    hub.append(own)
-                    continue
-                for h in hub:
-                    both = common(h, own)
-                    if 100 * both >= percent * (len(h) + len(own) - both):
-                        a.append(x)
-                        b.append(y)
-                        break
+                    hub.append(packed)
+                elif any(test(h, packed) for h in hub):
+                    a.append(x)
+                    b.append(y)
             if len(a) >= FOUND:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 a, b = [], []
@@ -96,6 +97,13 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int, sets: Callable[[pa.
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def confirm(pairs: DataFrame, docs: DataFrame, percent: int, sets: Callable[[pa.Array], Iterator[np.ndarray]]) -> DataFrame:
+    """The pairs ``a, b`` (each once) of ids whose full sets have a Jaccard similarity of at least ``percent``; an id of
+    several rows stands for all their sets."""
+    found = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), sets)
+    return meet(pairs, found.withColumnRenamed("shingles", "packed"), partial(alike, percent=percent))
+
+
 def stored(df: DataFrame, folder: str) -> DataFrame:
     """``df`` written to a new table in ``folder`` and read again.  Steps that repeat need this: a checkpoint
     keeps the optimiser's size estimate, and a join's is the product of its sides', so its digits would double with every step."""

@@ -6,7 +6,8 @@ here common shingles go last (by a table of ``SLOTS`` counts over all documents)
 the rest by hash.  The classes that hold such a shingle are a tile; of tiles with the same members one stays.
 
 1. Each member is paired with its tile's hub, the one that lies in most tiles (an original shares all its shingles, its
-   edited copies do not); pairs are confirmed on full sets, links give components.
+   edited copies do not); the bound below drops most pairs that can't link, the others are confirmed on full
+   sets, links give components.
 2. Tiles that still hold several components are cut into size bands, one band wide enough that only
    neighbouring bands can link, and hot ones into blocks.  Only members outside the component of the tile's
    hub (rows) are compared, with all members (columns), so a large group of copies is not compared with itself.
@@ -68,6 +69,15 @@ def fold(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
+def may_link(left: bytes, right: bytes, percent: int) -> bool:
+    """Whether the sizes (8 bytes, most significant first) and signatures of two sets allow a link."""
+    a, b = np.frombuffer(left, dtype=np.uint64, offset=8), np.frombuffer(right, dtype=np.uint64, offset=8)
+    length = min(len(a), len(b))
+    n, m = int.from_bytes(left[:8], "big"), int.from_bytes(right[:8], "big")
+    overlap = min((n + m - int(np.bitwise_count(fold(a, length) ^ fold(b, length)).sum())) // 2, n, m)
+    return overlap * (100 + percent) >= percent * (n + m)
+
+
 def _slot(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(65 - SLOTS.bit_length())).astype(np.int64)
 
@@ -293,9 +303,11 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
     first = (members.where((F.col("node") != F.col("hub")) & _similar_size(F.col("n"), F.col("hub_n"), percent))
              .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct().checkpoint())
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = links.confirm(first, docs, percent, sets).unionByName(links.shared_ids(sig, reps)).checkpoint()
-    comps = links.components(found)
     signatures = reps.select(F.col("rep").alias("node"), "ka", "bits")
+    bounds = reps.select(F.col("rep").alias("id"), F.concat(F.unhex(F.lpad(F.hex("n"), 16, "0")), "bits").alias("packed"))
+    possible = links.meet(first, bounds, partial(may_link, percent=percent)).checkpoint()
+    found = links.confirm(possible, docs, percent, sets).unionByName(links.shared_ids(sig, reps)).checkpoint()
+    comps = links.components(found)
     members = members.select("key", "node", "ka", "n", "hub")
     for k in range(ROUNDS):
         current = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
