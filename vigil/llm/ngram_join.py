@@ -22,6 +22,7 @@ Every link rests on the intersection of two full sorted arrays.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -289,13 +290,15 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
     links; rows without an id have a null component; rows that share an id are one node, which has the
     links of all of them; an empty table gives no rows.  Other columns are neither read nor returned.  Building the result runs
     jobs, whose results are checkpointed."""
-    checkpoint_dir(df.sparkSession)
     percent = round(100 * threshold)
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     sets = partial(shingle_sets, words=words)
-    sig = _signatures(docs, words, percent).checkpoint()
-    reps = (sig.where("n > 0 and doc_id is not null").groupBy("ka", "kb")
+    spark, folder = df.sparkSession, f"{checkpoint_dir(df.sparkSession)}/signatures-{uuid.uuid4().hex}"
+    rows = links.stored(_signatures(docs, words, percent), folder)
+    reps = (rows.where("n > 0 and doc_id is not null").groupBy("ka", "kb")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits")).checkpoint())
+    sig = rows.select("doc_id", "n", "ka", "kb").checkpoint()
+    links.remove(spark, folder)   # from here on, keys and signatures are those of the classes
     members = _tiles(reps)
     rank = F.struct("tiles", -F.col("node"))
     hubs = members.groupBy("key").agg(F.max_by("node", rank).alias("hub"), F.max_by("n", rank).alias("hub_n")).checkpoint()
@@ -319,4 +322,4 @@ def join(df: DataFrame, threshold: float = 0.8, words: int = WORDS, id_col: str
             comps = links.components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more))
         if pairs.where("more").isEmpty():
             break
-    return links.placed(sig.select("doc_id", "n", "ka", "kb"), reps, comps)
+    return links.placed(sig, reps, comps)
