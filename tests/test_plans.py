@@ -1,9 +1,11 @@
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
 from fixtures import (COUNTY_ATTR_SCHEMA, COUNTY_ATTRS, COUNTY_CODES, INCIDENT_SCHEMA, INCIDENTS, MEASURE,
                       MEASURE_SCHEMA, PLACES, RUN_COLS, RUN_TYPES, RUNS, clock)
+from vigil.plans import catalog, oracle
 from vigil.plans import gazetteer as G
 from vigil.plans import incidents as I
 from vigil.plans import reports as RP
@@ -127,6 +129,20 @@ def test_mortality_tables(spark):
     assert [r.data_value for r in t["national"].collect()] == [300.0]
 
 
+def test_mortality_county_keeps_every_county(spark, tmp_path):
+    nations = [(k, f"NATION {k}", k % 5) for k in range(12)]
+    spark.createDataFrame(nations, "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(k, f"REGION {k}") for k in range(5)], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(k, k, 10.0 * k) for k in range(12)], "c_custkey int, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {r.COUNTYFIPS: r for r in catalog.mortality_county(spark, str(tmp_path)).collect()}
+    assert sorted(got) == [f"19{k:03d}" for k in range(12)]      # those of the other state are left out, none of its own
+    assert [got[f"19{k:03d}"].data_value for k in (7, 8)] == [70.0, 80.0] and got["19003"].NAME == "NATION 3"
+    con = duckdb.connect()
+    for t in ("nation", "region", "customer"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert {r[0] for r in con.sql(f'SELECT "COUNTYFIPS" FROM ({oracle.oracle_sql()["mortality_county"]})').fetchall()} == set(got)
+
+
 def test_layout_and_report_writer(spark):
     import os
     import tempfile

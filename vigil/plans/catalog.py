@@ -988,7 +988,8 @@ def _mortality(spark, sf_dir):
     t = Tables(spark, sf_dir)
     states = t.region.select(F.lpad(F.col("r_regionkey").cast("string"), 2, "0").alias("STATEFP"),
                              F.col("r_name").alias("NAME"))
-    counties = t.nation.select(F.when(F.col("n_nationkey") % 5 == 3, "27").otherwise("19").alias("STATEFP"),
+    # every nation is a county of the state, and once more one of another state (the boundary filter drops those)
+    counties = t.nation.select(F.explode(F.array(F.lit("19"), F.lit("27"))).alias("STATEFP"),
                                F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("COUNTYFP"),
                                F.col("n_name").alias("NAME"))
     attrs = t.nation.where(F.col("n_regionkey") != 4).select(
