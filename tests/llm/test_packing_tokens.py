@@ -1,5 +1,8 @@
 """Packing and token counts against the tokenizer library itself."""
+import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -93,6 +96,28 @@ def test_counts_do_not_depend_on_the_table(spark, frame):
     assert sorted(map(str, small)) == sorted(map(str, token_counts.count_tokens(frame).collect()))
 
 
+def test_frequent_table_counts_every_document(spark):
+    # 9000 documents; each word but the common one stands in two to four of them
+    name = lambda i: "".join(chr(97 + int(d)) for d in f"{i % 3000:05d}")
+    texts = [f"common {name(i)}" if i < 6000 else f"common {'z' * 40} {name(i % 2000)}" for i in range(9000)]
+    seen = Counter(w for t in texts for w in t.split() if len(w) <= token_counts.TABLE_CHARS)
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    table = token_counts.frequent_table(df, WORD)
+    assert set(table) == set(seen) and len(table) == 3001
+    assert all(table[w] == len(library(WORD).encode(w, add_special_tokens=False).ids) for w in table)
+    assert list(token_counts.frequent_table(df, WORD, entries=2001)) == sorted(seen, key=lambda w: (-seen[w], w))[:2001]
+
+
+def test_odd_words_are_whole_words(spark):
+    rnd = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rnd.choice("aZ1.' \n\t\r\x00\u00a0\u0301\u00e9\u4e2d") for _ in range(rnd.randint(0, 14)))
+        plain, odd = token_counts.split(text)
+        words = re.findall(r"[^ \t\n\r]+", text)
+        assert odd == [w for w in words if re.search("[\x00\u00a0\u0301\u4e2d]", w)]
+        assert "".join(plain) == "".join(w for w in words if not re.search("[\x00\u00a0\u0301\u4e2d]", w)).lower()
+
+
 def test_sentencepiece_model(spark, frame):
     got = token_counts.count_tokens(frame, tokenizer="piece_bpe_32k.model").collect()
     assert all(r.n_tokens > 0 for r in got if r.n_bytes)

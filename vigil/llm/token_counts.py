@@ -3,9 +3,9 @@
 Tier one is a broadcast table of the lengths (in tokens) of frequent
 pre-tokens, tier two a bounded cache in each worker for the rest; only cache
 misses are encoded by the tokenizer library.  Pre-tokens never leave the task that
-read them, so nothing is shuffled but the small frequency count that
-fills tier one.  That count covers a bounded sample of documents
-(``sample_docs``): it decides how fast a length is found, never its value.
+read them, so nothing is shuffled but the frequency count that fills tier
+one: the pre-tokens of every document, counted in each task before the shuffle.
+It decides how fast a length is found, never its value.
 
 The lookup is exact because BPE never merges across pre-tokens and white
 space always ends one.  Words of the characters in ``_FAST`` are lower-cased and
@@ -21,15 +21,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.tokens import library, pieces, resolve
 
 TABLE_ENTRIES = 50_000   # tier one: entries at most, each of at most TABLE_CHARS characters
 TABLE_CHARS = 32
+TOP_GROUPS = 16          # the most frequent are found in this many groups of words, then among theirs
 CACHE_ENTRIES = 300_000  # tier two: entries of a worker at most
-SAMPLE_DOCS = 4_000
 
 
 def _ranges(chars: list[int]) -> str:
@@ -49,7 +49,7 @@ _PLAIN = [c for c in [*range(0x21, 0x7F), *range(0xA1, 0x24F), *range(0x2010, 0x
 _LETTERS = _ranges(sorted(c for c in _PLAIN if unicodedata.category(chr(c))[0] == "L"))
 _NUMBERS = _ranges(sorted(c for c in _PLAIN if unicodedata.category(chr(c))[0] == "N"))
 _SPACE = " \t\n\r"
-_ODD_WORD = re.compile(f"[^{_SPACE}]*[^{_SPACE}{_ranges(sorted(_PLAIN))}][^{_SPACE}]*")
+_ODD_WORD = re.compile(f"(?<![^{_SPACE}])[{_ranges(sorted(_PLAIN))}]*+[^{_SPACE}{_ranges(sorted(_PLAIN))}][^{_SPACE}]*+")
 #: The vocabulary's own splitting pattern, with its classes spelt out for the characters of _PLAIN.
 _PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 
@@ -100,46 +100,44 @@ def count_text(text: str | None, lengths: Lengths, special: tuple[str, ...]) ->
     return sum(map(lengths.__getitem__, words)) + sum(map(lengths.__getitem__, odd))
 
 
-def frequent_table(df: DataFrame, tokenizer: str, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
-                   entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """Tier one: at most ``entries`` frequent pre-tokens of about ``sample_docs`` documents."""
-    total = df.count()
-    if not total:
-        return {}
-    share = min(1.0, sample_docs / total)
-    texts = df.select(F.col(text_col).cast("string").alias("text"))
-    if share < 1:
-        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-
+def frequent_table(df: DataFrame, tokenizer: str, text_col: str = "text", entries: int = TABLE_ENTRIES) -> dict[str, int]:
+    """Tier one: the ``entries`` most frequent pre-tokens of all documents, at most."""
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for b in batches:
+            batch: Counter[str] = Counter()
             for t in b["text"].dropna():
-                seen.update(w for w in split(t)[0] if len(w) <= TABLE_CHARS)
-                if len(seen) > 20 * TABLE_ENTRIES:
-                    yield pd.DataFrame(seen.items(), columns=["word", "n"])
-                    seen.clear()
+                batch.update(split(t)[0])
+            seen.update({w: n for w, n in batch.items() if len(w) <= TABLE_CHARS})
+            if len(seen) > 20 * TABLE_ENTRIES:
+                yield pd.DataFrame(seen.items(), columns=["word", "n"])
+                seen.clear()
         yield pd.DataFrame(list(seen.items()), columns=["word", "n"])
 
-    top = (texts.mapInPandas(counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .where("n > 1").orderBy(F.desc("n"), "word").limit(entries))
+    texts = df.select(F.col(text_col).cast("string").alias("text"))
+    # the driver takes at most entries words of each group, however many words there are
+    group = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(TOP_GROUPS))).orderBy(F.desc("n"), "word")
+    top = (texts.mapInPandas(counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+           .withColumn("place", F.row_number().over(group)).where(F.col("place") <= entries)
+           .orderBy(F.desc("n"), "word").limit(entries))
     words = [r.word for r in top.select("word").collect()]  # bounded: entries x TABLE_CHARS
     return {w: len(e.ids) for w, e in zip(words, library(tokenizer).encode_batch(words, add_special_tokens=False), strict=True)}
 
 
 def count_tokens(df: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: int = 2048, id_col: str = "doc_id",
-                 text_col: str = "text", sample_docs: int = SAMPLE_DOCS, entries: int = TABLE_ENTRIES,
+                 text_col: str = "text", sample_docs: int | None = None, entries: int = TABLE_ENTRIES,
                  cache: int = CACHE_ENTRIES) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row.
 
     Counts are the library's own, without begin/end tokens, truncation or
     padding; special strings inside a text count as one token each.  Null and
     empty texts have 0 bytes and 0 tokens; null ids and repeated rows are
-    counted like any other; other columns are neither read nor returned.
+    counted like any other; other columns are neither read nor returned.  Tier one
+    is counted over every document, unless a caller asks for ``sample_docs`` only.
     """
     text = F.col(text_col).cast("string")
     shared = df.sparkSession.sparkContext.broadcast(
-        frequent_table(df, tokenizer, text_col, sample_docs, entries) if _supports_split(tokenizer) else None)
+        frequent_table(df if sample_docs is None else df.limit(sample_docs), tokenizer, text_col, entries) if _supports_split(tokenizer) else None)
 
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
