@@ -5,11 +5,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.functions.ids import surrogate_id
+from vigil.functions.ids import SPREAD, surrogate_id, with_surrogate_id
 from vigil.functions.strings import alternation_regex
 from vigil.operators.geo import collection_centroid
 from vigil.operators.places import extract_dictionary
 from vigil.operators.text import sectionize
+from vigil.plans import catalog
 from vigil.plans.oracle import surrogate_id_sql
 
 from conftest import rows
@@ -94,6 +95,23 @@ def test_surrogate_id_shape_determinism_and_duckdb_parity(spark):
     assert rows(df.select("k", surrogate_id(["k"], 1).alias("s")))[0][1] != ra[0][1]
 
 
+def test_numbered_rows_are_dealt_to_many_tasks(spark, tmp_path):
+    n = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(20000).select((F.col("id") % 15000).alias("k"), F.when(F.col("id") % 3 > 0, "v").alias("v"))
+    x = with_surrogate_id(df, ["k", "v"], 1, "sid")
+    sizes = [r["count"] for r in x.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == n and max(sizes) < 2 * 20000 / n   # before: the session's partitions, coalesced
+    assert x.select("sid").distinct().count() == 20000
+    # ids, and the rows that keep-first sorts, are dealt likewise: no shuffle to the session's own number of partitions
+    lines = [(i % 700 if i % 50 else None, i % 5, i % 7, i % 4, "A") for i in range(3000)]
+    (spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string")
+     .write.parquet(f"{tmp_path}/lineitem.parquet"))
+    out = catalog.surrogate_ids_unique(spark, str(tmp_path))
+    assert tuple(out.first()) == (3000, 3000, 3000)
+    dealt = re.findall(r"hashpartitioning\([^)]*, (\d+)\)", out._jdf.queryExecution().executedPlan().toString())
+    assert dealt and set(map(int, dealt)) == {n}
+
+
 def test_auto_method_picks_by_size(spark, monkeypatch):
     import vigil.operators.places as P
     df = spark.createDataFrame([(1, "WEST DES MOINES")], "id long, text string")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from vigil.functions.strings import ColumnOrName, bind, col
 
+SPREAD = 8   # rows that are numbered or sorted whole go to this many times the session's shuffle partitions
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,11 +43,18 @@ def surrogate_id(keys: Sequence[ColumnOrName], seed: int, occurrence: Column | N
     return bind(F.sha2(F.concat(F.lit(f"{seed};"), *[part(k) for k in keys], *again), 256), spell)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of equal keys together, dealt to ``SPREAD`` times the session's shuffle partitions, so
+    a task that sorts its rows holds a small part of them; windows and aggregates by ``keys`` need no further shuffle."""
+    parts = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *[F.col(f"`{k}`") for k in keys])
+
+
 def with_surrogate_id(df: DataFrame, keys: Sequence[str], seed: int, name: str) -> DataFrame:
     """Adds an id to every ROW: rows with equal keys are numbered (by their
     other columns; rows equal in all columns are interchangeable) and from the second on
     the number is hashed along with the keys, so repeated rows keep ids of their own, whatever the partitioning."""
     rest = [F.col(f"`{f.name}`").asc_nulls_last() for f in df.schema if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*(rest or [F.lit(1)]))
-    return (df.withColumn("__occurrence", F.row_number().over(w))
+    return (spread(df, keys).withColumn("__occurrence", F.row_number().over(w))
             .withColumn(name, surrogate_id(keys, seed, F.col("__occurrence"))).drop("__occurrence"))

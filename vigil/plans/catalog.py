@@ -21,7 +21,7 @@ from vigil.functions import conditions as C
 from vigil.functions import rules as R
 from vigil.functions import strings as S
 from vigil.functions import times as TM
-from vigil.functions.ids import surrogate_id, with_surrogate_id
+from vigil.functions.ids import spread, surrogate_id, with_surrogate_id
 from vigil.functions.rules import apply_rules
 from vigil.operators import aggregate as A
 from vigil.operators import tables as TB
@@ -569,7 +569,7 @@ def _repeated_lines(t: Tables) -> DataFrame:
 @query
 def surrogate_ids_unique(spark, sf_dir):
     """Rows, distinct ids and rows left by keep-first on the id: all equal, as no two rows share an id."""
-    x = with_surrogate_id(_repeated_lines(Tables(spark, sf_dir)), ["a", "b", "c"], R.INCIDENT_ID_SEED, "id")
+    x = spread(with_surrogate_id(_repeated_lines(Tables(spark, sf_dir)), ["a", "b", "c"], R.INCIDENT_ID_SEED, "id"), ["id"])
     kept = keep_first(x, ["id"], ["a"]).agg(F.count(F.lit(1)).alias("n")).scalar()
     return x.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids")).withColumn("n_kept", kept)
 
